@@ -204,7 +204,7 @@ def implausible_readings(df: DataFrame, source: str, order: list[str], id_col: s
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("double").alias("x")) for f in fields])).alias("e")
     rows = df.filter(F.col(time).isNotNull() & ~F.isnan(time)).select(F.col(source).alias("_source"), *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)], F.col(id_col).alias("_id"), each)
     rows = rows.select("_source", F.col("e.field_name").alias("field_name"), *[f"_o{k}" for k in range(len(order))], "_id", F.col("e.x").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    series = ordered(rows, ["_source", "field_name"], [f"_o{k}" for k in range(len(order))]).select("_source", "field_name", F.col("_o0").cast("double").alias("t"), "_id", "x")
+    series = ordered(rows, ["_source", "field_name"], [*[f"_o{k}" for k in range(len(order))], "_id"]).select("_source", "field_name", F.col("_o0").cast("double").alias("t"), "_id", "x")
 
     schema = f"_source {source_type}, field_name string, _id {id_type}, reason string, pid int, seq int, at_end int, t array<double>, x array<double>, ids array<{id_type}>"
 
