@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from posegrain.session import map_rows
+
 PLAIN = r"^[0-9]+( [0-9]+)*\z"
 DELIMITERS = " \t\r\n\f\v,;|/"
 OPENING, CLOSING = "[({<", "])}>"
@@ -78,7 +80,7 @@ def split_packed(df: DataFrame, id_col: str, field_col: str, only_uneven: bool =
                     deep.append(d)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(no, pa.int32()), pa.array(value, pa.string()), pa.array(deep, pa.int32())], ["_id", "value_no", "tag_value", "depth"])
 
-    out = uneven.mapInArrow(tokenize, f"_id {id_type}, value_no int, tag_value string, depth int")
+    out = map_rows(uneven, tokenize, f"_id {id_type}, value_no int, tag_value string, depth int")
     if not only_uneven:
         plain = rows.filter(F.col("_field").rlike(PLAIN))
         plain = plain.select("_id", F.posexplode(F.split("_field", " ")).alias("p", "tag_value"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from posegrain.operators.pieces import PIECE_ROWS, key_starts, neighbours, ordered, pieces
-from posegrain.session import cut_lineage
+from posegrain.session import cut_lineage, map_rows
 
 WIDTH, RANK, ROUNDS = 32, 2, 8
 STRIP, CONTEXT = 128, 16
@@ -232,7 +232,7 @@ def implausible_readings(df: DataFrame, source: str, order: list[str], id_col: s
             yield pa.RecordBatch.from_arrays([*flagged, *[pa.nulls(none, c.type) for c in cut[4:]]], cols)
             yield pa.RecordBatch.from_arrays(cut, cols)
 
-    done = cut_lineage(series.mapInArrow(inside, schema))
+    done = cut_lineage(map_rows(series, inside, schema))
     strips = done.filter(F.col("pid").isNotNull())
     both = neighbours(strips, ["_source", "field_name"], ["t", "x", "ids"])
 
@@ -259,7 +259,7 @@ def implausible_readings(df: DataFrame, source: str, order: list[str], id_col: s
                     why.append(str(NAMES[k[j]]))
             yield pa.RecordBatch.from_arrays([pa.array(out, batch.schema.field("ids").type.value_type), pa.array(fld, pa.string()), pa.array(why, pa.string())], [id_col, "field_name", "reason"])
 
-    near = both.mapInArrow(across, f"{id_col} {id_type}, field_name string, reason string")
+    near = map_rows(both, across, f"{id_col} {id_type}, field_name string, reason string")
     # Within a short piece a reading can lie near both its cuts.
     near = near.groupBy(id_col, "field_name").agg(F.min("reason").alias("reason"))
     return done.filter(F.col("pid").isNull()).select(F.col("_id").alias(id_col), "field_name", "reason").unionByName(near)

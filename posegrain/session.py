@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +29,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there, so a lost executor costs no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_posegrain_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="posegrain-"), f"{root.name}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    sc.addPyFile(archive)
+    sc._posegrain_shipped = True
+
+
+def map_rows(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
