@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from posegrain.llm import mailtext
 
+from posegrain.session import map_rows
+
 SHINGLE = 5
 SEED = 3  # words of a shared stretch, in the exact check
 STRIDE = 8
@@ -275,6 +277,6 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id"
                         got.append(index.ids[i])
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs, pa.int64())), pa.array(got, pa.from_numpy_dtype(np.int64) if item_type in ("bigint", "int") else None)], [doc_col, item_col])
 
-        part = documents.select(doc_col, text_col).filter(F.col(text_col).isNotNull()).mapInArrow(search, f"`{doc_col}` {doc_type}, `{item_col}` {'bigint' if item_type == 'int' else item_type}")
+        part = map_rows(documents.select(doc_col, text_col).filter(F.col(text_col).isNotNull()), search, f"`{doc_col}` {doc_type}, `{item_col}` {'bigint' if item_type == 'int' else item_type}")
         found = part if found is None else found.unionByName(part)
     return found.distinct()

@@ -132,3 +132,25 @@ WORD = re.compile(r"[^\W_]+")
 def words(text: str) -> list[str]:
     """Lower-case words without marks of quoting; punctuation and layout do not matter."""
     return WORD.findall(QUOTE_MARK.sub("", text).lower())
+
+
+# What in a mail is about people and delivery and not prose: header lines of quoted mails, attributions,
+# addresses, greetings, signatures up to the next blank line, and lines of capitalised names only.
+NOT_PROSE = re.compile(
+    r"^[^\n]*@[^\n]*$"
+    r"|^(?:From|To|Cc|Sent|Date|Von|An|Gesendet|De|Para|Enviado|Message-ID|References|In-Reply-To|Received):[^\n]*$"
+    r"|^[^\n]{0,90}\b(?:wrote|schrieb|escribió)\b[^\n]{0,60}:?[ \t]*$"
+    r"|^(?:Hello|Hallo|Hola|Hi|Dear|Liebe[r]?|Querid[oa])\b[^\n]{0,30},[ \t]*$"
+    r"|^(?:--|__)[ \t]*\n(?:[^\n]*\S[^\n]*(?:\n|\Z)){1,6}"
+    r"|^[ \t]*(?:[A-ZÄÖÜ][a-zäöüß]+[ \t]*){1,3}$",
+    re.M,
+)
+#: Names of lists in subject lines.
+LIST_TAG = re.compile(r"\[[^\]\s]*\]")
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def prose_words(subject: str, parts: list[str]) -> list[str]:
+    """Lower-case words of the subject line and of the prose in the texts; no numbers."""
+    body = NOT_PROSE.sub(" ", QUOTE_MARK.sub("", "\n\n".join(parts)))
+    return LETTERS.findall(f"{LIST_TAG.sub(' ', subject)} {body}".lower())

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posegrain.operators.pieces import key_starts
+from posegrain.session import map_rows
 
 BITS = 16
 #: Cells per power of two of a measured value: neighbouring cells differ by 0.14 %, a value from its cell's middle by half that.
@@ -130,7 +131,7 @@ def _compressed(nodes: DataFrame, keys: list[str], error: float) -> DataFrame:
             first = pa.array(starts[:-1][g])
             yield pa.RecordBatch.from_arrays([*[table[c_].combine_chunks().take(first) for c_ in keys], pa.array(node.astype(np.int32)), pa.array(c)], [*keys, "node", "node_count"])
 
-    return nodes.sortWithinPartitions(*keys).mapInArrow(run, f"{types}, node int, node_count long")
+    return map_rows(nodes.sortWithinPartitions(*keys), run, f"{types}, node int, node_count long")
 
 
 def digest(df: DataFrame, keys: list[str], cell: Column, error: float = 0.01) -> DataFrame:
@@ -161,7 +162,7 @@ def percentiles(digests: DataFrame, keys: list[str], shares: dict[str, float]) -
             yield pa.RecordBatch.from_arrays([*[table[c].combine_chunks().take(first) for c in keys], pa.array(np.add.reduceat(count, starts[:-1])), *[pa.array(cells[:, i].astype(np.int32)) for i in range(len(names))]], [*keys, "n", *names])
 
     spread = digests.repartition(*keys).sortWithinPartitions(*keys)
-    return spread.mapInArrow(run, f"{types}, n long, {', '.join(f'`{n}` int' for n in names)}")
+    return map_rows(spread, run, f"{types}, n long, {', '.join(f'`{n}` int' for n in names)}")
 
 
 def measured(cell: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posegrain.functions.status import canonical_status
-from posegrain.llm import leakage, quantiles
+from posegrain.llm import leakage, packing, quantiles, subjects
 from posegrain.llm.runs import event_runs
 from posegrain.operators.dedupe import keep_first_copy
 from posegrain.plans.problems import POSE_SQL, pose_rows
@@ -55,12 +55,35 @@ def p2_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select(*keys, "n", *[value(c) for c in SHARES], F.ceil(F.col("n") * RANK_ERROR).alias("rank_error"))
 
 
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problem 6: every mail's place in containers of each capacity."""
+    kinds = {r.container_kind: r.capacity_tokens for r in read_table(spark, sf_dir, "containers").collect()}
+    return packing.pack(read_table(spark, sf_dir, "documents"), kinds)
+
+
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are: the share of their capacity that holds tokens."""
+    kinds = read_table(spark, sf_dir, "containers")
+    used = p6_containers(spark, sf_dir).groupBy("container_kind").agg(F.countDistinct("container_id").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
+    return used.join(kinds, "container_kind").select("container_kind", "n_containers", "n_tokens", (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("filled"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Problem 7: mails that carry an evaluation item, or twenty or more successive words of it."""
     return leakage.leaked_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_runs, p2_percentiles, p2_partials, p7_found)}
+def p8_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problem 8: the subject areas each mail deals with, with their evidence and shares."""
+    areas = [r.subject for r in read_table(spark, sf_dir, "subject_areas").select("subject").collect()]
+    return subjects.subject_areas(read_table(spark, sf_dir, "documents"), areas, read_table(spark, sf_dir, "doc_labels"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_subjects(spark, sf_dir).select("doc_id", "subject")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_runs, p2_percentiles, p2_partials, p6_containers, p6_fill, p7_found, p8_found, p8_subjects)}
 
 ORACLE = {
     "p1_found": f"""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from posegrain.operators.pieces import PIECE_ROWS, key_starts, ordered, pieces
-from posegrain.session import cut_lineage
+from posegrain.session import cut_lineage, map_rows
 
 SEPARATOR = "\0"
 REPEATED = re.compile(r"([^\0])\1*", re.S)
@@ -92,7 +92,7 @@ def event_runs(df: DataFrame, source: str, order: list[str], event: str, id_col:
             )
 
     schema = f"_source {source_type}, _event string, first_id {id_type}, last_id {id_type}, n_rows long, start_s double, end_s double, pid int, seq int, opens boolean, closes boolean"
-    found = cut_lineage(rows.mapInArrow(match, schema))
+    found = cut_lineage(map_rows(rows, match, schema))
 
     # At most two runs per piece are open; a source's open runs are few however many rows it has.
     w = Window.partitionBy("_source").orderBy("pid", "seq", F.col("closes").cast("int"), "start_s")
