@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from posegrain.functions.angles import DEGREES, RADIANS
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once; expressions are trees, so repeated use would repeat it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def vector(x: Column, y: Column, z: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"), z.alias("z"))
 
@@ -22,8 +27,11 @@ def quaternion(x: Column, y: Column, z: Column, w: Column) -> Column:
 
 def normalised(q: Column) -> Column:
     """Unit length; NULL where it is too short to be a rotation."""
-    n = F.sqrt(sum(q[c] * q[c] for c in "xyzw"))
-    return F.when(n > 1e-12, quaternion(*(q[c] / n for c in "xyzw")))
+    def scaled(v: Column) -> Column:
+        n = F.sqrt(sum(v[c] * v[c] for c in "xyzw"))
+        return F.when(n > 1e-12, quaternion(*(v[c] / n for c in "xyzw")))
+
+    return let(q, scaled)
 
 
 def from_euler(roll: Column, pitch: Column, yaw: Column) -> Column:
@@ -59,8 +67,7 @@ def rotate(q: Column, v: Column) -> Column:
 
 def angle_deg(a: Column, b: Column) -> Column:
     """The angle between two rotations, by the arc tangent, which is safe at 0 and 180 degrees."""
-    d = multiply(inverse(a), b)
-    return 2 * DEGREES * F.atan2(F.sqrt(d["x"] * d["x"] + d["y"] * d["y"] + d["z"] * d["z"]), F.abs(d["w"]))
+    return let(multiply(inverse(a), b), lambda d: 2 * DEGREES * F.atan2(F.sqrt(d["x"] * d["x"] + d["y"] * d["y"] + d["z"] * d["z"]), F.abs(d["w"])))
 
 
 def to_matrix(q: Column) -> list[list[Column]]:
@@ -84,14 +91,15 @@ def to_euler(q: Column) -> tuple[Column, Column, Column]:
 
 def slerp(a: Column, b: Column, u: Column) -> Column:
     """Between ``a`` (u = 0) and ``b`` (u = 1) along the shorter arc; straight where they nearly agree."""
-    dot = sum(a[c] * b[c] for c in "xyzw")
-    sign = F.when(dot < 0, -1.0).otherwise(1.0)
-    d = F.least(F.abs(dot), F.lit(1.0))
-    theta = F.acos(d)
-    s = F.sin(theta)
-    wa = F.when(d > 0.9995, 1 - u).otherwise(F.sin((1 - u) * theta) / s)
-    wb = F.when(d > 0.9995, u).otherwise(F.sin(u * theta) / s)
-    return normalised(quaternion(*(wa * a[c] + wb * sign * b[c] for c in "xyzw")))
+    def weights(v: Column) -> Column:
+        d = F.least(F.abs(v["dot"]), F.lit(1.0))
+        theta, near = F.acos(d), d > 0.9995
+        wa = F.when(near, 1 - v["u"]).otherwise(F.sin((1 - v["u"]) * theta) / F.sin(theta))
+        wb = F.when(near, v["u"]).otherwise(F.sin(v["u"] * theta) / F.sin(theta))
+        return F.struct(wa.alias("a"), (wb * F.when(v["dot"] < 0, -1.0).otherwise(1.0)).alias("b"))
+
+    w = let(F.struct(sum(a[c] * b[c] for c in "xyzw").alias("dot"), u.alias("u")), weights)
+    return normalised(let(w, lambda v: quaternion(*(v["a"] * a[c] + v["b"] * b[c] for c in "xyzw"))))
 
 
 def distance(a: Column, b: Column) -> Column:

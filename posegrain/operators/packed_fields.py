@@ -13,16 +13,20 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posegrain.session import map_rows
 
-PLAIN = r"^[0-9]+( [0-9]+)*\z"
 DELIMITERS = " \t\r\n\f\v,;|/"
 OPENING, CLOSING = "[({<", "])}>"
 
 
+def is_plain(field: Column) -> Column:
+    """Unsigned integers separated by single spaces. Only single characters are matched, so fields of any length are safe."""
+    return (field != "") & ~field.rlike("[^0-9 ]") & ~field.contains("  ") & ~field.startswith(" ") & ~field.endswith(" ")
+
+
 class FieldTokenizer:
     """Transitions over lexemes; a lexeme is the longest text within which the state cannot change."""
 
@@ -66,7 +70,7 @@ def split_packed(df: DataFrame, id_col: str, field_col: str, only_uneven: bool =
     """
     rows = df.select(F.col(id_col).alias("_id"), F.col(field_col).alias("_field")).filter(F.col("_field").isNotNull() & (F.col("_field") != ""))
     id_type = df.schema[id_col].dataType.simpleString()
-    uneven = rows.filter(~F.col("_field").rlike(PLAIN))
+    uneven = rows.filter(~is_plain(F.col("_field")))
     machine = tokenizer or FieldTokenizer()
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +86,7 @@ def split_packed(df: DataFrame, id_col: str, field_col: str, only_uneven: bool =
 
     out = map_rows(uneven, tokenize, f"_id {id_type}, value_no int, tag_value string, depth int")
     if not only_uneven:
-        plain = rows.filter(F.col("_field").rlike(PLAIN))
+        plain = rows.filter(is_plain(F.col("_field")))
         plain = plain.select("_id", F.posexplode(F.split("_field", " ")).alias("p", "tag_value"))
         out = out.unionByName(plain.select("_id", (F.col("p") + 1).cast("int").alias("value_no"), "tag_value", F.lit(0).alias("depth")))
     return out.withColumnRenamed("_id", id_col)

@@ -81,7 +81,9 @@ def usual_course(x: np.ndarray, scale: float, cut: float) -> np.ndarray:
     med = np.median(np.lib.stride_tricks.sliding_window_view(p, 9), axis=1)
     rough = x - med
     base = m - rough[at]
-    s = np.where(np.abs(rough[at]) > cut * 2, m - base, 0.0)
+    # What it finds stays in the sparse part, else a large spike could become a component of its own.
+    held = np.abs(rough[at]) > cut * 2
+    s = np.where(held, m - base, 0.0)
     bias = np.ones(WIDTH) / np.sqrt(WIDTH)
     line = np.linspace(-1, 1, WIDTH)
     line /= np.linalg.norm(line)
@@ -96,7 +98,7 @@ def usual_course(x: np.ndarray, scale: float, cut: float) -> np.ndarray:
         low = y - y0 + (y0 @ v) @ v.T
         left = m - low
         limit = cut + worst * 0.5 ** (2 * k + 4)
-        s = np.where(np.abs(left) > limit, left, 0.0)
+        s = np.where(held | (np.abs(left) > limit), left, 0.0)
     out = np.full(n, np.inf)
     left = m - low
     flat, val = at.ravel(), left.ravel()
@@ -164,7 +166,9 @@ def _confirmed(t: np.ndarray, x: np.ndarray, candidate: np.ndarray, scale: float
         alone = np.minimum(np.abs(x - x[before]), np.abs(x - x[after]))
         size = np.minimum(np.abs(x - course), alone) / (scale + bend * left * right)
         first, last = np.append(False, ~candidate[:-1]), np.append(~candidate[1:], False)
-        near = np.minimum(np.where(first, np.minimum(np.abs(x - on), np.abs(x - x[before])) / (scale + bend * left * left + 0.1 * np.abs(fore) * left), np.inf), np.where(last, np.minimum(np.abs(x - back), np.abs(x - x[after])) / (scale + bend * right * right + 0.1 * np.abs(rear) * right), np.inf))
+        after_before = np.minimum(np.abs(x - on) / (scale + bend * left * left + 0.1 * np.abs(fore) * left), np.abs(x - x[before]) / (scale + bend * left * left))
+        before_after = np.minimum(np.abs(x - back) / (scale + bend * right * right + 0.1 * np.abs(rear) * right), np.abs(x - x[after]) / (scale + bend * right * right))
+        near = np.minimum(np.where(first, after_before, np.inf), np.where(last, before_after, np.inf))
         new = candidate & (near > rule.times) & ~((size <= rule.times) & (first | last))
         if (new == candidate).all():
             candidate &= size > rule.times

@@ -15,6 +15,7 @@ from posegrain.operators import asof, ordered, smoothing, sync
 from posegrain.operators import trajectory as tr
 from posegrain.operators.alignment import apply_rigid, fit_rigid, mean_rotation, robust_inliers
 from posegrain.operators.dedupe import keep_first_copy
+from posegrain.operators.packed_fields import is_plain
 from posegrain.plans.problems import STATUS_SQL
 from posegrain.session import read_table
 
@@ -232,9 +233,7 @@ WITH i AS (SELECT session_id, frame, unnest(string_split(trim(ids), ' ')) AS id
 SELECT i.session_id, i.frame, i.id::INT AS id, center_m[1] AS cx, center_m[2] AS cy FROM i JOIN sessions s USING (session_id) JOIN tag_map t ON t.board = s.board AND t.id = i.id::INT""")
 def join_tag_geometry(spark, sf_dir):
     """Detected tags with their place on the session's board; tags the board does not have drop out."""
-    from posegrain.operators.packed_fields import PLAIN
-
-    d = poses(spark, sf_dir).filter(F.col("ids").rlike(PLAIN)).select("session_id", "frame", F.explode(F.split("ids", " ")).alias("id"))
+    d = poses(spark, sf_dir).filter(is_plain(F.col("ids"))).select("session_id", "frame", F.explode(F.split("ids", " ")).alias("id"))
     d = d.withColumn("id", F.col("id").cast("int")).join(sessions(spark, sf_dir).select("session_id", "board"), "session_id")
     board = read_table(spark, sf_dir, "tag_map").select("board", "id", F.get("center_m", F.lit(0)).alias("cx"), F.get("center_m", F.lit(1)).alias("cy"))
     return d.join(board, ["board", "id"]).select("session_id", "frame", "id", "cx", "cy")
@@ -579,9 +578,7 @@ def agg_detections_per_id(spark, sf_dir):
 
 
 def detected(spark, sf_dir) -> DataFrame:
-    from posegrain.operators.packed_fields import PLAIN
-
-    d = poses(spark, sf_dir).filter(F.col("ids").rlike(PLAIN)).select("session_id", "frame", F.explode(F.array_distinct(F.split("ids", " "))).alias("id"))
+    d = poses(spark, sf_dir).filter(is_plain(F.col("ids"))).select("session_id", "frame", F.explode(F.array_distinct(F.split("ids", " "))).alias("id"))
     return d.withColumn("id", F.col("id").cast("int"))
 
 
@@ -724,9 +721,7 @@ WITH i AS (SELECT DISTINCT session_id, floor(t)::BIGINT AS second, unnest(string
 SELECT session_id, second, string_agg(id, ' ' ORDER BY id) AS ids FROM i GROUP BY 1, 2""")
 def set_union_of_ids(spark, sf_dir):
     """All tags seen in each second, once each, in order."""
-    from posegrain.operators.packed_fields import PLAIN
-
-    d = poses(spark, sf_dir).filter(F.col("ids").rlike(PLAIN)).select("session_id", F.floor("t").alias("second"), F.explode(F.split("ids", " ")).alias("id"))
+    d = poses(spark, sf_dir).filter(is_plain(F.col("ids"))).select("session_id", F.floor("t").alias("second"), F.explode(F.split("ids", " ")).alias("id"))
     d = d.select("session_id", "second", F.col("id").cast("int").alias("id")).distinct()
     ids = F.array_sort(F.collect_list("id"))
     return d.groupBy("session_id", "second").agg(F.array_join(F.transform(ids, lambda i: i.cast("string")), " ").alias("ids"))
