@@ -30,8 +30,8 @@ CHUNK_ROWS = 500_000
 
 
 def count_cell(value: Column) -> Column:
-    """The cell of a whole number of 0 or more: itself, the last cell from 65,535 on. Exact below that."""
-    return F.least(F.greatest(value.cast("long"), F.lit(0)), F.lit((1 << BITS) - 1)).cast("int")
+    """The cell of a whole number of 0 or more: itself, the last cell from 65,535 on. Exact below that; NULL has none."""
+    return F.when(value.isNotNull(), F.least(F.greatest(value.cast("long"), F.lit(0)), F.lit((1 << BITS) - 1)).cast("int"))
 
 
 def measure_cell(value: Column) -> Column:
