@@ -15,11 +15,11 @@ from posegrain.operators.ordered import neighbours
 
 
 def speeds(df: DataFrame, keys: list[str], time: str, axes: list[str]) -> DataFrame:
-    """(``keys``, t, speed): speed of each row from the one before; none for a first row or no time passed."""
+    """(``keys``, t, speed): speed from the row before, at the middle of the step; none for a first row or no time passed."""
     d = neighbours(df, keys, [time, *axes], [time, *axes])
     dt = F.col(time) - F.col(f"prev.{time}")
     moved = F.sqrt(sum((F.col(a) - F.col(f"prev.{a}")) * (F.col(a) - F.col(f"prev.{a}")) for a in axes))
-    return d.filter(dt > 0).select(*keys, F.col(time).alias("t"), (moved / dt).alias("speed"))
+    return d.filter(dt > 0).select(*keys, (F.col(time) - dt / 2).alias("t"), (moved / dt).alias("speed"))
 
 
 def offset_scores(left: DataFrame, right: DataFrame, keys: list[str], offsets: DataFrame, max_gap: float, least: int = 20) -> DataFrame:

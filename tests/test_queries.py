@@ -1,9 +1,9 @@
 import pytest
 
 from oracle import assert_same, tables
-from posegrain.plans import problems, reference
+from posegrain.plans import pipelines, problems, reference
 
-MODULES = (problems, reference)
+MODULES = (problems, reference, pipelines)
 
 
 @pytest.fixture(scope="module")
