@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from posegrain.operators.ordered import BLOCK_S, _join_blocks, neighbours, with_block
+from posegrain.operators.ordered import neighbours, source_of, time_block, with_group
 
 
-def bracket(queries: DataFrame, samples: DataFrame, keys: list[str], query_time: str, sample_time: str, values: list[str], side: str = "left", block_s: float = BLOCK_S) -> DataFrame:
+def bracket(queries: DataFrame, samples: DataFrame, keys: list[str], query_time: str, sample_time: str, values: list[str], side: str = "left") -> DataFrame:
     """Adds ``lo`` and ``hi``, structs (t, ``values``): the samples around each query's time, both NULL without samples.
 
     As for a sorted search that is clipped to the inside: with ``side`` left, ``hi`` is the first sample at
@@ -23,7 +23,7 @@ def bracket(queries: DataFrame, samples: DataFrame, keys: list[str], query_time:
     """
     s = samples.select(*keys, F.col(sample_time).cast("double").alias("_t"), *[F.col(v).alias(f"_v_{v}") for v in values]).filter(F.col("_t").isNotNull())
     names = [f"_v_{v}" for v in values]
-    s = neighbours(s, keys, ["_t", *names], ["_t", *names], block_s)
+    s = neighbours(s, keys, ["_t", *names], ["_t", *names])
     plain = lambda base: F.struct(F.col(f"{base}_t").alias("t"), *[F.col(f"{base}_v_{v}").alias(v) for v in values])
     s = s.select(*keys, "_t", *names, F.struct(plain("").alias("own"), F.when(F.col("next").isNotNull(), plain("next.")).alias("after")).alias("_s"), F.lit(None).alias("_q"))
     q = queries.withColumn("_q", F.struct(*queries.columns)).select(*keys, F.col(query_time).cast("double").alias("_t"), "_q").filter(F.col("_t").isNotNull())
@@ -33,16 +33,17 @@ def bracket(queries: DataFrame, samples: DataFrame, keys: list[str], query_time:
     s = s.withColumn("_q", F.lit(None).cast(q.schema["_q"].dataType))
     # With side left a query sorts before a sample of its time, with side right after it.
     both = q.withColumn("_kind", F.lit(0 if side == "left" else 2)).unionByName(s.withColumn("_kind", F.lit(1)))
-    both = with_block(both, "_t", block_s)
-    up = Window.partitionBy(*keys, "_block").orderBy("_t", "_kind", *names).rowsBetween(Window.unboundedPreceding, 0)
-    down = Window.partitionBy(*keys, "_block").orderBy(F.desc("_t"), F.desc("_kind"), *[F.desc(n) for n in names]).rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("_l", F.last("_s", ignorenulls=True).over(up)).withColumn("_r", F.last("_s", ignorenulls=True).over(down))
+    both = with_group(both, keys, time_block("_t")).drop(*keys)
+    up = Window.partitionBy("_g").orderBy("_t", "_kind", *names).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("_g").orderBy(F.desc("_t"), F.desc("_kind"), *[F.desc(n) for n in names]).rowsBetween(Window.unboundedPreceding, 0)
     place = F.when(F.col("_s").isNotNull(), F.struct("_t", "_kind", *names))
-    ends = both.groupBy(*keys, "_block").agg(F.max_by("_s", place).alias("_last"), F.min_by("_s", place).alias("_first"))
-    back = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    on = Window.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*keys, "_block", F.last("_last", ignorenulls=True).over(back).alias("_lb"), F.last("_first", ignorenulls=True).over(on).alias("_rb"))
-    found = _join_blocks(both.filter(F.col("_q").isNotNull()), ends, keys)
+    ends = both.groupBy("_g").agg(F.max_by("_s", place).alias("_last"), F.min_by("_s", place).alias("_first"))
+    source = Window.partitionBy(*source_of(keys))
+    back = source.orderBy("_g.block").rowsBetween(Window.unboundedPreceding, -1)
+    on = source.orderBy(F.desc("_g.block")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("_g", F.last("_last", ignorenulls=True).over(back).alias("_lb"), F.last("_first", ignorenulls=True).over(on).alias("_rb"))
+    found = both.withColumn("_l", F.last("_s", ignorenulls=True).over(up)).withColumn("_r", F.last("_s", ignorenulls=True).over(down))
+    found = found.filter(F.col("_q").isNotNull()).join(ends, "_g", "left")
     found = found.withColumn("_l", F.coalesce("_l", "_lb")).withColumn("_r", F.coalesce("_r", "_rb"))
     low = F.when(F.col("_l").isNotNull(), F.col("_l.own")).otherwise(F.col("_r.own"))
     high = F.when(F.col("_l").isNotNull(), F.col("_r.own")).otherwise(F.col("_r.after"))

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 def keep_first_copy(df: DataFrame, keys: list[str], rank: str, carry: list[str]) -> DataFrame:
     """One row per ``keys``: that of the smallest ``rank``, with the columns ``carry``.
 
-    A partial minimum before the shuffle, so many copies of one row never meet in one task. NULL keys are
-    values like others; rows of equal rank fall back on the smallest ``carry``.
+    A partial minimum before the shuffle, so many copies of one row never meet in one task. Each carried
+    column is an aggregate of its own, so those a query does not use are neither read nor shuffled. NULL keys are
+    values like others; a NULL ``rank`` counts as no row; rows of one rank must be equal in ``carry``.
     """
-    # A struct compares field by field, so its minimum is the whole row of the smallest rank.
-    first = F.min(F.struct(F.col(rank), *[F.col(c) for c in carry])).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, F.col(f"_first.{rank}").alias(rank), *[F.col(f"_first.{c}").alias(c) for c in carry])
+    return df.groupBy(*keys).agg(F.min(rank).alias(rank), *[F.min_by(c, rank).alias(c) for c in carry])

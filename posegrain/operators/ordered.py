@@ -9,40 +9,44 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from posegrain.operators.pieces import whole_groups
 from posegrain.session import map_rows
 
 BLOCK_S = 600.0
 
 
-def with_block(df: DataFrame, time: str, block_s: float = BLOCK_S) -> DataFrame:
-    return df.withColumn("_block", F.floor(F.col(time) / block_s))
+def with_group(df: DataFrame, keys: list[str], block: Column) -> DataFrame:
+    """Adds ``_g``, the struct of ``keys`` and block. As one column it is what windows, sums and the join of a
+    block's carried row all partition by, so rows are shuffled once; and within a struct NULL equals NULL."""
+    return df.withColumn("_g", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], block.alias("block")))
 
 
-def _join_blocks(rows: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = blocks.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_block").alias("_kb"), *[c for c in blocks.columns if c not in (*keys, "_block")])
-    same = F.col("_block") == F.col("_kb")
-    for i, k in enumerate(keys):
-        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return rows.join(renamed, same, "left").drop("_kb", *[f"_k{i}" for i in range(len(keys))])
+def time_block(time: str) -> Column:
+    return F.floor(F.col(time) / BLOCK_S)
 
 
-def neighbours(df: DataFrame, keys: list[str], order: list[str], columns: list[str], block_s: float = BLOCK_S) -> DataFrame:
+def source_of(keys: list[str]) -> list[Column]:
+    """The key columns within ``_g``, without the block."""
+    return [F.col(f"_g.k{i}") for i in range(len(keys))]
+
+
+def neighbours(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
     """Adds ``prev`` and ``next``, structs of ``columns`` of the rows before and after within ``keys``; NULL at the ends.
 
     ``order`` begins with the time and orders rows fully. Empty tables stay empty.
     """
-    d = with_block(df, order[0], block_s).withColumn("_s", F.struct(*columns))
-    w = Window.partitionBy(*keys, "_block").orderBy(*order)
-    d = d.withColumn("_p", F.lag("_s").over(w)).withColumn("_n", F.lead("_s").over(w))
-    ends = d.groupBy(*keys, "_block").agg(F.min_by("_s", F.struct(*order)).alias("_first"), F.max_by("_s", F.struct(*order)).alias("_last"))
-    v = Window.partitionBy(*keys).orderBy("_block")
-    ends = ends.select(*keys, "_block", F.lag("_last").over(v).alias("_pb"), F.lead("_first").over(v).alias("_nb"))
-    d = _join_blocks(d, ends, keys)
-    return d.withColumn("prev", F.coalesce("_p", "_pb")).withColumn("next", F.coalesce("_n", "_nb")).drop("_s", "_p", "_n", "_pb", "_nb", "_block")
+    d = with_group(df, keys, time_block(order[0])).withColumn("_s", F.struct(*columns))
+    w = Window.partitionBy("_g").orderBy(*order)
+    ends = d.groupBy("_g").agg(F.min_by("_s", F.struct(*order)).alias("_first"), F.max_by("_s", F.struct(*order)).alias("_last"))
+    v = Window.partitionBy(*source_of(keys)).orderBy("_g.block")
+    ends = ends.select("_g", F.lag("_last").over(v).alias("_pb"), F.lead("_first").over(v).alias("_nb"))
+    d = d.withColumn("_p", F.lag("_s").over(w)).withColumn("_n", F.lead("_s").over(w)).join(ends, "_g", "left")
+    return d.withColumn("prev", F.coalesce("_p", "_pb")).withColumn("next", F.coalesce("_n", "_nb")).drop("_g", "_s", "_p", "_n", "_pb", "_nb")
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, block: Column | None = None, total: str | None = None) -> DataFrame:
@@ -50,14 +54,14 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column,
 
     ``block`` cuts the order into stretches and must not fall along it; without it they are ``BLOCK_S`` of time.
     """
-    d = (with_block(df, order[0]) if block is None else df.withColumn("_block", block)).withColumn("_v", value)
-    w = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_in", F.sum("_v").over(w))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    whole = [F.sum("_all").over(Window.partitionBy(*keys)).alias(total)] if total else []
-    blocks = d.groupBy(*keys, "_block").agg(F.sum("_v").alias("_all")).select(*keys, "_block", F.sum("_all").over(before).alias("_before"), *whole)
-    d = _join_blocks(d, blocks, keys)
-    return d.withColumn(name, F.col("_in") + F.coalesce(F.col("_before"), F.lit(0))).drop("_v", "_in", "_before", "_block")
+    d = with_group(df, keys, time_block(order[0]) if block is None else block).withColumn("_v", value)
+    w = Window.partitionBy("_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    source = Window.partitionBy(*source_of(keys))
+    before = source.orderBy("_g.block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = [F.sum("_all").over(source).alias(total)] if total else []
+    blocks = d.groupBy("_g").agg(F.sum("_v").alias("_all")).select("_g", F.sum("_all").over(before).alias("_before"), *whole)
+    d = d.withColumn("_in", F.sum("_v").over(w)).join(blocks, "_g", "left")
+    return d.withColumn(name, F.col("_in") + F.coalesce(F.col("_before"), F.lit(0))).drop("_g", "_v", "_in", "_before")
 
 
 def gap_segments(df: DataFrame, keys: list[str], order: list[str], gap: float) -> DataFrame:
@@ -108,6 +112,11 @@ def centred_median(df: DataFrame, keys: list[str], order: list[str], value: str,
     return d.withColumn(name, middle).drop("_near")
 
 
+def _spread(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Each group in one sorted partition. The number is stated, as few bytes can be much work for Python and would else be put together."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys, *order)
+
+
 def sequential(df: DataFrame, keys: list[str], order: list[str], start: Callable[[], object], step: Callable[[object, dict], tuple], outputs: str) -> DataFrame:
     """For operators whose state depends on their own output: one pass over each source's rows in order.
 
@@ -131,5 +140,23 @@ def sequential(df: DataFrame, keys: list[str], order: list[str], start: Callable
             columns = [pa.array([g[i] for g in got]) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
 
-    spread = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    return map_rows(spread, run, f"{types}, {outputs}")
+    return map_rows(_spread(df, keys, order), run, f"{types}, {outputs}")
+
+
+def per_group(df: DataFrame, keys: list[str], order: list[str], inputs: list[str], function: Callable[..., list[np.ndarray]], outputs: list[str]) -> DataFrame:
+    """Adds double columns ``outputs``: ``function`` of each group's ``inputs`` (double arrays, NULL as NaN) in order.
+
+    Groups are slices of Arrow columns, so many small ones cost little; ``keys`` should hold what bounds a
+    group, as a segment does. Results that are NaN come out NULL.
+    """
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, keys):
+            values = [table[c].cast(pa.float64()).to_numpy() for c in inputs]
+            got = [function(*(v[a:b] for v in values)) for a, b in zip(starts[:-1], starts[1:])]
+            added = [pa.array(np.concatenate([g[i] for g in got]), pa.float64(), from_pandas=True) for i in range(len(outputs))]
+            for batch in pa.Table.from_arrays([*[c.combine_chunks() for c in table.columns], *added], [*table.column_names, *outputs]).to_batches():
+                yield batch
+
+    return map_rows(_spread(df, keys, order), run, f"{types}, " + ", ".join(f"`{o}` double" for o in outputs))

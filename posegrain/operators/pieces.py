@@ -50,6 +50,25 @@ def key_starts(*columns: pa.ChunkedArray) -> np.ndarray:
     return np.append(np.flatnonzero(change), n)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = PIECE_ROWS) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, group starts) of whole groups from batches sorted by ``keys``; about ``rows`` at a time, or one group if it is larger."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= rows:
+            table = pa.Table.from_batches(held).combine_chunks()
+            starts = key_starts(*[table[k] for k in keys])
+            if len(starts) > 2:
+                yield table.slice(0, starts[-2]).combine_chunks(), starts[:-1]
+                held, n = table.slice(starts[-2]).to_batches(), int(starts[-1] - starts[-2])
+    if n:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, key_starts(*[table[k] for k in keys])
+
+
 def neighbours(strips: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
     """Each strip in a row with the one before it in its series: ``carried`` and the same as ``prev_*``.
 

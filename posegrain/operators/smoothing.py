@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from posegrain.operators.ordered import sequential
-from posegrain.session import ship_package
+from posegrain.operators.ordered import per_group, sequential
 
 
 def ema(df: DataFrame, keys: list[str], order: list[str], value: str, keep: float, name: str, gap: float = 0.65) -> DataFrame:
@@ -94,18 +92,11 @@ def kalman_rts(df: DataFrame, keys: list[str], order: list[str], axes: dict[str,
     ``axes``: measurement noise, acceleration noise and first rate's spread of each. A segment is what one
     smoother needs together; gaps bound it.
     """
-    ship_package(df.sparkSession)
-    added = ", ".join(f"{a}_smooth double, {a}_rate double" for a in axes)
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        t = pdf[order[0]].to_numpy(float)
-        for a, (sm, sa, r0) in axes.items():
-            pdf[f"{a}_smooth"], pdf[f"{a}_rate"] = smooth_constant_velocity(t, pdf[a].to_numpy(float), sm, sa, r0)
-        return pdf
+    def run(t: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+        return [out for v, rule in zip(values, axes.values()) for out in smooth_constant_velocity(t, v, *rule)]
 
-    return df.groupBy(*keys).applyInPandas(run, f"{types}, {added}")
+    return per_group(df, keys, order, [order[0], *axes], run, [f"{a}_{what}" for a in axes for what in ("smooth", "rate")])
 
 
 def savgol(y: np.ndarray, width: int = 9, degree: int = 2) -> np.ndarray:
@@ -136,13 +127,4 @@ def despike_and_smooth(y: np.ndarray, limit: float = 0.12) -> np.ndarray:
 
 def despiked(df: DataFrame, keys: list[str], order: list[str], axes: list[str], limit: float = 0.12) -> DataFrame:
     """Adds ``<axis>_smooth`` per group of ``keys``, which should hold a segment; rows with NULL must be left out before."""
-    ship_package(df.sparkSession)
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        for a in axes:
-            pdf[f"{a}_smooth"] = despike_and_smooth(pdf[a].to_numpy(float), limit)
-        return pdf
-
-    return df.groupBy(*keys).applyInPandas(run, f"{types}, " + ", ".join(f"{a}_smooth double" for a in axes))
+    return per_group(df, keys, order, axes, lambda *v: [despike_and_smooth(y, limit) for y in v], [f"{a}_smooth" for a in axes])

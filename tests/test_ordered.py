@@ -104,3 +104,25 @@ def test_sequential_jump_gate(spark):
     assert [r.accepted for r in jump_gate(d, ["s"], ["t", "i"], ["x"], 1.0).orderBy("i").collect()] == [True, True, False, False, True, False, True]
     got = [r.m for r in ema(d.filter("x IS NOT NULL"), ["s"], ["t", "i"], "x", 0.5, "m", gap=1.5).orderBy("i").collect()]
     assert np.allclose(got, [0, 0.05, 2.525, 3.8125, 2.00625, 0.3])
+
+
+def test_per_group_slices(spark, monkeypatch):
+    d = spark.createDataFrame([(g, float(i), None if i == 2 else float(i * i)) for g in range(25) for i in range(g)], "g int, t double, x double").repartition(3)
+    got = {(r.g, r.t): r.c for r in ordered.per_group(d, ["g"], ["t"], ["t", "x"], lambda t, x: [np.cumsum(t) + 0 * x], ["c"]).collect()}
+    assert len(got) == sum(range(25))
+    assert all(v is None if t == 2 else v == sum(range(int(t) + 1)) for (g, t), v in got.items())
+    assert ordered.per_group(d.limit(0), ["g"], ["t"], ["x"], lambda x: [x], ["c"]).count() == 0
+
+
+def test_whole_groups_hold_back_the_last():
+    import pyarrow as pa
+
+    from posegrain.operators.pieces import whole_groups
+
+    key = np.repeat(np.arange(12), np.arange(12) + 1)
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[a : a + 5])], ["k"]) for a in range(0, len(key), 5)]
+    seen = []
+    for table, starts in whole_groups(iter(batches), ["k"], 9):
+        seen += [table["k"][int(a)].as_py() for a in starts[:-1]]
+        assert starts[-1] == table.num_rows
+    assert seen == list(range(12))
