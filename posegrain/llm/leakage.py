@@ -63,21 +63,28 @@ class WordHashes(dict):
         return h
 
 
-def shingle_hashes(word_hashes: np.ndarray) -> np.ndarray:
-    n = len(word_hashes) - SHINGLE + 1
+def shingle_hashes(word_hashes: np.ndarray, words: int = SHINGLE) -> np.ndarray:
+    n = len(word_hashes) - words + 1
     if n <= 0:
         return np.zeros(0, _U64)
     with np.errstate(over="ignore"):
         s = word_hashes[:n] * _MIX[0]
-        for k in range(1, SHINGLE):
+        for k in range(1, words):
             s = (s ^ (s >> _U64(29))) * _MIX[k % 3] + word_hashes[k : n + k]
         return s ^ (s >> _U64(32))
 
 
 def _permute(s: np.ndarray, k: int) -> np.ndarray:
-    """The k-th hash function, to 32 bits."""
+    """The k-th hash function of 32-bit shingle hashes; one-to-one."""
     with np.errstate(over="ignore"):
-        return ((s + _U64(k * 0x632BE59BD9B4E019 & (1 << 64) - 1)) * _U64((0x9E3779B97F4A7C15 * (2 * k + 1)) & (1 << 64) - 1) >> _U64(32)).astype(np.uint32)
+        x = (s ^ np.uint32((k + 1) * 0x9E3779B9 & 0xFFFFFFFF)) * np.uint32((0x85EBCA6B + 2 * k * 0x27D4EB2F) & 0xFFFFFFFF | 1)
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0x2C1B3C6D)
+        return x
+
+
+def folded(s: np.ndarray) -> np.ndarray:
+    return (s >> _U64(32)).astype(np.uint32)
 
 
 def passages(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,26 +115,43 @@ class ItemIndex:
         query = least - SHINGLE + 1
         self.counts = [functions_for(size, query, containment) for size in SIZES]
         hashes = WordHashes()
-        per: list[dict[int, set[int]]] = [defaultdict(set) for _ in range(max(self.counts))]
-        for i, words in enumerate(self.words):
-            s = shingle_hashes(np.array([hashes[w] for w in words], dtype=_U64))
-            if not len(s):
-                continue
-            starts = range(0, max(1, len(s) - query + 1), 3)
-            for k, table in enumerate(per):
-                v = _permute(s, k)
-                for a in [*starts, max(0, len(s) - query)]:
-                    table[int(v[a : a + query].min())].add(i)
-        self.tables = [{v: np.array(sorted(ids), np.int32) for v, ids in t.items()} for t in per]
-        self.seen = np.zeros((len(per), 1 << (BITS - 3)), np.uint8)
-        for k, t in enumerate(self.tables):
-            low = np.fromiter(t, np.uint32, len(t)) >> np.uint32(32 - BITS)
+        seeds: list[np.ndarray] = []
+        folds: list[np.ndarray] = []
+        for words in self.words:
+            own = np.array([hashes[w] for w in words], dtype=_U64)
+            seeds.append(shingle_hashes(own, SEED))
+            folds.append(folded(shingle_hashes(own)))
+        # For each function the minima of all items' passages, and whose they are; plain arrays, as every task gets them.
+        self.minima: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.seen = np.zeros((max(self.counts), 1 << (BITS - 3)), np.uint8)
+        for k in range(max(self.counts)):
+            value, item = [np.zeros(0, np.uint32)], [np.zeros(0, np.int32)]
+            for i, s in enumerate(folds):
+                if len(s):
+                    v = _permute(s, k)
+                    m = v.min(keepdims=True) if len(v) <= query else np.append(np.lib.stride_tricks.sliding_window_view(v, query)[::3].min(axis=1), v[-query:].min())
+                    value.append(m)
+                    item.append(np.full(len(m), i, np.int32))
+            pair = np.unique((np.concatenate(value).astype(np.int64) << 20) | np.concatenate(item))
+            values, first = np.unique(pair >> 20, return_index=True)
+            self.minima.append((values.astype(np.uint32), np.append(first, len(pair)), (pair & ((1 << 20) - 1)).astype(np.int32)))
+            low = values.astype(np.uint32) >> np.uint32(32 - BITS)
             np.bitwise_or.at(self.seen[k], low >> np.uint32(3), np.left_shift(1, low & np.uint32(7)).astype(np.uint8))
+        place = np.concatenate([*seeds, np.zeros(0, _U64)])
+        item, j = np.repeat(np.arange(len(seeds)), [len(x) for x in seeds]), np.concatenate([*[np.arange(len(x)) for x in seeds], np.zeros(0, int)])
+        order = np.argsort(place, kind="stable")
+        self.seed_hashes, first = np.unique(place[order], return_index=True)
+        self.seed_ends = np.append(first, len(place))
+        self.seed_item, self.seed_at = item[order], j[order]
+        # A passage of the least length keeps more than a third of its words as seeds even with three slips.
+        self.need = np.minimum(max(2, least // 3), [max(1, len(x)) for x in seeds] or [1])
+        # What is shorter than a passage is too small for the estimates; containment alone decides.
+        self.short = {i for i, w in enumerate(self.words) if SEED <= len(w) < least}
         self.seeds = [[tuple(w[j : j + SEED]) for j in range(len(w) - SEED + 1)] for w in self.words]
 
     def candidates(self, docs: list[np.ndarray]) -> list[tuple[int, int]]:
         """(document, item) where a passage of either shares ``AGREE`` minima or more; documents as word hashes."""
-        shingles = [shingle_hashes(d) for d in docs]
+        shingles = [folded(shingle_hashes(d)) for d in docs]
         lengths = np.array([len(s) for s in shingles], dtype=np.int64)
         out = []
         for c, (size, b) in enumerate(zip(SIZES, self.counts)):
@@ -142,11 +166,15 @@ class ItemIndex:
                 m = np.minimum.reduceat(_permute(values, k), starts)[made_of].min(axis=1)
                 low = m >> np.uint32(32 - BITS)
                 hit = np.flatnonzero(self.seen[k][low >> np.uint32(3)] >> (low & np.uint32(7)).astype(np.uint8) & 1)
-                for p, v in zip(hit.tolist(), m[hit].tolist()):
-                    ids = self.tables[k].get(v)
-                    if ids is not None:
-                        got_passage.append(np.full(len(ids), p))
-                        got_item.append(ids)
+                known, ends, items = self.minima[k]
+                if not len(hit) or not len(known):
+                    continue
+                at = np.minimum(np.searchsorted(known, m[hit]), len(known) - 1)
+                same = known[at] == m[hit]
+                at, hit = at[same], hit[same]
+                n = ends[at + 1] - ends[at]
+                got_passage.append(np.repeat(hit, n))
+                got_item.append(items[np.repeat(ends[at] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())])
             if got_passage:
                 key = np.concatenate(got_passage) * len(self.ids) + np.concatenate(got_item)
                 pair, votes = np.unique(key, return_counts=True)
@@ -155,6 +183,23 @@ class ItemIndex:
                 out += [(int(own[x // len(self.ids)]), int(x % len(self.ids))) for x in both]
         return sorted(out)
 
+    def containing(self, doc: np.ndarray) -> set[int]:
+        """Items of which the document holds the seeds a passage needs in about their order: exact containment along
+        a diagonal, which items of the same phrasing elsewhere in the text do not reach."""
+        s = shingle_hashes(doc, SEED)
+        if not len(s) or not len(self.seed_hashes):
+            return set()
+        at = np.minimum(np.searchsorted(self.seed_hashes, s), len(self.seed_hashes) - 1)
+        p = np.flatnonzero(self.seed_hashes[at] == s)
+        n = self.seed_ends[at[p] + 1] - self.seed_ends[at[p]]
+        entry = np.repeat(self.seed_ends[at[p]] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
+        diagonal = np.repeat(p, n) - self.seed_at[entry] + (1 << 12)
+        found: set[int] = set()
+        for shift in (0, 16):
+            key, count = np.unique((self.seed_item[entry] << 40) + ((diagonal + shift) >> 5), return_counts=True)
+            found.update((key[count >= self.need[key >> 40]] >> 40).tolist())
+        return found
+
 
 def _alike(a: str, b: str) -> bool:
     """One slip apart: a letter wrong, missing, extra or two swapped. Numbers are alike only if equal."""
@@ -202,9 +247,6 @@ def longest_passage(item: list[str], seeds: list[tuple], doc: list[str], places:
     Shared seeds on one diagonal make stretches; stretches that follow each other in both texts are joined
     where ``_bridged`` says so.
     """
-    # Exact containment first: even with three slips, a passage shares well over this many seeds.
-    if sum(seed in places for seed in seeds) < 6:
-        return 0
     runs: list[list[int]] = []  # item start, document start, length
     open_: dict[int, list[int]] = {}
     for j, seed in enumerate(seeds):
@@ -268,10 +310,18 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id"
                 for text in batch.column(1).to_pylist():
                     subject, parts = mailtext.texts(text)
                     words.append(mailtext.words("\n".join([subject, *parts])))
-                docs, got, at, places = [], [], -1, {}
-                for d, i in index.candidates([np.array([hashes[w] for w in ws], dtype=_U64) for ws in words]):
+                docs, got, at, places, holds = [], [], -1, {}, set()
+                coded = [np.array([hashes[w] for w in ws], dtype=_U64) for ws in words]
+                near = index.candidates(coded)
+                if index.short:
+                    near = sorted({*near, *((d, i) for d, c in enumerate(coded) for i in index.containing(c) & index.short)})
+                for d, i in near:
                     if d != at:
-                        at, places = d, seed_places(words[d])
+                        at, places = d, None
+                        holds = index.containing(coded[d])
+                    if i not in holds:
+                        continue
+                    places = places or seed_places(words[d])
                     if longest_passage(index.words[i], index.seeds[i], words[d], places) >= min(least - slack, len(index.words[i])):
                         docs.append(d)
                         got.append(index.ids[i])

@@ -47,6 +47,13 @@ def test_found_in_any_form(spark):
     assert L.leaked_items(d.limit(0), i).count() == 0 and L.leaked_items(d, i.limit(0)).count() == 0
 
 
+def test_short_items_must_be_whole(spark):
+    items = [(1, "seven small words make one short item"), (2, "one two"), (3, "only three words")]
+    docs = [(1, text(50) + " Seven small words, make one short item! " + text(50)), (2, text(30) + " seven small words " + text(30)), (3, text(300) + " only three words")]
+    got = L.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (3, 3)]
+
+
 def test_blocks_of_items(spark, monkeypatch):
     monkeypatch.setattr(L, "BLOCK_ITEMS", 4)
     items = [(i, text(60)) for i in range(11)]
