@@ -145,7 +145,7 @@ NOT_PROSE = re.compile(
     r"|^[ \t]*(?:[A-ZÄÖÜ][a-zäöüß]+[ \t]*){1,3}$",
     re.M,
 )
-#: Names of lists in subject lines.
+#: Names of lists in subject lines, also of quoted mails.
 LIST_TAG = re.compile(r"\[[^\]\s]*\]")
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -153,4 +153,4 @@ LETTERS = re.compile(r"[^\W\d_]+")
 def prose_words(subject: str, parts: list[str]) -> list[str]:
     """Lower-case words of the subject line and of the prose in the texts; no numbers."""
     body = NOT_PROSE.sub(" ", QUOTE_MARK.sub("", "\n\n".join(parts)))
-    return LETTERS.findall(f"{LIST_TAG.sub(' ', subject)} {body}".lower())
+    return LETTERS.findall(LIST_TAG.sub(" ", f"{subject} {body}").lower())
