@@ -167,12 +167,12 @@ def src_quality(spark, sf_dir):
 
 
 @query("""
-SELECT session_id, CASE WHEN lower(profile) LIKE '%insta360%' THEN 'insta360' WHEN lower(profile) LIKE '%dji%' OR lower(profile) LIKE '%osmo%' THEN 'dji' WHEN profile IS NULL THEN 'unknown' ELSE 'generic' END AS camera_class,
+SELECT session_id, CASE WHEN profile IS NULL THEN 'unknown' WHEN lower(profile) LIKE '%360%' THEN 'panorama' WHEN lower(profile) LIKE 'generic%' THEN 'generic' ELSE split_part(lower(profile), '_', 1) END AS camera_class,
        CASE WHEN fps >= 50 THEN 'fast' WHEN fps IS NULL THEN 'unknown' ELSE 'usual' END AS rate_class FROM sessions""")
 def src_camera_class(spark, sf_dir):
     """Ordered rules on profile and frame rate, the first that holds."""
     low = F.lower("profile")
-    kind = F.when(low.contains("insta360"), "insta360").when(low.contains("dji") | low.contains("osmo"), "dji").when(low.isNull(), "unknown").otherwise("generic")
+    kind = F.when(low.isNull(), "unknown").when(low.contains("360"), "panorama").when(low.startswith("generic"), "generic").otherwise(F.split_part(low, F.lit("_"), F.lit(1)))
     return sessions(spark, sf_dir).select("session_id", kind.alias("camera_class"), F.when(F.col("fps") >= 50, "fast").when(F.col("fps").isNull(), "unknown").otherwise("usual").alias("rate_class"))
 
 
