@@ -15,7 +15,7 @@ from posegrain.operators import asof, ordered, smoothing, sync
 from posegrain.operators import trajectory as tr
 from posegrain.operators.alignment import apply_rigid, fit_rigid, mean_rotation, robust_inliers
 from posegrain.operators.dedupe import keep_first_copy
-from posegrain.operators.packed_fields import is_plain
+from posegrain.operators.packed_fields import split_packed
 from posegrain.plans.problems import STATUS_SQL
 from posegrain.session import read_table
 
@@ -233,8 +233,7 @@ WITH i AS (SELECT session_id, frame, unnest(string_split(trim(ids), ' ')) AS id
 SELECT i.session_id, i.frame, i.id::INT AS id, center_m[1] AS cx, center_m[2] AS cy FROM i JOIN sessions s USING (session_id) JOIN tag_map t ON t.board = s.board AND t.id = i.id::INT""")
 def join_tag_geometry(spark, sf_dir):
     """Detected tags with their place on the session's board; tags the board does not have drop out."""
-    d = poses(spark, sf_dir).filter(is_plain(F.col("ids"))).select("session_id", "frame", F.explode(F.split("ids", " ")).alias("id"))
-    d = d.withColumn("id", F.col("id").cast("int")).join(sessions(spark, sf_dir).select("session_id", "board"), "session_id")
+    d = detected(spark, sf_dir).select("session_id", "frame", "id").join(sessions(spark, sf_dir).select("session_id", "board"), "session_id")
     board = read_table(spark, sf_dir, "tag_map").select("board", "id", F.get("center_m", F.lit(0)).alias("cx"), F.get("center_m", F.lit(1)).alias("cy"))
     return d.join(board, ["board", "id"]).select("session_id", "frame", "id", "cx", "cy")
 
@@ -574,12 +573,17 @@ WITH i AS (SELECT DISTINCT session_id, frame, unnest(string_split(ids, ' '))::IN
 SELECT session_id, id, count(*) AS n_frames FROM i GROUP BY session_id, id""")
 def agg_detections_per_id(spark, sf_dir):
     """In how many frames each tag was seen; twice in a frame counts once."""
-    return detected(spark, sf_dir).distinct().groupBy("session_id", "id").agg(F.count(F.lit(1)).alias("n_frames"))
+    return detected(spark, sf_dir).select("session_id", "frame", "id").distinct().groupBy("session_id", "id").agg(F.count(F.lit(1)).alias("n_frames"))
 
 
 def detected(spark, sf_dir) -> DataFrame:
-    d = poses(spark, sf_dir).filter(is_plain(F.col("ids"))).select("session_id", "frame", F.explode(F.array_distinct(F.split("ids", " "))).alias("id"))
-    return d.withColumn("id", F.col("id").cast("int"))
+    """(session_id, frame, t, id): a row per tag that a pose's field holds, however the field is written.
+
+    A value's tag is the whole number that it is or ends in, as 7 in ``7``, ``tag 7`` and ``bay "B" 7``; values without one name no tag.
+    """
+    d = split_packed(poses(spark, sf_dir).select(F.struct("session_id", "frame", "t").alias("pose"), "ids"), "pose", "ids")
+    tag = F.regexp_extract("tag_value", r"(?:^|\s)([0-9]+)$", 1).try_cast("int")
+    return d.select("pose.*", tag.alias("id")).filter(F.col("id").isNotNull())
 
 
 @query(r"""
@@ -721,9 +725,8 @@ WITH i AS (SELECT DISTINCT session_id, floor(t)::BIGINT AS second, unnest(string
 SELECT session_id, second, string_agg(id, ' ' ORDER BY id) AS ids FROM i GROUP BY 1, 2""")
 def set_union_of_ids(spark, sf_dir):
     """All tags seen in each second, once each, in order."""
-    d = poses(spark, sf_dir).filter(is_plain(F.col("ids"))).select("session_id", F.floor("t").alias("second"), F.explode(F.split("ids", " ")).alias("id"))
-    d = d.select("session_id", "second", F.col("id").cast("int").alias("id")).distinct()
-    ids = F.array_sort(F.collect_list("id"))
+    d = detected(spark, sf_dir).select("session_id", F.floor("t").alias("second"), "id")
+    ids = F.array_sort(F.collect_set("id"))
     return d.groupBy("session_id", "second").agg(F.array_join(F.transform(ids, lambda i: i.cast("string")), " ").alias("ids"))
 
 
