@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from posegrain.operators.ordered import running_sum
 
 STEPS = 64  # stretches per power of two of a value
+DRAWN = 1 << 17  # blocks drawn at once
 
 
 def _stretch(value: Column) -> Column:
@@ -86,7 +87,8 @@ def block_bootstrap(df: DataFrame, keys: list[str], time: str, value: str, block
         low = high = None
         if m >= 2:
             rng = np.random.default_rng(seed)
-            picks = np.array([(ss[k].sum() / c[k].sum()) ** 0.5 for k in (rng.integers(0, m, m) for _ in range(draws))])
+            at_once = max(1, DRAWN // m)
+            picks = np.concatenate([(ss[k].sum(1) / c[k].sum(1)) ** 0.5 for k in (rng.integers(0, m, (min(at_once, draws - i), m)) for i in range(0, draws, at_once))])
             low, high = np.percentile(picks, [tail, 100 - tail])
         return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), m, (ss.sum() / c.sum()) ** 0.5, low, high]], columns=[*keys, "n_blocks", "rmse", "low", "high"])
 
