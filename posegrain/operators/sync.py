@@ -1,17 +1,22 @@
 """Time offset between two series by correlating their speeds over a grid of shifts.
 
-Offsets are whole steps. All of a pass are tried in one query: the shifted times of one series go into one
-bracketing join keyed by (source, offset), so the work spreads over sources and offsets.
+Offsets are whole steps. All of a pass are tried on one block of time of a source at once, with the rows of the
+other side that shifts reach; a block gives six sums per offset, so the work spreads over sources and blocks.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posegrain.operators.aggregates import correlation, join_null_safe
-from posegrain.operators.asof import bracket, covered, linear
+from posegrain.operators.aggregates import join_null_safe
 from posegrain.operators.ordered import neighbours
+from posegrain.session import cut_lineage, ship_package
+
+BLOCK_S = 600.0
+TRIED = 1 << 16  # pairs tried at once
 
 
 def speeds(df: DataFrame, keys: list[str], time: str, axes: list[str]) -> DataFrame:
@@ -22,17 +27,56 @@ def speeds(df: DataFrame, keys: list[str], time: str, axes: list[str]) -> DataFr
     return d.filter(dt > 0).select(*keys, (F.col(time) - dt / 2).alias("t"), (moved / dt).alias("speed"))
 
 
-def offset_scores(left: DataFrame, right: DataFrame, keys: list[str], offsets: DataFrame, max_gap: float, least: int = 20) -> DataFrame:
-    """(``keys``, step, n, score) for speeds of both sides; ``offsets``: (``keys``, step, offset_s), right time = left time + offset.
+def offset_scores(left: DataFrame, right: DataFrame, keys: list[str], around: DataFrame, radius: float, step: float, max_gap: float, least: int = 20) -> DataFrame:
+    """(``keys``, step, offset_s, n, score) for speeds of both sides; right time = left time + offset.
 
-    Right speeds are interpolated where their samples are at most ``max_gap`` apart. Fewer than ``least``
-    pairs or a constant side give no score.
+    Offsets lie up to ``radius`` to either side of ``around`` (``keys``, base), in whole steps. Right speeds are
+    interpolated where their samples are at most ``max_gap`` apart. Fewer than ``least`` pairs or a constant side
+    give no score.
     """
-    tries = join_null_safe(left, offsets, keys).withColumn("_at", F.col("t") + F.col("offset_s")).withColumnRenamed("speed", "_left").drop("t")
-    found = bracket(tries, right, keys, "_at", "t", ["speed"])
-    at = F.col("_at")
-    found = found.withColumn("_right", F.when(covered(at, max_gap), linear(at, "speed")))
-    return found.groupBy(*keys, "step", "offset_s").agg(F.count("_right").alias("n"), correlation(F.col("_left"), F.col("_right"), least).alias("score"))
+    most = round(radius / step)
+    reach = most * step + max_gap
+    # Speeds from their means, so that sums of squares keep their digits.
+    a = join_null_safe(left, left.groupBy(*keys).agg(F.avg("speed").alias("_mean")), keys)
+    b = join_null_safe(right, right.groupBy(*keys).agg(F.avg("speed").alias("_mean")), keys)
+    a, b = (join_null_safe(d.filter("t IS NOT NULL"), around, keys).select(*[F.col(k).alias(k) for k in keys], F.col("base").alias("base"), F.col("t").cast("double").alias("t"), (F.col("speed") - F.col("_mean")).alias("speed")) for d in (a, b))
+    a = a.withColumn("_block", F.floor(F.col("t") / BLOCK_S))
+    first, last = (F.floor((F.col("t") - F.col("base") + d) / BLOCK_S) for d in (-reach - 1e-6, reach + 1e-6))
+    b = b.withColumn("_block", F.explode(F.sequence(first, last))).drop("base")
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    types = ", ".join(f"`{k}` {left.schema[k].dataType.simpleString()}" for k in keys)
+
+    def sums(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if x.empty or len(y) < 2:
+            return pd.DataFrame(columns=[*keys, "step", "offset_s", *names])
+        t, u, base = x["t"].to_numpy(), x["speed"].to_numpy(float), x["base"].iloc[0]
+        y = y.sort_values(["t", "speed"])
+        s, v = y["t"].to_numpy(), y["speed"].to_numpy(float)
+        steps = np.arange(-most, most + 1)
+        offsets, total = base + steps * step, np.zeros((len(steps), len(names)))
+        wide = max(1, TRIED // min(len(t), TRIED))
+        for at in range(0, len(t), TRIED):
+            tt, uu = t[at : at + TRIED], u[at : at + TRIED]
+            for i in range(0, len(steps), wide):
+                q = tt + offsets[i : i + wide, None]
+                hi = np.clip(np.searchsorted(s, q), 1, len(s) - 1)
+                lo = hi - 1
+                span = s[hi] - s[lo]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    w = v[lo] + np.where(span > 0, (q - s[lo]) / span, 0.0) * (v[hi] - v[lo])
+                ok = (s[lo] <= q) & (q <= s[hi]) & (span <= max_gap) & ~np.isnan(w) & ~np.isnan(uu)
+                p, w = np.where(ok, uu, 0.0), np.where(ok, w, 0.0)
+                total[i : i + wide] += np.stack([ok.sum(1), p.sum(1), w.sum(1), (p * p).sum(1), (w * w).sum(1), (p * w).sum(1)], 1)
+        return pd.DataFrame({**{k: [x[k].iloc[0]] * len(steps) for k in keys}, "step": steps, "offset_s": offsets, **{n: total[:, i] for i, n in enumerate(names)}})
+
+    ship_package(left.sparkSession)
+    by = [*keys, "_block"]
+    found = a.groupBy(*by).cogroup(b.groupBy(*by)).applyInPandas(sums, f"{types}, step int, offset_s double, {', '.join(f'{n} double' for n in names)}")
+    found = found.groupBy(*keys, "step").agg(F.max("offset_s").alias("offset_s"), *[F.sum(n).alias(n) for n in names])
+    spread = lambda d: F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col(f"s{d}{d}"), F.col("n")) - F.pow(F.try_divide(F.col(f"s{d}"), F.col("n")), F.lit(2.0))))
+    both = F.try_divide(F.col("sxy"), F.col("n")) - F.try_divide(F.col("sx"), F.col("n")) * F.try_divide(F.col("sy"), F.col("n"))
+    score = F.when((F.col("n") >= least) & (spread("x") > 1e-9) & (spread("y") > 1e-9), F.try_divide(both, spread("x") * spread("y")))
+    return found.select(*keys, "step", "offset_s", F.col("n").cast("long").alias("n"), score.alias("score"))
 
 
 def best_offset(scores: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,23 +85,21 @@ def best_offset(scores: DataFrame, keys: list[str]) -> DataFrame:
     return scores.filter(F.col("score").isNotNull()).groupBy(*keys).agg(best).select(*keys, "b.step", "b.offset_s", "b.n", "b.score")
 
 
-def grid(sources: DataFrame, keys: list[str], radius: float, step: float, around: str | None = None) -> DataFrame:
-    """Offsets ``radius`` to either side of 0, or of the column ``around``, in whole steps."""
-    n = round(radius / step)
-    base = F.col(around) if around else F.lit(0.0)
-    d = sources.select(*keys, base.alias("_base"), F.explode(F.sequence(F.lit(-n), F.lit(n))).alias("step"))
-    return d.select(*keys, "step", (F.col("_base") + F.col("step") * step).alias("offset_s"))
-
-
-def find_offset(left: DataFrame, right: DataFrame, keys: list[str], radius: float = 1.0, coarse: float = 0.05, fine: float = 0.005, max_gap: float = 0.5, least: int = 20) -> DataFrame:
+def find_offset(left: DataFrame, right: DataFrame, keys: list[str], radius: float = 1.0, coarse: float = 0.05, fine: float = 0.005, max_gap: float = 0.5, least: int = 20, edge: float | None = 0.1) -> DataFrame:
     """Coarse pass, then a fine one around its best: (``keys``, offset_s, score, n, uncertainty_s).
 
+    Sources whose coarse best lies within ``edge`` of the radius are searched again, once, at twice the radius and two seconds at least.
     ``uncertainty_s``: half the span of the fine offsets that score within 0.02 of the best.
     """
-    sources = left.select(*keys).distinct()
-    rough = best_offset(offset_scores(left, right, keys, grid(sources, keys, radius, coarse), max_gap, least), keys)
-    near = grid(rough.withColumnRenamed("offset_s", "_around"), keys, coarse * 2, fine, "_around")
-    scores = offset_scores(left, right, keys, near, max_gap, least)
+    left, right = cut_lineage(left), cut_lineage(right)
+    sources = left.select(*keys).distinct().withColumn("base", F.lit(0.0))
+    rough = cut_lineage(best_offset(offset_scores(left, right, keys, sources, radius, coarse, max_gap, least), keys))
+    if edge is not None:
+        at_edge = F.abs("offset_s") >= radius - edge - 1e-9
+        again = rough.filter(at_edge).select(*keys, F.lit(0.0).alias("base"))
+        again = best_offset(offset_scores(left, right, keys, again, max(2.0, 2 * radius), coarse, max_gap, least), keys)
+        rough = cut_lineage(rough.filter(~at_edge).unionByName(again))
+    scores = cut_lineage(offset_scores(left, right, keys, rough.select(*keys, F.col("offset_s").alias("base")), coarse * 2, fine, max_gap, least))
     best = best_offset(scores, keys).withColumnRenamed("score", "_best").withColumnRenamed("offset_s", "_offset").withColumnRenamed("n", "_n").drop("step")
     close = join_null_safe(scores, best, keys).filter(F.col("score") >= F.col("_best") - 0.02)
     return close.groupBy(*keys).agg(F.max("_offset").alias("offset_s"), F.max("_best").alias("score"), F.max("_n").alias("n"), ((F.max("offset_s") - F.min("offset_s")) / 2).alias("uncertainty_s"))

@@ -66,7 +66,7 @@ def align_pair(left: DataFrame, right: DataFrame, keys: list[str], radius: float
     statistics with PASS or REVIEW: correlation 0.8, offset sure to 20 ms, enough rows, and the 95th percentile within ``worst_m``.
     """
     left, right = _unique(left, keys), _unique(right, keys)
-    offsets = sync.find_offset(tr.motion_signature(left, keys, "t", XYZ), tr.motion_signature(right, keys, "t", XYZ), keys, radius=radius, coarse=0.01, fine=0.001, max_gap=0.5)
+    offsets = sync.find_offset(tr.motion_signature(left, keys, "t", XYZ), tr.motion_signature(right, keys, "t", XYZ), keys, radius=radius, coarse=0.01, fine=0.001, max_gap=0.5, edge=None)
     matched = cut_lineage(match(left, right, keys, cut_lineage(offsets), max_gap))
     moved = fit_rigid(matched, keys, [f"truth_{a}" for a in XYZ], XYZ)
     aligned = apply_rigid(matched, moved, keys, [f"truth_{a}" for a in XYZ])

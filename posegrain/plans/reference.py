@@ -753,7 +753,7 @@ def speed_pairs(spark, sf_dir):
 def sync_time_offset(spark, sf_dir):
     """The shift between poses and motion capture that makes their speeds agree best; tested on shifted series."""
     left, right = speed_pairs(spark, sf_dir)
-    return sync.find_offset(left, right, K, radius=1.0, coarse=0.1, fine=0.02).select("session_id", *six("offset_s", "score", "uncertainty_s"), "n")
+    return sync.find_offset(left, right, K, radius=1.0, coarse=0.01, fine=0.001).select("session_id", *six("offset_s", "score", "uncertainty_s"), "n")
 
 
 @query()
