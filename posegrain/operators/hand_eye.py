@@ -56,7 +56,7 @@ def hand_eye_by_group(pairs: DataFrame, keys: list[str], order: list[str], least
         pdf = pdf.sort_values("_i")
         a = _matrices(pdf[["x", "y", "z"]].to_numpy(), pdf[["qx", "qy", "qz", "qw"]].to_numpy())
         b = _matrices(pdf[["m_x", "m_y", "m_z"]].to_numpy(), pdf[["m_qx", "m_qy", "m_qz", "m_qw"]].to_numpy())
-        x, _ = hand_eye(a, b, rounds=6)
+        x, _ = hand_eye(a, b)
         return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), len(pdf), *x[:3, 3], *_quaternion(x[:3, :3])]], columns=[*keys, "n", *names])
 
     return d.groupBy(*keys).applyInPandas(solve, f"{types}, n long, {', '.join(f'{n} double' for n in names)}")

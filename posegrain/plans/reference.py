@@ -675,7 +675,7 @@ def agg_mean_rotation(spark, sf_dir):
 @query()
 def agg_robust_inliers(spark, sf_dir):
     """Errors kept by repeated median and deviation limits; tested against numpy."""
-    d = robust_inliers(poses(spark, sf_dir).filter("rmse IS NOT NULL").select("session_id", "frame", "rmse"), K, "rmse", 0.002, rounds=3)
+    d = robust_inliers(poses(spark, sf_dir).filter("rmse IS NOT NULL").select("session_id", "frame", "rmse"), K, "rmse", 0.002)
     return d.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("inlier").cast("long")).alias("n_inliers"))
 
 
