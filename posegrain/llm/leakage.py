@@ -1,16 +1,20 @@
-"""Evaluation texts leaking into training text: MinHash containment search, then an exact check.
+"""Evaluation texts leaking into training text: MinHash containment search, then exact shingle containment.
 
 Items are cut into passages of ``least`` words and indexed by the minima of many hash functions over their
 word shingles. Every document, decoded, is cut into overlapping passages. Passages fall into classes by
 size; for each class the number of hash functions follows from its upper size, the size of an item's
 passage and the containment that must be found, so that short items are found inside documents of any
-length. Minima shared by a document's passage and an item's make the pair a candidate, and the exact
-check aligns shared shingles: ``least`` successive words of the item must occur, single words excepted that
+length. Minima shared by a document's passage and an item's make the pair a candidate. It is verified by exact
+containment: of the shingles of some ``least`` successive words of the item the document must hold the share
+``containment``. What is left is aligned, as the words must also follow each other: single ones excepted that
 are misspelt or missing.
 
+Shingles have three words, not five: single words may be misspelt or missing, and three slips in a passage
+of twenty words break up to fifteen of its sixteen five-word shingles, but only nine of its eighteen three-word ones.
+
 The items are the query set: blocks of at most ``BLOCK_ITEMS`` of them are sent to the executors one after
-the other, each against all documents. The corpus itself is read in one pass per block without any shuffle;
-only found pairs leave the tasks.
+the other, each against all documents. Texts are decoded once, for several blocks into a checkpoint; with one
+block the corpus is read in one pass without any shuffle. Only found pairs leave the tasks.
 """
 
 from __future__ import annotations
@@ -26,16 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from posegrain.llm import mailtext
+from posegrain.session import cut_lineage, map_rows
 
-from posegrain.session import map_rows
-
-SHINGLE = 5
-SEED = 3  # words of a shared stretch, in the exact check
+SHINGLE = 3
 STRIDE = 8
 SIZES = (16, 32)  # upper sizes of the classes of passages, in shingles
 BLOCK_ITEMS = 5_000
 AGREE = 3  # minima that must agree
-BITS = 22
+STEP = 2  # shingles between the passages of an item
+SPARSE = 64  # bits of a filter per value in it
 
 _U64 = np.uint64
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=_U64)
@@ -106,48 +109,47 @@ def passages(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 class ItemIndex:
-    """The passages of a block of items, by the minima of each hash function."""
+    """The passages of a block of items, by the minima of each hash function, and their shingles."""
 
     def __init__(self, items: list[tuple[object, str]], least: int, containment: float):
         self.ids = [i for i, _ in items]
         self.words = [mailtext.words(t) for _, t in items]
-        self.least = least
-        query = least - SHINGLE + 1
+        self.least, self.containment = least, containment
+        self.query = query = least - SHINGLE + 1
         self.counts = [functions_for(size, query, containment) for size in SIZES]
         hashes = WordHashes()
-        seeds: list[np.ndarray] = []
-        folds: list[np.ndarray] = []
-        for words in self.words:
-            own = np.array([hashes[w] for w in words], dtype=_U64)
-            seeds.append(shingle_hashes(own, SEED))
-            folds.append(folded(shingle_hashes(own)))
+        coded = [np.array([hashes[w] for w in words], dtype=_U64) for words in self.words]
+        shingles = [shingle_hashes(c) for c in coded]
+        folds = [folded(s) for s in shingles]
         # For each function the minima of all items' passages, and whose they are; plain arrays, as every task gets them.
         self.minima: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.seen = np.zeros((max(self.counts), 1 << (BITS - 3)), np.uint8)
+        windows = sum(max(1, len(s) // STEP) for s in folds)
+        self.bits = min(26, max(12, math.ceil(math.log2(SPARSE * windows + 1))))
+        self.seen = np.zeros((max(self.counts), 1 << (self.bits - 3)), np.uint8)
         for k in range(max(self.counts)):
             value, item = [np.zeros(0, np.uint32)], [np.zeros(0, np.int32)]
             for i, s in enumerate(folds):
                 if len(s):
                     v = _permute(s, k)
-                    m = v.min(keepdims=True) if len(v) <= query else np.append(np.lib.stride_tricks.sliding_window_view(v, query)[::3].min(axis=1), v[-query:].min())
+                    m = v.min(keepdims=True) if len(v) <= query else np.append(np.lib.stride_tricks.sliding_window_view(v, query)[::STEP].min(axis=1), v[-query:].min())
                     value.append(m)
                     item.append(np.full(len(m), i, np.int32))
             pair = np.unique((np.concatenate(value).astype(np.int64) << 20) | np.concatenate(item))
             values, first = np.unique(pair >> 20, return_index=True)
             self.minima.append((values.astype(np.uint32), np.append(first, len(pair)), (pair & ((1 << 20) - 1)).astype(np.int32)))
-            low = values.astype(np.uint32) >> np.uint32(32 - BITS)
+            low = values.astype(np.uint32) >> np.uint32(32 - self.bits)
             np.bitwise_or.at(self.seen[k], low >> np.uint32(3), np.left_shift(1, low & np.uint32(7)).astype(np.uint8))
-        place = np.concatenate([*seeds, np.zeros(0, _U64)])
-        item, j = np.repeat(np.arange(len(seeds)), [len(x) for x in seeds]), np.concatenate([*[np.arange(len(x)) for x in seeds], np.zeros(0, int)])
-        order = np.argsort(place, kind="stable")
-        self.seed_hashes, first = np.unique(place[order], return_index=True)
-        self.seed_ends = np.append(first, len(place))
-        self.seed_item, self.seed_at = item[order], j[order]
-        # A passage of the least length keeps more than a third of its words as seeds even with three slips.
-        self.need = np.minimum(max(2, least // 3), [max(1, len(x)) for x in seeds] or [1])
-        # What is shorter than a passage is too small for the estimates; containment alone decides.
-        self.short = {i for i, w in enumerate(self.words) if SEED <= len(w) < least}
-        self.seeds = [[tuple(w[j : j + SEED]) for j in range(len(w) - SEED + 1)] for w in self.words]
+        # Each item's shingles as numbers of distinct ones, for exact containment.
+        self.known = np.unique(np.concatenate([*shingles, np.zeros(0, _U64)]))
+        self.numbers = [np.searchsorted(self.known, s) for s in shingles]
+        # What is shorter than a passage is too small for the estimates; exact containment alone finds it. What is
+        # shorter than a shingle is looked up as a whole.
+        self.short = [i for i, w in enumerate(self.words) if SHINGLE <= len(w) < least]
+        self.tiny: dict[int, dict[int, list[int]]] = {}
+        for i, c in enumerate(coded):
+            if 0 < len(c) < SHINGLE:
+                self.tiny.setdefault(len(c), defaultdict(list))[int(shingle_hashes(c, len(c))[0])].append(i)
+        self.seeds = [[tuple(w[j : j + SHINGLE]) for j in range(len(w) - SHINGLE + 1)] for w in self.words]
 
     def candidates(self, docs: list[np.ndarray]) -> list[tuple[int, int]]:
         """(document, item) where a passage of either shares ``AGREE`` minima or more; documents as word hashes."""
@@ -164,7 +166,7 @@ class ItemIndex:
             got_passage, got_item = [], []
             for k in range(b):
                 m = np.minimum.reduceat(_permute(values, k), starts)[made_of].min(axis=1)
-                low = m >> np.uint32(32 - BITS)
+                low = m >> np.uint32(32 - self.bits)
                 hit = np.flatnonzero(self.seen[k][low >> np.uint32(3)] >> (low & np.uint32(7)).astype(np.uint8) & 1)
                 known, ends, items = self.minima[k]
                 if not len(hit) or not len(known):
@@ -183,22 +185,32 @@ class ItemIndex:
                 out += [(int(own[x // len(self.ids)]), int(x % len(self.ids))) for x in both]
         return sorted(out)
 
-    def containing(self, doc: np.ndarray) -> set[int]:
-        """Items of which the document holds the seeds a passage needs in about their order: exact containment along
-        a diagonal, which items of the same phrasing elsewhere in the text do not reach."""
-        s = shingle_hashes(doc, SEED)
-        if not len(s) or not len(self.seed_hashes):
-            return set()
-        at = np.minimum(np.searchsorted(self.seed_hashes, s), len(self.seed_hashes) - 1)
-        p = np.flatnonzero(self.seed_hashes[at] == s)
-        n = self.seed_ends[at[p] + 1] - self.seed_ends[at[p]]
-        entry = np.repeat(self.seed_ends[at[p]] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
-        diagonal = np.repeat(p, n) - self.seed_at[entry] + (1 << 12)
-        found: set[int] = set()
-        for shift in (0, 16):
-            key, count = np.unique((self.seed_item[entry] << 40) + ((diagonal + shift) >> 5), return_counts=True)
-            found.update((key[count >= self.need[key >> 40]] >> 40).tolist())
-        return found
+    def contained(self, doc: np.ndarray, items: list[int]) -> list[int]:
+        """Those of ``items`` with a passage of which the document (word hashes) holds the shingles: exact containment.
+
+        Of items shorter than a passage the share counts over all their shingles.
+        """
+        if not items or not len(self.known):
+            return []
+        s = np.unique(shingle_hashes(doc))
+        at = np.minimum(np.searchsorted(self.known, s), len(self.known) - 1)
+        held = np.zeros(len(self.known), np.int32)
+        held[at[self.known[at] == s]] = 1
+        out = []
+        for i in items:
+            own = np.append(0, np.cumsum(held[self.numbers[i]]))
+            n = min(self.query, len(own) - 1)
+            if (own[n:] - own[:-n]).max() >= self.containment * n - 1e-9:
+                out.append(i)
+        return out
+
+    def tiny_held(self, doc: np.ndarray) -> list[int]:
+        """Items of fewer words than a shingle that the document holds."""
+        out = []
+        for n, table in self.tiny.items():
+            for h in np.intersect1d(shingle_hashes(doc, n), np.array(list(table), dtype=_U64)).tolist():
+                out += table[h]
+        return out
 
 
 def _alike(a: str, b: str) -> bool:
@@ -236,8 +248,8 @@ def _bridged(item: list[str], doc: list[str]) -> bool:
 
 def seed_places(doc: list[str]) -> dict[tuple, list[int]]:
     places = defaultdict(list)
-    for p in range(len(doc) - SEED + 1):
-        places[tuple(doc[p : p + SEED])].append(p)
+    for p in range(len(doc) - SHINGLE + 1):
+        places[tuple(doc[p : p + SHINGLE])].append(p)
     return places
 
 
@@ -252,10 +264,10 @@ def longest_passage(item: list[str], seeds: list[tuple], doc: list[str], places:
     for j, seed in enumerate(seeds):
         for p in places.get(seed, ()):
             r = open_.get(p - j)
-            if r is not None and r[0] + r[2] == j + SEED - 1:
+            if r is not None and r[0] + r[2] == j + SHINGLE - 1:
                 r[2] += 1
             else:
-                r = open_[p - j] = [j, p, SEED]
+                r = open_[p - j] = [j, p, SHINGLE]
                 runs.append(r)
     by_end: dict[int, list[int]] = defaultdict(list)
     order = sorted(range(len(runs)), key=lambda k: (runs[k][1], runs[k][0]))
@@ -287,46 +299,74 @@ def _bridged_chain(item: list[str], doc: list[str]) -> bool:
     return False
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", least: int = 20, slack: int = 3, containment: float = 0.3) -> DataFrame:
+def decoded(documents: DataFrame, doc_col: str, text_col: str) -> DataFrame:
+    """(``doc_col``, ``words``): each text decoded, its words with blanks between them."""
+    doc_type = documents.schema[doc_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([" ".join(_words(t)) for t in batch.column(1).to_pylist()], pa.string())], [doc_col, "words"])
+
+    return map_rows(documents.select(doc_col, text_col).filter(F.col(text_col).isNotNull()), run, f"`{doc_col}` {doc_type}, words string")
+
+
+def _words(mail: str) -> list[str]:
+    subject, parts = mailtext.texts(mail)
+    return mailtext.words("\n".join([subject, *parts]))
+
+
+def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple]]:
+    held: list[tuple] = []
+    for r in items.toLocalIterator():
+        held.append((r.i, r.t))
+        if len(held) == size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", least: int = 20, slack: int = 3, containment: float = 0.4) -> DataFrame:
     """Distinct (``doc_col``, ``item_col``): documents that hold an item, or ``least`` successive words of it.
 
     A passage counts from ``least - slack`` words between its first and last word found, as slips at its ends
-    do not show. An item shorter than that must be held whole. NULL and empty texts hold nothing; items of fewer than three words are not searched for.
-    Repeated rows give one pair. Whole decoded texts are searched, of any length.
+    do not show. An item shorter than that must be held whole. NULL and empty texts hold nothing. NULL ids of items are left
+    out. Repeated rows give one pair. Whole decoded texts are searched, of any length, and whole items.
     """
     texts = items.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).filter(F.col("t").isNotNull() & F.col("i").isNotNull())
-    blocks = max(1, math.ceil(texts.count() / BLOCK_ITEMS))
+    several = texts.count() > BLOCK_ITEMS
     doc_type, item_type = documents.schema[doc_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     sc = documents.sparkSession.sparkContext
-    found = None
-    for k in range(blocks):
-        block = [(r.i, r.t) for r in texts.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).collect()]
+    source = cut_lineage(decoded(documents, doc_col, text_col)) if several else documents.select(doc_col, text_col).filter(F.col(text_col).isNotNull())
+    split = str.split if several else _words
+    found = documents.select(doc_col).limit(0).crossJoin(items.select(item_col).limit(0))
+    for block in _blocks(texts, BLOCK_ITEMS):
         shared = sc.broadcast(ItemIndex(block, least, containment))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, hashes = shared.value, WordHashes()
             for batch in batches:
-                words = []
-                for text in batch.column(1).to_pylist():
-                    subject, parts = mailtext.texts(text)
-                    words.append(mailtext.words("\n".join([subject, *parts])))
-                docs, got, at, places, holds = [], [], -1, {}, set()
+                words = [split(text) for text in batch.column(1).to_pylist()]
                 coded = [np.array([hashes[w] for w in ws], dtype=_U64) for ws in words]
-                near = index.candidates(coded)
-                if index.short:
-                    near = sorted({*near, *((d, i) for d, c in enumerate(coded) for i in index.containing(c) & index.short)})
-                for d, i in near:
-                    if d != at:
-                        at, places = d, None
-                        holds = index.containing(coded[d])
-                    if i not in holds:
-                        continue
-                    places = places or seed_places(words[d])
-                    if longest_passage(index.words[i], index.seeds[i], words[d], places) >= min(least - slack, len(index.words[i])):
-                        docs.append(d)
-                        got.append(index.ids[i])
+                near: dict[int, list[int]] = defaultdict(list)
+                for d, i in index.candidates(coded):
+                    if len(index.words[i]) >= least:
+                        near[d].append(i)
+                docs, got = [], []
+                for d in range(len(words)) if index.short or index.tiny else near:
+                    held = index.contained(coded[d], near[d] + index.short)
+                    places = seed_places(words[d]) if held else {}
+                    held = [i for i in held if longest_passage(index.words[i], index.seeds[i], words[d], places) >= min(least - slack, len(index.words[i]))]
+                    held += index.tiny_held(coded[d])
+                    docs += [d] * len(held)
+                    got += [index.ids[i] for i in held]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(docs, pa.int64())), pa.array(got, pa.from_numpy_dtype(np.int64) if item_type in ("bigint", "int") else None)], [doc_col, item_col])
 
-        part = map_rows(documents.select(doc_col, text_col).filter(F.col(text_col).isNotNull()), search, f"`{doc_col}` {doc_type}, `{item_col}` {'bigint' if item_type == 'int' else item_type}")
-        found = part if found is None else found.unionByName(part)
+        part = map_rows(source, search, f"`{doc_col}` {doc_type}, `{item_col}` {'bigint' if item_type == 'int' else item_type}")
+        if several:
+            part = cut_lineage(part)
+            shared.destroy()
+            found = found.unionByName(part)
+        else:
+            found = part
     return found.distinct()

@@ -48,10 +48,10 @@ def test_found_in_any_form(spark):
 
 
 def test_short_items_must_be_whole(spark):
-    items = [(1, "seven small words make one short item"), (2, "one two"), (3, "only three words")]
-    docs = [(1, text(50) + " Seven small words, make one short item! " + text(50)), (2, text(30) + " seven small words " + text(30)), (3, text(300) + " only three words")]
+    items = [(1, "seven small words make one short item"), (2, "one two"), (3, "only three words"), (4, "Solitary!"), (5, "small words")]
+    docs = [(4, text(9) + " one-two " + text(9)), (5, text(9) + " one, " + text(3) + " solitary"), (1, text(50) + " Seven small words, make one short item! " + text(50)), (2, text(30) + " seven small words " + text(30)), (3, text(300) + " only three words")]
     got = L.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert sorted(map(tuple, got.collect())) == [(1, 1), (3, 3)]
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (1, 5), (2, 5), (3, 3), (4, 2), (5, 4)]
 
 
 def test_blocks_of_items(spark, monkeypatch):
@@ -64,7 +64,7 @@ def test_blocks_of_items(spark, monkeypatch):
 
 def test_minhash_finds_what_exact_containment_finds():
     items = [(i, text(80)) for i in range(200)]
-    index = L.ItemIndex(items, 20, 0.3)
+    index = L.ItemIndex(items, 20, 0.4)
     hashes = L.WordHashes()
     docs, want = [], set()
     for d in range(300):
@@ -77,6 +77,33 @@ def test_minhash_finds_what_exact_containment_finds():
     assert len(want & got) >= 0.995 * len(want)
 
 
+def test_recall_with_slips():
+    """Against the exact alignment alone, over all pairs of passages of twenty words with up to three slips."""
+    items = [(i, text(60)) for i in range(150)]
+    index, hashes = L.ItemIndex(items, 20, 0.4), L.WordHashes()
+    for slips in (1, 2, 3):
+        found = accepted = 0
+        for trial in range(100):
+            i = int(rng.integers(150))
+            a = int(rng.integers(0, 40))
+            w = items[i][1].split()[a : a + 20]
+            for k in np.linspace(0, 19, slips + 2)[1:-1].round().astype(int):
+                w[k] = "" if trial % 2 else w[k][1] + w[k][0] + w[k][2:]
+            doc = (text(200) + " " + " ".join(w) + " " + text(100)).split()
+            if L.longest_passage(index.words[i], index.seeds[i], doc, L.seed_places(doc)) >= 17:
+                coded = np.array([hashes[x] for x in doc], dtype=np.uint64)
+                accepted += 1
+                found += (0, i) in index.candidates([coded]) and index.contained(coded, [i]) == [i]
+        assert accepted > 50 and found >= 0.98 * accepted
+
+
+def test_long_items(spark):
+    w = text(6_000).split()
+    docs = [(a, f"{text(100)} {' '.join(w[a : a + 25])} {text(100)}") for a in (0, 4_090, 4_200, 5_500, 5_975)] + [(-1, text(300))]
+    got = L.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, text(70)), (7, " ".join(w)), (8, text(90))], "item_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(a, 7) for a in (0, 4_090, 4_200, 5_500, 5_975)]
+
+
 def test_passages_cover_documents():
     lengths = np.array([0, 1, 7, 8, 9, 31, 32, 33, 100])
     starts, made_of, doc = L.passages(lengths, 32)
