@@ -1,15 +1,19 @@
 """Subject areas of documents by seeded non-negative factorization of the document-term matrix.
 
 1. Terms: words and pairs of words of the decoded texts, as 64-bit hashes; document frequencies are counted
-   over all documents, those neither too rare nor too common are the vocabulary.
+   over all documents, first of words, then of pairs of words that are neither too rare nor too common. Shares of
+   documents alone bound the vocabulary: no document has more terms than words and pairs, so at most
+   (terms of an average document) / ``RARE`` words pass.
 2. Seeds: a bounded sample of hand-labelled documents says how often a term occurs in documents of each
    subject. Each subject is one component of the factorization, anchored to its seeds.
 3. Alternating multiplicative updates (Kullback-Leibler form) over all documents: mixtures given components
    within each batch, components given mixtures as sums over the corpus. One update is one distributed pass
    over the term numbers kept from the text; only components travel, whose size the vocabulary bounds.
-4. A component says how surely a term stands for its subject. Terms that surely do are evidence, except in
-   passing: contexts (the two and three words before) whose terms mostly disagree with the rest of their document
-   are those of comparisons, and are learned from all documents too.
+4. Anchors: a term that a component claims nearly alone is set to zero in all others, where multiplicative updates
+   keep it. Contexts (the two and three words before) of anchors that mostly disagree with the rest of their
+   document are those of comparisons, and are learned from all documents too; what follows them is no entry.
+5. The last update of the mixtures, over all entries that remain, decides: a document deals with the subjects
+   whose part of its mixture, in entries, is ``MASS`` or more.
 """
 
 from __future__ import annotations
@@ -27,15 +31,16 @@ from pyspark.sql import functions as F
 from posegrain.llm import mailtext
 from posegrain.session import cut_lineage, map_rows
 
-VOCABULARY = 1 << 17  # most terms kept, the most frequent first
-RARE, COMMON = 2e-4, 0.35  # shares of documents
+RARE, PAIR_RARE, COMMON = 2e-4, 2e-4, 0.35  # shares of documents
 LABELLED = 50_000  # most labelled documents taken as seeds, by the hash of their id
 ROUNDS = 3
 ANCHOR = 3.0  # what a labelled document counts against others in the updates
 DRAW = 0.3  # documents' worth of the corpus' usual rates in each component
-SURE = 0.95  # p(subject | term) from which a term stands for its subject
-COMMON_ENOUGH, PAIR_ENOUGH = 1e-3, 4e-3  # shares of documents a word, or a pair of words, must be in to count as sure
-PASSING_LEAST, PASSING_SHARE, PASSING_MOST = 6, 0.45, 10_000
+SURE = 0.95  # p(subject | term) from which a term is an anchor of its subject
+COMMON_ENOUGH, PAIR_ENOUGH = 1e-3, 4e-3  # shares of documents a word, or a pair of words, must be in to be an anchor
+SOFT, POWER, MASS, STEPS = 0.1, 8, 0.5, 8  # what other terms weigh against anchors, by how specific they are; what a subject needs; updates of a last mixture
+PASSING_LEAST, PASSING_SHARE = 6, 0.45
+HELD = 1 << 20  # counts a task keeps before it hands them on
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -87,6 +92,31 @@ def _distinct(doc: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return d[new], t[new]
 
 
+class Tally:
+    """Counts of hashes within a task: merged as they come, handed on when they are many."""
+
+    def __init__(self, kind: int):
+        self.kind, self.held, self.n = kind, [], 0
+
+    def add(self, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+        values, count = np.unique(key, return_counts=True)
+        self.held.append((values, count))
+        self.n += len(values)
+        if self.n > HELD:
+            yield from self.flush(HELD // 2)
+
+    def flush(self, most: int = 0) -> Iterator[pa.RecordBatch]:
+        """Merge what is held; hand it on where more than ``most`` differ."""
+        if not self.held:
+            return
+        values, at = np.unique(np.concatenate([v for v, _ in self.held]), return_inverse=True)
+        count = np.bincount(at, weights=np.concatenate([c for _, c in self.held]), minlength=len(values)).astype(np.int64)
+        self.held, self.n = [(values, count)], len(values)
+        if len(values) > most:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), self.kind, np.int8)), pa.array(values.view(np.int64)), pa.array(count)], ["kind", "term", "n"])
+            self.held, self.n = [], 0
+
+
 class Vocabulary:
     def __init__(self, words: np.ndarray, pairs: np.ndarray):
         self.words, self.pairs = np.sort(words), np.sort(pairs)
@@ -140,6 +170,22 @@ def specificity(p: np.ndarray) -> np.ndarray:
     return (((p.max(1) - 1 / p.shape[1]) / (1 - 1 / p.shape[1])) ** 2).astype(np.float32)
 
 
+def masses(rows: np.ndarray, terms: np.ndarray, components: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """The mixtures of ``n`` documents, not normalised: how many entries of each document each component explains."""
+    k = components.shape[1]
+    out = np.zeros((n, k))
+    if len(rows):
+        order = np.argsort(rows, kind="stable")
+        rows, terms, weight = rows[order], terms[order], weight[order]
+        own, w = components[terms].astype(np.float64), np.full((n, k), 1.0 / k)
+        starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        for _ in range(STEPS):
+            q = w[rows] * own
+            q *= weight[:, None] / np.maximum(q.sum(1, keepdims=True), 1e-300)
+            w[rows[starts]] = out[rows[starts]] = np.add.reduceat(q, starts, axis=0)
+    return out
+
+
 def occurrences(h: np.ndarray, doc: np.ndarray, vocabulary: Vocabulary, subject_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places where a phrase of sure terms of one subject begins: document, subject, place.
 
@@ -158,10 +204,11 @@ def occurrences(h: np.ndarray, doc: np.ndarray, vocabulary: Vocabulary, subject_
 def subject_areas(
     documents: DataFrame, subjects: list[str], labels: DataFrame, doc_col: str = "doc_id", text_col: str = "text", label_col: str = "subject", rest: str = "general", labelled: int = LABELLED
 ) -> DataFrame:
-    """One row per document and subject: ``doc_col``, ``subject``, ``n_phrases`` (evidence found), ``share``.
+    """One row per document and subject: ``doc_col``, ``subject``, ``mass`` (entries its component explains), ``share``.
 
-    A subject counts from one phrase that surely stands for it outside comparisons; documents with none get
-    ``rest``, also those with NULL or empty text. ``share`` is the subject's part of the document's evidence.
+    A subject counts where the document's mixture gives it ``MASS`` entries, as one anchor outside comparisons does;
+    documents with none get ``rest``, also those with NULL or empty text. ``share`` is the subject's part of the mixture of
+    those that count. Results don't depend on how rows are partitioned or batched.
     Labels are compared without case and blanks; unknown ones are left out. Repeated rows of a document give
     repeated rows. Without labels nothing is learned and every document gets ``rest``. At most ``labelled``
     labelled documents are taken as seeds; everything else is counted over all documents.
@@ -192,30 +239,40 @@ def subject_areas(
 
     texts = cut_lineage(map_rows(docs, to_words, f"_doc {doc_type}, words array<long>"))
 
-    def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Document frequencies within the batches of a task: kind 0 words, 1 pairs, 2 the documents themselves."""
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Document frequencies within a task: kind 0 words, 2 the documents themselves."""
+        tally, rows = Tally(0), 0
+        for batch in batches:
+            h, doc = words_of(batch)
+            yield from tally.add(_distinct(doc, h)[1])
+            rows += batch.num_rows
+        yield from tally.flush()
+        yield pa.RecordBatch.from_arrays([pa.array([2], pa.int8()), pa.array([0], pa.int64()), pa.array([rows], pa.int64())], ["kind", "term", "n"])
+
+    def counts(run) -> DataFrame:
+        return map_rows(texts, run, "kind tinyint, term long, n long").groupBy("kind", "term").agg(F.sum("n").alias("n"))
+
+    def hashes_of(d: DataFrame) -> np.ndarray:
+        return np.sort(d.select("term").toArrow()["term"].to_numpy().view(np.uint64))
+
+    counted = cut_lineage(counts(count_words))
+    total = counted.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
+    lowest, pair_lowest, highest = max(3, math.ceil(RARE * total)), max(8, math.ceil(PAIR_RARE * total)), COMMON * max(total, 40)
+    kept = hashes_of(counted.filter((F.col("kind") == 0) & F.col("n").between(lowest, highest)))
+    shared_words = sc.broadcast(kept)
+
+    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Document frequencies of pairs whose words are both in the vocabulary."""
+        tally, table = Tally(1), shared_words.value
         for batch in batches:
             h, doc = words_of(batch)
-            _, w = _distinct(doc, h)
-            word, n_word = np.unique(w, return_counts=True)
-            pair, n_pair = np.zeros(0, np.uint64), np.zeros(0, np.int64)
             if len(h) > 1:
-                # A word too common for the vocabulary, or seen in one text of many, makes no pair.
-                often = word[(n_word >= 2 + RARE * batch.num_rows) & (n_word <= max(3, 1.3 * COMMON * batch.num_rows))]
-                ok = Vocabulary._find(often, h) >= 0
+                ok = Vocabulary._find(table, h) >= 0
                 both = ok[:-1] & ok[1:] & (doc[:-1] == doc[1:])
-                _, p = _distinct(doc[:-1][both], pair_hashes(h)[both])
-                pair, n_pair = np.unique(p, return_counts=True)
-            kind = np.concatenate([np.zeros(len(word), np.int8), np.ones(len(pair), np.int8), [2]]).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate([word, pair, np.zeros(1, np.uint64)]).view(np.int64)), pa.array(np.concatenate([n_word, n_pair, [batch.num_rows]]))], ["kind", "term", "n"])
+                yield from tally.add(_distinct(doc[:-1][both], pair_hashes(h)[both])[1])
+        yield from tally.flush()
 
-    counted = map_rows(texts, count_terms, "kind tinyint, term long, n long").groupBy("kind", "term").agg(F.sum("n").alias("n"))
-    counted = cut_lineage(counted)
-    total = counted.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
-    lowest, highest = max(3, math.ceil(RARE * total)), COMMON * max(total, 40)
-    kept = counted.filter((F.col("kind") < 2) & F.col("n").between(lowest, highest)).orderBy(F.desc("n"), "term").limit(VOCABULARY).collect()
-    as_hash = lambda kind: np.array([r.term for r in kept if r.kind == kind], dtype=np.int64).view(np.uint64)
-    vocabulary = Vocabulary(as_hash(0), as_hash(1))
+    vocabulary = Vocabulary(kept, hashes_of(counts(count_pairs).filter(F.col("n") >= pair_lowest)))
     shared_vocabulary = sc.broadcast(vocabulary)
     v = len(vocabulary)
 
@@ -250,17 +307,19 @@ def subject_areas(
                 labelled_entry = np.isin(rows, at)
                 np.add.at(found, cols[labelled_entry], w[rows[labelled_entry]])
                 mass += w.sum(0)
-        yield sparse(np.vstack([np.hstack([found, seen[:, None]]), np.append(mass, 0)]))
+        yield summed(np.vstack([np.hstack([found, seen[:, None]]), np.append(mass, 0)]))
 
-    def sparse(m: np.ndarray) -> pa.RecordBatch:
-        i, j = np.nonzero(m)
-        return pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(m[i, j])], ["i", "j", "x"])
+    def summed(m: np.ndarray) -> pa.RecordBatch:
+        i = np.flatnonzero(m.any(1))
+        return pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), *[pa.array(m[i, j]) for j in range(m.shape[1])]], ["i", *[f"x{j}" for j in range(m.shape[1])]])
 
     def gathered(run, columns: int) -> np.ndarray:
         """Sums over all documents of what ``run`` gives per task; (vocabulary + 1) x ``columns`` numbers."""
         out = np.zeros((v + 1, columns))
-        got = map_rows(matrix, run, "i int, j int, x double").groupBy("i", "j").agg(F.sum("x").alias("x")).toArrow()
-        out[got["i"].to_numpy(), got["j"].to_numpy()] = got["x"].to_numpy()
+        names = [f"x{j}" for j in range(columns)]
+        got = map_rows(matrix, run, "i int, " + ", ".join(f"{n} double" for n in names)).groupBy("i").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+        if got.num_rows:
+            out[got["i"].to_numpy()] = np.stack([got[n].to_numpy() for n in names], 1)
         return out
 
     first = gathered(seeded, k + 1)
@@ -275,7 +334,7 @@ def subject_areas(
             c, weight = shared.value
             use = weight > 0.05
             known = seed_docs.value
-            counts, mixed = np.zeros((v, k)), np.zeros(k)
+            sums, mixed = np.zeros((v, k)), np.zeros(k)
             for batch in batches:
                 rows, cols = entries(batch)
                 keep = use[cols]
@@ -289,33 +348,36 @@ def subject_areas(
                 q = w[rows] * c[cols]
                 q *= heavy[rows][:, None] / np.maximum(q.sum(1, keepdims=True), 1e-12)
                 for s in range(k):
-                    counts[:, s] += np.bincount(cols, weights=q[:, s], minlength=v)
+                    sums[:, s] += np.bincount(cols, weights=q[:, s], minlength=v)
                 mixed += (w * heavy[:, None]).sum(0)
-            yield sparse(np.vstack([counts, mixed]))
+            yield summed(np.vstack([sums, mixed]))
 
         sums = gathered(update, k)
         components = ((sums[:-1] + DRAW * usual[:, None]) / (sums[-1] + DRAW)).astype(np.float32)
         shared.unpersist()
 
-    p = surely(components)
+    p = np.round(surely(components).astype(np.float64), 6)
     enough = np.where(np.arange(v) < len(vocabulary.words), max(6, COMMON_ENOUGH * total), max(8, PAIR_ENOUGH * total))
     subject_of = np.where((p.max(1) >= SURE) & (seen >= enough) & bool(seeds), p.argmax(1), -1)
+    anchored = subject_of >= 0
+    p[anchored] = np.eye(k)[subject_of[anchored]]
+    weights = np.where(anchored, 1.0, np.where(seen >= enough, SOFT * specificity(p) ** POWER, 0.0) * bool(seeds))
     subject_of[subject_of == other] = -1
-    shared_subjects = sc.broadcast(subject_of)
+    shared_subjects, shared_components = sc.broadcast(subject_of), sc.broadcast((p.astype(np.float32), weights))
 
-    def phrases(batch: pa.RecordBatch, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Phrases of a batch: document, subject, and the contexts that end one to ``reach`` places before, within the document."""
-        h, doc = words_of(batch)
-        d, s, at = occurrences(h, doc, shared_vocabulary.value, shared_subjects.value)
+    def before(h: np.ndarray, doc: np.ndarray, at: np.ndarray, reach: int) -> np.ndarray:
+        """The contexts that end one to ``reach`` places before each place, within the document."""
         context = context_hashes(h, doc)
         if not len(at):
-            return d, s, np.zeros((0, 2 * reach), np.int64)
-        return d, s, np.hstack([np.where(((at >= b) & (doc[np.maximum(at - b, 0)] == d))[:, None], context[np.maximum(at - b, 0)], 0) for b in range(1, reach + 1)])
+            return np.zeros((0, 2 * reach), np.int64)
+        return np.hstack([np.where(((at >= b) & (doc[np.maximum(at - b, 0)] == doc[at]))[:, None], context[np.maximum(at - b, 0)], 0) for b in range(1, reach + 1)])
 
     def agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For the contexts right before each phrase: how often they are there, and how often its subject is elsewhere in the document too."""
         for batch in batches:
-            doc, s, near = phrases(batch, 1)
+            h, of = words_of(batch)
+            doc, s, at = occurrences(h, of, shared_vocabulary.value, shared_subjects.value)
+            near = before(h, of, at, 1)
             n = np.bincount(doc, minlength=batch.num_rows)
             _, at = np.unique(doc * k + s, return_inverse=True)
             again = np.bincount(at)[at] > 1 if len(at) else np.zeros(0, bool)
@@ -325,19 +387,37 @@ def subject_areas(
             yield pa.RecordBatch.from_arrays([pa.array(context), pa.array(np.bincount(at, minlength=len(context))), pa.array(np.bincount(at, weights=again[use], minlength=len(context)).astype(np.int64))], ["context", "n", "same"])
 
     contexts = map_rows(texts, agreement, "context long, n long, same long").groupBy("context").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
-    passing = contexts.filter((F.col("n") >= F.lit(max(PASSING_LEAST, math.ceil(RARE * total)))) & (F.col("same") < PASSING_SHARE * F.col("n"))).orderBy(F.desc("n"), "context").limit(PASSING_MOST).collect()
-    shared_passing = sc.broadcast(np.sort(np.array([r.context for r in passing], dtype=np.int64)))
+    passing = contexts.filter((F.col("n") >= F.lit(max(PASSING_LEAST, math.ceil(RARE * total)))) & (F.col("same") < PASSING_SHARE * F.col("n"))).select("context").toArrow()
+    # As of terms, at most (phrases of an average document) / RARE.
+    shared_passing = sc.broadcast(np.sort(passing["context"].to_numpy()))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared_passing.value
+        table, vocab, subject = shared_passing.value, shared_vocabulary.value, shared_subjects.value
+        c, weight = shared_components.value
         for batch in batches:
-            doc, s, before = phrases(batch, 5)
-            holds = ~np.isin(before, table).any(1) if len(table) else np.ones(len(s), bool)
-            pair, count = np.unique(doc[holds] * k + s[holds], return_counts=True)
-            bare = np.setdiff1d(np.arange(batch.num_rows), pair // k)
-            pair, count = np.concatenate([pair, bare * k + other]), np.concatenate([count, np.zeros(len(bare), np.int64)])
-            whole = np.bincount(pair // k, weights=count, minlength=batch.num_rows)
-            share = np.where(count > 0, count / np.maximum(whole[pair // k], 1), 1.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pair // k)), pa.array([subjects[i] for i in pair % k], pa.string()), pa.array(count), pa.array(share)], [doc_col, "subject", "n_phrases", "share"])
-
-    return map_rows(texts, decide, f"`{doc_col}` {doc_type}, subject string, n_phrases long, share double")
+            h, of = words_of(batch)
+            _, _, at = occurrences(h, of, vocab, subject)
+            w, pair = vocab.numbers(h, of)
+            single, double = (np.append(weight, 0.0)[t] for t in (w, pair))
+            # A pair speaks for both its words; a phrase of one subject's anchors is one entry, at its first place.
+            term = np.where(double >= np.maximum(single, 1e-12), pair, w)
+            strong = np.append(subject, -1)
+            is_anchor = (strong[w] >= 0) | (strong[pair] >= 0) | np.append(False, strong[pair[:-1]] >= 0)[: len(w)]
+            first = np.zeros(len(h), bool)
+            first[at] = True
+            term[at] = np.where(strong[pair[at]] >= 0, pair[at], w[at])
+            use = np.flatnonzero((term >= 0) & (first | ~is_anchor))
+            use = use[np.append(weight, 0.0)[term[use]] > 0]
+            if len(table):
+                use = use[~np.isin(before(h, of, use, 5), table).any(1)]
+            mass = masses(of[use], term[use], c, weight[term[use]], batch.num_rows)
+            mass[:, other] = 0.0
+            held = mass >= MASS
+            held[~held.any(1), other] = True
+            d, s = np.nonzero(held)
+            mass = np.where(held, mass, 0.0)
+            share = mass[d, s] / np.maximum(mass.sum(1)[d], 1e-12)
+            share = np.where(s == other, 1.0, share)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(d)), pa.array([subjects[i] for i in s], pa.string()), pa.array(mass[d, s]), pa.array(share)], [doc_col, "subject", "mass", "share"])
+
+    return map_rows(texts, decide, f"`{doc_col}` {doc_type}, subject string, mass double, share double")

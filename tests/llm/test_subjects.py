@@ -54,3 +54,44 @@ def test_odd_input(spark):
     assert got[900] == got[901] == {"general"} and got[902] == {"law"}
     assert {r.subject for r in S.subject_areas(d, AREAS, lab.limit(0)).collect()} == {"general"}
     assert S.subject_areas(d.limit(0), AREAS, lab).count() == 0
+
+
+def test_batches_and_partitions_do_not_matter(spark):
+    docs, _, labels = corpus(600, 2)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, subject string")
+    key, results = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    try:
+        for rows, parts in ((10_000, 1), (50, 4), (20, 7)):
+            spark.conf.set(key, rows)
+            results.append(sorted((r.doc_id, r.subject) for r in S.subject_areas(d.repartition(parts), AREAS, lab).collect()))
+    finally:
+        spark.conf.set(key, before)
+    assert results[0] == results[1] == results[2]
+
+
+def test_mixture_decides():
+    """Two anchors of one subject and one of another give both; soft terms go where the anchors are, and alone give none."""
+    c = np.array([[1, 0, 0], [0, 1, 0], [0.6, 0.4, 0]], np.float32)
+    rows, terms = np.array([0, 0, 0, 0, 1, 1]), np.array([0, 0, 1, 2, 2, 2])
+    mass = S.masses(rows, terms, c, np.where(terms < 2, 1.0, 0.1), 3)
+    assert mass[0, 0] > 2.05 and 1.0 <= mass[0, 1] < 1.05 and mass[0, 2] == 0
+    assert mass[1].max() < S.MASS and not mass[2].any()
+
+
+def test_tally_keeps_counts(monkeypatch):
+    monkeypatch.setattr(S, "HELD", 50)
+    rng = np.random.default_rng(0)
+    tally, got, want = S.Tally(0), {}, {}
+    for _ in range(30):
+        x = rng.integers(0, 200, 40).astype(np.uint64)
+        for v in x.tolist():
+            want[v] = want.get(v, 0) + 1
+        for b in tally.add(x):
+            for v, n in zip(b["term"].to_pylist(), b["n"].to_pylist()):
+                got[v] = got.get(v, 0) + n
+    for b in tally.flush():
+        for v, n in zip(b["term"].to_pylist(), b["n"].to_pylist()):
+            got[v] = got.get(v, 0) + n
+    assert got == want
