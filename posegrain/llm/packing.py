@@ -6,20 +6,21 @@ choices; the counts are kept in an array by level. A document is only split if i
 capacity: into full containers and a rest that is packed like a document.
 
 Packing is sequential, so documents are dealt by a hash of their id into streams of about ``STREAM_ROWS``
-documents, each packed on its own. Containers a stream leaves open are unpacked and packed again together
-with those of other streams, fullest first; what is still open then is little: some hundred containers for
-``STREAM_ROWS`` x ``JOINED`` documents.
+documents, each packed on its own. Containers a stream leaves open are unpacked and packed once more, by the same
+rule, together with those of ``JOINED`` streams, the largest pieces first.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import os
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,9 +46,11 @@ def encoding(path: str):
 def token_counts(documents: DataFrame, doc_col: str, text_col: str, path: str = TOKENIZER) -> DataFrame:
     """(``doc_col``, ``n_tokens`` int); NULL and empty texts have 0."""
     doc_type = documents.schema[doc_col].dataType.simpleString()
+    documents.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path).encode_ordinary
+        encode = encoding(SparkFiles.get(name)).encode_ordinary
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(encode(t)) if t else 0 for t in batch.column(1).to_pylist()], pa.int32())], [doc_col, "n_tokens"])
 
@@ -55,40 +58,44 @@ def token_counts(documents: DataFrame, doc_col: str, text_col: str, path: str =
 
 
 class Levels:
-    """Partially filled containers of one capacity, by how full they are."""
+    """Partially filled containers of one capacity, by how full they are: an array of counts by level and the levels in use."""
 
-    def __init__(self, capacity: int, fullest: bool = False):
-        self.capacity, self.fullest = capacity, fullest
-        self.count = np.zeros(capacity + 1, np.int64)
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.count = np.zeros(2 * capacity + 1, np.int64)
+        self.used = np.zeros(0, np.int64)
         self.open: dict[int, list[int]] = defaultdict(list)
         self.made = 0
 
+    def _change(self, level: int, by: int) -> None:
+        self.count[level] += by
+        n = self.count[level]
+        if n == 0 or (n == 1 and by == 1):
+            at = int(np.searchsorted(self.used, level))
+            self.used = np.delete(self.used, at) if n == 0 else np.insert(self.used, at, level)
+
     def place(self, size: int) -> int:
         """The container an item of ``size`` goes to; 0 < size <= capacity."""
         room = self.capacity - size
-        levels = np.flatnonzero(self.count[1 : room + 1]) + 1
+        levels = self.used[: np.searchsorted(self.used, room, "right")]
         best = 0
         if len(levels):
-            if self.fullest:
-                best = int(levels[-1])
-            else:
-                after = self.count[levels + size]
-                # A full container leaves the sum, so reaching the capacity adds nothing.
-                change = np.where(levels == room, 0, 2 * after + 1) - 2 * self.count[levels] + 1
-                anew = 2 * int(self.count[size]) + 1
-                k = len(change) - 1 - int(np.argmin(change[::-1]))
-                if change[k] <= anew:
-                    best = int(levels[k])
+            # A full container leaves the sum, so reaching the capacity, where no count is kept, adds nothing.
+            change = 2 * (self.count[levels + size] - self.count[levels]) + 2
+            if levels[-1] == room:
+                change[-1] -= 1
+            k = len(change) - 1 - int(np.argmin(change[::-1]))
+            if change[k] <= 2 * self.count[size] + 1:
+                best = int(levels[k])
         if best:
-            stack = self.open[best]
-            container = stack.pop()
-            self.count[best] -= 1
+            container = self.open[best].pop()
+            self._change(best, -1)
         else:
             container = self.made
             self.made += 1
         level = best + size
         if level < self.capacity:
-            self.count[level] += 1
+            self._change(level, 1)
             self.open[level].append(container)
         return container
 
@@ -113,6 +120,8 @@ def pack(documents: DataFrame, containers: dict[str, int], doc_col: str = "doc_i
     doc_type = documents.schema[doc_col].dataType.simpleString()
     sizes = cut_lineage(token_counts(documents, doc_col, text_col, path).filter("n_tokens > 0"))
     streams = max(1, round(sizes.count() / stream_rows))
+    # Stated, as few bytes are much work here and would else be put together.
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = f"container_kind string, container_id string, `{doc_col}` {doc_type}, piece_no int, first_token long, n_tokens long, stream int, is_open boolean"
     names = ["container_kind", "container_id", doc_col, "piece_no", "first_token", "n_tokens", "stream", "is_open"]
 
@@ -142,11 +151,11 @@ def pack(documents: DataFrame, containers: dict[str, int], doc_col: str = "doc_i
         yield from ended()
 
     dealt = sizes.select(F.pmod(F.xxhash64(doc_col), F.lit(streams)).cast("int").alias("stream"), F.col(doc_col), "n_tokens")
-    dealt = dealt.repartition("stream").sortWithinPartitions("stream", doc_col, "n_tokens")
+    dealt = dealt.repartition(max(streams, tasks), "stream").sortWithinPartitions("stream", doc_col, "n_tokens")
     packed = cut_lineage(map_rows(dealt, first, schema))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What was left open, largest pieces first, each into the fullest container it fits."""
+        """What was left open, largest pieces first, by the same rule."""
         key, level, out, id_type = None, None, [], None
         for b in batches:
             id_type = b.schema.field(doc_col).type
@@ -155,12 +164,12 @@ def pack(documents: DataFrame, containers: dict[str, int], doc_col: str = "doc_i
                 k = (r["group"][i], r["container_kind"][i])
                 if k != key:
                     yield batch(out, id_type)
-                    key, level, out = k, Levels(containers[k[1]], fullest=True), []
+                    key, level, out = k, Levels(containers[k[1]]), []
                 out.append((k[1], f"g{k[0]}-{level.place(r['n_tokens'][i])}", r[doc_col][i], r["piece_no"][i], r["first_token"][i], r["n_tokens"][i], None, False))
         if id_type is not None:
             yield batch(out, id_type)
 
-    left = packed.filter("is_open").withColumn("group", F.floor(F.col("stream") / JOINED)).repartition("group", "container_kind")
+    left = packed.filter("is_open").withColumn("group", F.floor(F.col("stream") / JOINED)).repartition(max(tasks, len(containers) * (streams // JOINED + 1)), "group", "container_kind")
     left = left.sortWithinPartitions("group", "container_kind", F.desc("n_tokens"), doc_col, "first_token")
     result = packed.filter("NOT is_open").unionByName(map_rows(left, again, schema))
     return result.select(*names[:6])
