@@ -166,6 +166,11 @@ def percentiles(digests: DataFrame, keys: list[str], shares: dict[str, float]) -
 
 
 def measured(cell: Column) -> Column:
-    """The value a measured cell stands for, in the JVM."""
+    """The value a measured cell stands for, in the JVM; of the outermost cells only a bound is known, they give an infinity."""
     d = (cell - HALF).cast("double")
-    return F.when(d == 0, 0.0).otherwise(F.signum(d) * F.pow(F.lit(2.0), F.abs(d) / STEPS - 32))
+    return F.when(d == 0, 0.0).when(F.abs(d) >= HALF - 1, F.signum(d) * float("inf")).otherwise(F.signum(d) * F.pow(F.lit(2.0), F.abs(d) / STEPS - 32))
+
+
+def counted(cell: Column) -> Column:
+    """The whole number a counted cell stands for; infinity for the last cell, which holds all from 65,535 on."""
+    return F.when(cell >= (1 << BITS) - 1, float("inf")).otherwise(cell.cast("double"))

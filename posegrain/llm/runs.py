@@ -23,8 +23,10 @@ from posegrain.session import cut_lineage, map_rows
 
 SEPARATOR = "\0"
 REPEATED = re.compile(r"([^\0])\1*", re.S)
-# Private-use code points first, then the supplementary private planes: 137,000 kinds of events in a piece.
+# Private-use code points first, then the supplementary private planes. Beyond ``KINDS`` kinds of events in a
+# piece code points are used again; neighbours that share one are kept apart by a separator.
 FIRST, SECOND = 0xE000, 0xF0000
+KINDS = 6400 + 0x110000 - SECOND
 
 
 def symbols(codes: np.ndarray, breaks: np.ndarray) -> tuple[str, np.ndarray]:
@@ -32,8 +34,10 @@ def symbols(codes: np.ndarray, breaks: np.ndarray) -> tuple[str, np.ndarray]:
 
     A separator precedes each row where ``breaks`` is true and stands in place of a row without an event.
     """
-    points = np.where(codes < 0, 0, np.where(codes < 6400, codes + FIRST, codes - 6400 + SECOND)).astype("<u4")
-    at = np.flatnonzero(breaks)
+    kind = codes % KINDS
+    points = np.where(codes < 0, 0, np.where(kind < 6400, kind + FIRST, kind - 6400 + SECOND)).astype("<u4")
+    shared = np.append(False, (points[1:] == points[:-1]) & (codes[1:] != codes[:-1]))[: len(codes)]
+    at = np.flatnonzero(breaks | shared)
     text = np.insert(points, at, 0).tobytes().decode("utf-32-le")
     return text, np.insert(np.arange(len(codes)), at, -1)
 

@@ -45,3 +45,11 @@ def test_empty_and_clashing_columns(spark):
     long = d.withColumn("e", F.repeat(F.lit("y"), 100_000))
     assert runs.event_runs(long, "s", ["t"], "e", "i").first().duration_s == 1.0
     assert runs.event_runs(d.withColumn("e", F.lit(None).cast("string")), "s", ["t"], "e", "i").count() == 0
+
+
+def test_more_kinds_than_symbols():
+    codes = np.array([0, 0, runs.KINDS, runs.KINDS, 0, 5, 2 * runs.KINDS + 5, -1, 5])
+    first, last = runs.spans(codes, np.zeros(len(codes), bool))
+    assert list(zip(first.tolist(), last.tolist()))[:5] == [(0, 1), (2, 3), (4, 4), (5, 5), (6, 6)]
+    text, _ = runs.symbols(np.arange(runs.KINDS), np.zeros(runs.KINDS, bool))
+    assert len(set(text)) == runs.KINDS
