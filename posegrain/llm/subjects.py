@@ -39,6 +39,7 @@ DRAW = 0.3  # documents' worth of the corpus' usual rates in each component
 SURE = 0.95  # p(subject | term) from which a term is an anchor of its subject
 COMMON_ENOUGH, PAIR_ENOUGH = 1e-3, 4e-3  # shares of documents a word, or a pair of words, must be in to be an anchor
 SOFT, POWER, MASS, STEPS = 0.1, 8, 0.5, 8  # what other terms weigh against anchors, by how specific they are; what a subject needs; updates of a last mixture
+SOFTEST = 0.8  # p(subject | term) under which a term is no entry of the last mixture: it would weigh less than 0.002
 PASSING_LEAST, PASSING_SHARE = 6, 0.45
 HELD = 1 << 20  # counts a task keeps before it hands them on
 
@@ -127,7 +128,7 @@ class Vocabulary:
     @staticmethod
     def _find(table: np.ndarray, h: np.ndarray) -> np.ndarray:
         if not len(table):
-            return np.full(len(h), -1)
+            return np.full(h.shape, -1)
         at = np.minimum(np.searchsorted(table, h), len(table) - 1)
         return np.where(table[at] == h, at, -1)
 
@@ -361,15 +362,15 @@ def subject_areas(
     subject_of = np.where((p.max(1) >= SURE) & (seen >= enough) & bool(seeds), p.argmax(1), -1)
     anchored = subject_of >= 0
     p[anchored] = np.eye(k)[subject_of[anchored]]
-    weights = np.where(anchored, 1.0, np.where(seen >= enough, SOFT * specificity(p) ** POWER, 0.0) * bool(seeds))
+    weights = np.where(anchored, 1.0, np.where((seen >= enough) & (p.max(1) >= SOFTEST), SOFT * specificity(p) ** POWER, 0.0) * bool(seeds))
     subject_of[subject_of == other] = -1
     shared_subjects, shared_components = sc.broadcast(subject_of), sc.broadcast((p.astype(np.float32), weights))
 
     def before(h: np.ndarray, doc: np.ndarray, at: np.ndarray, reach: int) -> np.ndarray:
         """The contexts that end one to ``reach`` places before each place, within the document."""
-        context = context_hashes(h, doc)
         if not len(at):
             return np.zeros((0, 2 * reach), np.int64)
+        context = context_hashes(h, doc)
         return np.hstack([np.where(((at >= b) & (doc[np.maximum(at - b, 0)] == doc[at]))[:, None], context[np.maximum(at - b, 0)], 0) for b in range(1, reach + 1)])
 
     def agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,7 +410,7 @@ def subject_areas(
             use = np.flatnonzero((term >= 0) & (first | ~is_anchor))
             use = use[np.append(weight, 0.0)[term[use]] > 0]
             if len(table):
-                use = use[~np.isin(before(h, of, use, 5), table).any(1)]
+                use = use[~(Vocabulary._find(table, before(h, of, use, 5)) >= 0).any(1)]
             mass = masses(of[use], term[use], c, weight[term[use]], batch.num_rows)
             mass[:, other] = 0.0
             held = mass >= MASS
