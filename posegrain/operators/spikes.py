@@ -4,13 +4,14 @@ Three tests, kept apart:
 
 * range: values outside the physical range of their field;
 * constant runs: six or more successive equal readings;
-* spikes: the series is cut into profiles, rows of a matrix of ``WIDTH`` successive readings. Robust
-  principal components by alternating projections split it into a low-rank part, the usual course, and a
-  sparse part. Readings the sparse part takes are candidates; an exact check against the nearest readings
-  outside it then keeps those that leave the course far beyond its variation and come back within a few rows.
-
-A day of one source is far longer than most sources here, so a profile is a fixed number of readings
-instead of a day. Work is done on pieces of sorted partitions (see ``pieces``); readings near a cut are
+* spikes: the readings of a source's day make a matrix of profiles, rows of ``WIDTH`` successive readings, fewer where
+  the day is short. Robust principal components by alternating projections split it into a low-rank part, the usual
+  course, and a sparse part. What the sparse part takes is looked at with its surroundings: they are left out of
+  a second projection, and a reading is a spike where its sparse part there is far beyond the usual variation, and an
+  exact check against the nearest readings outside says that the series comes back within a few rows.
+
+Most sources here last minutes, so a day is mostly a whole source; its profiles are stretches of it, as whole days
+side by side would be one row. Work is done on pieces of sorted partitions (see ``pieces``); readings near a cut are
 judged again from the strips on both sides of it.
 """
 
@@ -28,6 +29,8 @@ from posegrain.operators.pieces import PIECE_ROWS, key_starts, neighbours, order
 from posegrain.session import cut_lineage, map_rows
 
 WIDTH, RANK, ROUNDS = 32, 2, 8
+DAY_S = 86_400.0
+FEW = 64  # readings below which the few that spikes could have spoilt are left out of the first scale
 STRIP, CONTEXT = 128, 16
 
 
@@ -62,18 +65,19 @@ def constant_runs(x: np.ndarray, least: int) -> np.ndarray:
     return np.repeat(length >= least, length)
 
 
-def usual_course(x: np.ndarray, scale: float, cut: float) -> np.ndarray:
+def usual_course(x: np.ndarray, scale: float, cut: float, left_out: np.ndarray | None = None) -> np.ndarray:
     """The low-rank part of the profile matrix of ``x``, at each reading.
 
     Non-convex robust principal components: entries farther than a falling threshold from the low-rank
-    part count as sparse and are replaced by it before the next projection.
+    part count as sparse and are replaced by it before the next projection. Readings ``left_out`` count as sparse throughout.
     """
     n = len(x)
-    step = WIDTH if n >= 8 * WIDTH else WIDTH // 4
-    first = np.arange(0, n - WIDTH + 1, step)
-    if first[-1] != n - WIDTH:
-        first = np.append(first, n - WIDTH)
-    at = first[:, None] + np.arange(WIDTH)
+    width = WIDTH if n >= WIDTH else max(4, n // 2)
+    step = width if n >= 8 * width else max(1, width // 4)
+    first = np.arange(0, n - width + 1, step)
+    if first[-1] != n - width:
+        first = np.append(first, n - width)
+    at = first[:, None] + np.arange(width)
     m = x[at]
     m = m - np.median(m, axis=1, keepdims=True)
     # A running median of nine starts the sparse part: it is blind to spikes of up to four readings.
@@ -83,19 +87,24 @@ def usual_course(x: np.ndarray, scale: float, cut: float) -> np.ndarray:
     base = m - rough[at]
     # What it finds stays in the sparse part, else a large spike could become a component of its own.
     held = np.abs(rough[at]) > cut * 2
+    if left_out is not None:
+        held |= left_out[at]
     s = np.where(held, m - base, 0.0)
-    bias = np.ones(WIDTH) / np.sqrt(WIDTH)
-    line = np.linspace(-1, 1, WIDTH)
+    bias = np.ones(width) / np.sqrt(width)
+    line = np.linspace(-1, 1, width)
     line /= np.linalg.norm(line)
+    rank = RANK if n >= WIDTH else 0
     low = base
     worst = np.abs(m - base).max() + cut
     for k in range(ROUNDS):
         y = m - s
         # The constant and the straight line belong to every course; the further components are the data's.
         y0 = y - (y @ bias)[:, None] * bias - (y @ line)[:, None] * line
-        _, v = np.linalg.eigh(y0.T @ y0)
-        v = v[:, -RANK:]
-        low = y - y0 + (y0 @ v) @ v.T
+        low = y - y0
+        if rank:
+            _, v = np.linalg.eigh(y0.T @ y0)
+            v = v[:, -rank:]
+            low = low + (y0 @ v) @ v.T
         left = m - low
         limit = cut + worst * 0.5 ** (2 * k + 4)
         s = np.where(held | (np.abs(left) > limit), left, 0.0)
@@ -107,52 +116,78 @@ def usual_course(x: np.ndarray, scale: float, cut: float) -> np.ndarray:
     return x - out
 
 
+def sparse_part(t: np.ndarray, x: np.ndarray, scale: float, cut: float, left_out: np.ndarray | None = None) -> np.ndarray:
+    """How far each reading is from the usual course of its day."""
+    day = np.floor(t / DAY_S)
+    ends = np.append(np.flatnonzero(np.append(True, day[1:] != day[:-1])), len(x))
+    parts = []
+    for a, b in zip(ends[:-1], ends[1:]):
+        # A day of a few readings has no profile of its own and is seen with those before it.
+        a = a if b - a >= 6 else max(0, b - WIDTH)
+        parts.append(np.abs(x[a:b] - usual_course(x[a:b], scale, cut, None if left_out is None else left_out[a:b])))
+    return np.concatenate([p[-(b - a) :] for p, a, b in zip(parts, ends[:-1], ends[1:])])
+
+
 def _off_line(t: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """How far each reading is from the line between those ``k`` before and after, and the product of the times to them."""
     left, right = t[k:-k] - t[: -2 * k], t[2 * k :] - t[k:-k]
     return np.abs(x[k:-k] - x[: -2 * k] - left / np.maximum(left + right, 1e-6) * (x[2 * k :] - x[: -2 * k])), left * right
 
 
-def _scale(t: np.ndarray, x: np.ndarray, floor: float) -> tuple[float, float]:
+def _scale(t: np.ndarray, x: np.ndarray, floor: float, spoilt: int = 0) -> tuple[float, float]:
     """Usual deviation of a reading from the line between its neighbours, and how bent the course is:
-    what the deviation grows by with the product of the times to farther neighbours."""
-    scale = max(1.4826 * float(np.median(_off_line(t, x, 1)[0])), floor)
+    what the deviation grows by with the product of the times to farther neighbours.
+
+    The ``spoilt`` largest deviations are left out. Of few readings the largest deviation counts too.
+    """
+    off = np.sort(_off_line(t, x, 1)[0])
+    off = off[: max(1, len(off) - spoilt)]
+    scale = max(1.4826 * float(np.median(off)), floor)
     if len(x) < 16:
-        return scale, 0.0
+        return max(scale, float(off[-1]) / 3), 0.0
     far, area = _off_line(t, x, 3)
+    far = np.sort(far)[: max(1, len(far) - 2 * spoilt)]
     return scale, max(0.0, 1.4826 * float(np.median(far)) - 1.2 * scale) / max(float(np.median(area)), 1e-3)
 
 
 def spikes(t: np.ndarray, x: np.ndarray, field: Field, rule: Rule) -> np.ndarray:
-    """Mask of spikes in one ordered series of plausible readings."""
+    """Mask of spikes in one ordered series of plausible readings; none in fewer than five, which have no usual variation."""
     n = len(x)
     out = np.zeros(n, bool)
-    if n < 6:
+    if n < 5:
         return out
     if field.angle:
         x = np.concatenate([x[:1], x[0] + np.cumsum(_turn(np.diff(x), True))])
-    scale, bend = _scale(t, x, field.floor)
-    if n >= WIDTH:
-        sparse = np.abs(x - usual_course(x, scale, rule.candidate * scale))
-    else:
-        sparse = np.abs(x - np.median(x))
+    # A spike of a few rows spoils its own deviations and its neighbours'; of few readings these may be most.
+    scale, bend = _scale(t, x, field.floor, 0 if n >= FEW else min(rule.rows, n // 5) + 2)
+    sparse = sparse_part(t, x, scale, rule.candidate * scale)
     limit = rule.candidate * max(scale, 1.4826 * float(np.median(sparse)))
     # Candidates that lie too dense to tell apart are looked at again with higher limits.
     while (sparse > limit).any():
-        out |= _confirmed(t, x, sparse > limit, scale, bend, rule)
+        candidate = sparse > limit
+        # The low-rank part may have taken in some of a spike, so the second projection is made without its surroundings.
+        for width in (7, 5, 3, 1):
+            around = np.convolve(candidate, np.ones(width), "same")[:n] > 0.5 if n > width else candidate.copy()
+            around[[0, -1]] &= candidate[[0, -1]]  # where the series begins and ends is no surrounding
+            if n - around.sum() >= 4:
+                break
+        rest = ~candidate
+        if n < FEW and rest.sum() >= 4:
+            scale, bend = _scale(t[rest], x[rest], field.floor)
+        found = _confirmed(t, x, around, scale, bend, rule)
+        if found.any():
+            out |= found & (sparse_part(t, x, scale, rule.candidate * scale, around) > rule.candidate * scale)
         limit *= 4
     return out
 
 
 def _confirmed(t: np.ndarray, x: np.ndarray, candidate: np.ndarray, scale: float, bend: float, rule: Rule) -> np.ndarray:
-    """The exact check: mask of confirmed spikes."""
+    """The exact check: mask of those that leave the course and come back."""
     n, out = len(x), np.zeros(len(x), bool)
-    # The low-rank part may have taken in some of a spike, so its neighbourhood is looked at too.
-    candidate = np.convolve(candidate, np.ones(7), "same") > 0.5
     # From its ends inwards each run of candidates gives back what goes on from the readings beside it.
     while candidate.any():
         good = np.flatnonzero(~candidate)
-        if len(good) < 4:
+        if len(good) < min(4, n - 1):
             return out
         at = np.searchsorted(good, np.arange(n))
         b, a = np.clip(at - 1, 0, len(good) - 1), np.clip(at, 0, len(good) - 1)
@@ -200,7 +235,7 @@ def implausible_readings(df: DataFrame, source: str, order: list[str], id_col: s
 
     ``order``: the time in seconds, then ties' order. Rows without a time take no part; NULL and NaN
     readings are left out before "successive" is counted. NULL sources form one source. A source with
-    fewer than six readings has no spikes, but its impossible values are flagged. An excursion that never comes
+    fewer than five readings has no spikes, but its impossible values are flagged. An excursion that never comes
     back, as at a source's last reading, is a change of level and no spike.
     """
     time = order[0]

@@ -54,6 +54,31 @@ def test_short_series(n):
     assert len(S.judge(t[:n], x[:n], F, S.Rule())) == n
 
 
+@pytest.mark.parametrize("n", [6, 8, 10, 13, 16, 20, 24, 31, 40])
+def test_spikes_in_short_series(n):
+    """One reading, or three from sixteen on, a thousand times the noise off the course, wherever but at the ends."""
+    rng = np.random.default_rng(n)
+    for trial in range(40):
+        t = np.cumsum(rng.uniform(0.1, 0.3, n))
+        x = 0.3 * rng.normal() * t + rng.normal(0, 0.004, n)
+        assert not (S.judge(t, x, F, S.Rule()) == 3).any()
+        rows = 1 if n < 16 else int(rng.integers(1, 4))
+        i = int(rng.integers(1, n - rows))
+        x[i : i + rows] += rng.choice([-4.0, 4.0])
+        k = S.judge(t, x, F, S.Rule())
+        assert (k[i : i + rows] == 3).all() and (k == 3).sum() <= rows + (n < 8), (trial, i, rows)
+
+
+def test_days_have_profiles_of_their_own():
+    t, x = series(600, seed=5)
+    t[300:] += S.DAY_S
+    x[300:] += 2.0
+    x[[100, 450]] += 1.0
+    assert np.flatnonzero(S.judge(t, x, F, S.Rule())).tolist() == [100, 450]
+    got = S.sparse_part(t, x, 0.004, 0.016)
+    assert np.allclose(got[:300], S.sparse_part(t[:300], x[:300], 0.004, 0.016))
+
+
 @pytest.mark.parametrize("rows", [70, 150, 100_000])
 def test_pieces_give_what_whole_series_give(spark, monkeypatch, rows):
     monkeypatch.setattr(S, "PIECE_ROWS", rows)
