@@ -1,8 +1,9 @@
 """Irregular readings onto a regular grid by compact-kernel local polynomial regression.
 
 Each reading is sent to the few grid times its kernel reaches, where only the five moments of the weighted
-line fit are summed. Sums combine before the shuffle, the keys are (source, grid time), and no task ever
-holds a source: a source with a third of all rows spreads over its grid times.
+line fit are summed, with the first and last time of any row. Sums combine before the one shuffle of the rows, the
+keys are (source, grid time), and no task ever holds a source: a source with a third of all rows spreads over its grid
+times. Which grid times a source covers follows from those sums.
 """
 
 from __future__ import annotations
@@ -10,24 +11,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from posegrain.session import cut_lineage_in_place
 
-def covered_steps(times: DataFrame, source: str, time: str, step_s: float, pause_s: float | None) -> DataFrame:
-    """(source, step_no): each grid step from a source's first row to its last.
+
+def covered_steps(spans: DataFrame, step_s: float, pause_s: float | None) -> DataFrame:
+    """(source, step): each grid step from a source's first row to its last; ``spans``: source, ``_from``, ``_to`` of steps with rows.
 
     Where two successive rows lie more than ``pause_s`` apart, the steps strictly between theirs are left
-    out (None: kept). Rows are first reduced to one per ``pause_s``-long bucket, as within one bucket no
+    out (None: kept). Steps are first reduced to one row per ``pause_s``-long bucket, as within one bucket no
     pause fits, and only these are put in order.
     """
-    width = pause_s or 3600.0
-    buckets = times.groupBy(F.col(source), F.floor(F.col(time) / width).alias("_bucket")).agg(F.min(time).alias("_from"), F.max(time).alias("_to"))
-    # Two levels, so that ordering a source's buckets carries few rows even for a very long source.
-    following = F.lead("_from").over(Window.partitionBy(source).orderBy("_bucket"))
-    first, last, after = (F.floor(c / step_s) for c in (F.col("_from"), F.col("_to"), F.col("_next")))
+    width = max(pause_s or 3600.0, step_s)
+    buckets = spans.groupBy("source", F.floor(F.col("_from") / width).alias("_bucket")).agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+    following = F.lead("_from").over(Window.partitionBy("source").orderBy("_bucket"))
+    first, last, after = (F.floor(F.col(c) / step_s) for c in ("_from", "_to", "_next"))
     spans = buckets.withColumn("_next", following)
     # One reading of the two on either side of a pause ends, the other begins a span.
     paused = F.col("_next").isNull() if pause_s is None else F.col("_next").isNull() | (F.col("_next") - F.col("_to") > pause_s)
     until = F.when(paused, last).otherwise(F.greatest(last, after - 1))
-    return spans.select(source, F.explode(F.sequence(first, until)).alias("step_no")).distinct()
+    # A step can lie in two buckets.
+    return spans.select("source", F.explode(F.sequence(first, until)).alias("step")).distinct()
 
 
 def regular_grid(
@@ -49,28 +52,30 @@ def regular_grid(
     rows all count. The kernel is (1-u²)³; a fit whose readings share one time falls back on their mean.
     """
     rows = readings.select(F.col(source), F.col(time).cast("double").alias("_t"), value.cast("double").alias("_y"), usable.alias("_ok"))
-    rows = rows.filter(F.col("_t").isNotNull() & ~F.isnan("_t") & (F.abs("_t") < 1e15))
-    grid = covered_steps(rows.select(source, "_t"), source, "_t", step_s, pause_s)
-
+    # Step numbers are longs; times beyond them, infinite ones too, are none.
+    rows = rows.filter(F.col("_t").isNotNull() & ~F.isnan("_t") & (F.abs("_t") < 9e18 * step_s))
+    reads = F.coalesce(F.col("_ok"), F.lit(False)) & F.col("_y").isNotNull() & ~F.isnan("_y")
     reach = int(half_width_s // step_s)
-    near = rows.filter(F.col("_ok") & F.col("_y").isNotNull() & ~F.isnan("_y"))
-    near = near.select(source, "_t", "_y", F.floor(F.col("_t") / step_s).alias("_own"))
-    near = near.select(source, "_t", "_y", "_own", F.explode(F.array(*[F.col("_own") + k for k in range(-reach, reach + 1)])).alias("step_no"))
-    d = F.col("_t") - (F.col("step_no") + 0.5) * step_s
+    ahead = F.explode(F.when(reads, F.array(*[F.lit(k) for k in range(-reach, reach + 1)])).otherwise(F.array(F.lit(0)))).alias("_k")
+    near = rows.select(source, "_t", F.when(reads, F.col("_y")).alias("_y"), reads.alias("_reads"), F.floor(F.col("_t") / step_s).alias("_own"), ahead).withColumn("_step", F.col("_own") + F.col("_k"))
+    d = F.when(F.col("_reads"), F.col("_t") - (F.col("_step") + 0.5) * step_s)
     near = near.withColumn("_d", d).withColumn("_u", F.lit(1.0) - (F.col("_d") / half_width_s) * (F.col("_d") / half_width_s))
-    w = F.when(F.col("_u") > 0, F.col("_u") * F.col("_u") * F.col("_u")).otherwise(0.0)
-    near = near.withColumn("_w", w)
-    zero = [F.lit(0.0).alias(c) for c in ("w", "wd", "wdd", "wy", "wdy", "ww")]
-    parts = near.select(
-        source, "step_no", F.lit(0).alias("in_grid"), (F.col("step_no") == F.col("_own")).cast("long").alias("inside"), ((F.col("_w") > 0) & (F.col("_d") < 0)).cast("long").alias("left"), ((F.col("_w") > 0) & (F.col("_d") >= 0)).cast("long").alias("right"),
-        F.col("_w").alias("w"), (F.col("_w") * F.col("_d")).alias("wd"), (F.col("_w") * F.col("_d") * F.col("_d")).alias("wdd"), (F.col("_w") * F.col("_y")).alias("wy"), (F.col("_w") * F.col("_d") * F.col("_y")).alias("wdy"), (F.col("_w") * F.col("_w")).alias("ww"),
+    near = near.withColumn("_w", F.when(F.col("_u") > 0, F.col("_u") * F.col("_u") * F.col("_u")).otherwise(0.0))
+    W, D, Y = F.col("_w"), F.col("_d"), F.col("_y")
+    here, weighs = F.col("_k") == 0, F.col("_w") > 0
+    some = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
+    sums = near.groupBy(F.struct(F.col(source).alias("source"), F.col("_step").alias("step")).alias("_key")).agg(
+        F.min(F.when(here, F.col("_t"))).alias("_from"), F.max(F.when(here, F.col("_t"))).alias("_to"), F.sum((here & F.col("_reads")).cast("long")).alias("inside"), F.sum((weighs & (D < 0)).cast("long")).alias("left"), F.sum((weighs & (D >= 0)).cast("long")).alias("right"),
+        some(W).alias("w"), some(W * D).alias("wd"), some(W * D * D).alias("wdd"), some(W * Y).alias("wy"), some(W * D * Y).alias("wdy"), some(W * W).alias("ww"),
     )
-    empty = grid.select(source, "step_no", F.lit(1).alias("in_grid"), *[F.lit(0).cast("long").alias(c) for c in ("inside", "left", "right")], *zero)
-    sums = parts.unionByName(empty).groupBy(source, "step_no").agg(F.max("in_grid").alias("in_grid"), *[F.sum(c).alias(c) for c in ("inside", "left", "right", "w", "wd", "wdd", "wy", "wdy", "ww")])
+    sums = cut_lineage_in_place(sums)
+    spans = sums.filter("_from IS NOT NULL").select(F.col("_key.source").alias("source"), "_from", "_to")
+    grid = covered_steps(spans, step_s, pause_s).select(F.struct("source", "step").alias("_key"))
+    out = grid.join(sums, "_key", "left")
     spread = F.col("w") * F.col("wdd") - F.col("wd") * F.col("wd")
     line = (F.col("wdd") * F.col("wy") - F.col("wd") * F.col("wdy")) / spread
     fit = F.when(spread > 1e-9 * F.col("w") * F.col("w") * (half_width_s**2), line).otherwise(F.col("wy") / F.col("w"))
     support = F.when(F.col("ww") > 0, F.col("w") * F.col("w") / F.col("ww")).otherwise(0.0)
     state = F.when(F.col("inside") > 0, "observed").when((support >= min_support) & (F.col("left") > 0) & (F.col("right") > 0), "filled").otherwise("missing")
-    out = sums.filter(F.col("in_grid") == 1).withColumn("state", state)
-    return out.select(source, F.col("step_no").cast("long").alias(step_name), F.when(F.col("state") != "missing", fit).alias("value"), F.col("inside").alias("n_inside"), support.alias("support"), "state")
+    out = out.withColumn("state", state)
+    return out.select(F.col("_key.source").alias(source), F.col("_key.step").cast("long").alias(step_name), F.when(F.col("state") != "missing", fit).alias("value"), F.coalesce("inside", F.lit(0)).alias("n_inside"), support.alias("support"), "state")

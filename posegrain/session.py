@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -22,7 +24,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "posegrain-checkpoints"))
+    if not shared:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="posegrain-checkpoints-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+    sc.setCheckpointDir(shared)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -31,6 +38,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_lineage_in_place(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` that keeps how ``df`` is partitioned and sorted, so that what comes next needs no shuffle.
+
+    An adaptive plan does not tell its layout, so this one step is planned without; its partitions are those the caller asked for.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(key)
+    try:
+        conf.set(key, "false")
+        return cut_lineage(df)
+    finally:
+        conf.set(key, before)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per application."""
     sc = spark.sparkContext

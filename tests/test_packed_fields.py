@@ -39,3 +39,9 @@ def test_split(spark):
     uneven = {r.id for r in split_packed(d, "id", "f", only_uneven=True).collect()}
     assert uneven == {2, 6}
     assert split_packed(d.limit(0), "id", "f").count() == 0
+
+
+def test_another_escape():
+    t = FieldTokenizer(escape="^")
+    assert [v for v, _ in t.values('"a^"b" c')] == ['a"b', "c"]
+    assert [v for v, _ in t.values('"a\\\\b"')] == ["a\\\\b"]
