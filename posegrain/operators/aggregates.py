@@ -47,12 +47,12 @@ def error_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def join_null_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` where NULL equals NULL; the keys come out once."""
-    renamed = b.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], *[c for c in b.columns if c not in keys])
+    renamed = b.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)], *[c for c in b.columns if c not in keys])
     on = None
     for i, k in enumerate(keys):
-        same = F.col(k).eqNullSafe(F.col(f"_r{i}"))
+        same = F.col(k).eqNullSafe(F.col(f"__key{i}"))
         on = same if on is None else on & same
-    return a.join(renamed, on, how).drop(*[f"_r{i}" for i in range(len(keys))])
+    return a.join(renamed, on, how).drop(*[f"__key{i}" for i in range(len(keys))])
 
 
 def correlation(a: Column, b: Column, least: int = 2, flat: float = 1e-9) -> Column:

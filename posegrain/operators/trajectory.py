@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from posegrain.functions.angles import clip, smoothstep
 from posegrain.operators.aggregates import join_null_safe, percentiles
-from posegrain.operators.asof import bracket, partner_at
-from posegrain.operators.ordered import gap_segments, islands, neighbours, running_sum
+from posegrain.operators.asof import bracket, bracket_self, partner_at
+from posegrain.operators.ordered import gap_segments, islands, neighbours, scan
 
 
 def moved(axes: list[str], other: str = "prev") -> Column:
@@ -74,10 +74,15 @@ def swap_quarantine(df: DataFrame, keys: list[str], order: list[str], axes: list
     quarantines nothing; a jump without partner neither.
     """
     t = order[0]
-    d = neighbours(df, keys, order, [t, *axes])
-    dt = F.col(t) - F.col(f"prev.{t}")
-    jump = F.coalesce((dt > 0) & (dt <= step_s) & (moved(axes) > speed * dt), F.lit(False))
-    d = running_sum(d.drop("next").withColumn("_jump", jump).drop("prev"), keys, order, F.col("_jump").cast("long"), "_k")
+
+    def leap(before: Column, row: Column) -> Column:
+        dt = row[t] - before[t]
+        way = F.sqrt(sum((row[a] - before[a]) * (row[a] - before[a]) for a in axes))
+        return F.coalesce((dt > 0) & (dt <= step_s) & (way > speed * dt), F.lit(False))
+
+    # Each jump begins a stretch: rows of stretch k + 1 come after k jumps.
+    d = scan(df, keys, order, [t, *axes], leap, "_k", prev=True).withColumn("_k", F.col("_k") - 1)
+    d = d.withColumn("_jump", F.col("prev").isNotNull() & leap(F.col("prev"), F.struct(t, *axes))).drop("prev")
     # Jump numbers 2i+1 and 2i+2 are a pair: rows with an odd number lie between them.
     ends = d.filter("_jump").groupBy(*keys, F.floor((F.col("_k") - 1) / 2).alias("_pair")).agg(F.min(t).alias("_from"), F.max(t).alias("_to"), F.count(F.lit(1)).alias("_n"))
     d = d.withColumn("_pair", F.floor((F.col("_k") - 1) / 2))
@@ -124,7 +129,7 @@ def motion_signature(df: DataFrame, keys: list[str], time: str, axes: list[str],
 def visible(frames: DataFrame, keys: list[str], order: list[str], observed: Column, limit: float) -> DataFrame:
     """Adds ``visible``: whether a row's time is within ``limit`` of an observed row's, before or after."""
     t = order[0]
-    d = bracket(frames, frames.filter(observed), keys, t, t, [])
+    d = bracket_self(frames, keys, t, F.col(t), observed, [])
     near = F.least(F.abs(F.col(t) - F.col("lo.t")), F.abs(F.col("hi.t") - F.col(t)))
     return d.withColumn("visible", F.coalesce(near <= limit, F.lit(False))).drop("lo", "hi")
 

@@ -36,12 +36,16 @@ WITH RECURSIVE words AS (
 p AS (SELECT *, {STATUS_SQL} AS status FROM words),
 v AS (SELECT * FROM p WHERE status = 'valid' AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL),
 m AS (SELECT session_id, frame, timestamp AS t, x_m AS x, y_m AS y, z_m AS z, qx, qy, qz, qw FROM mocap_normalized WHERE valid = 1 AND isfinite(x_m) AND isfinite(y_m) AND isfinite(z_m)),
+vq AS (SELECT *, sa*cb*cc - ca*sb*sc AS qx, ca*sb*cc + sa*cb*sc AS qy, ca*cb*sc - sa*sb*cc AS qz, ca*cb*cc + sa*sb*sc AS qw FROM (
+  SELECT *, sin(radians(roll)/2) AS sa, cos(radians(roll)/2) AS ca, sin(radians(pitch)/2) AS sb, cos(radians(pitch)/2) AS cb, sin(radians(yaw)/2) AS sc, cos(radians(yaw)/2) AS cc FROM v WHERE roll IS NOT NULL AND pitch IS NOT NULL AND yaw IS NOT NULL)),
+written AS (SELECT session_id, frame, t, unnest(regexp_extract_all(ids, '"(?:[^"]|"")*"|''(?:[^'']|'''')*''|[^\s,;|/"''\[\](){{}}<>]+')) AS w FROM p WHERE ids <> ''),
+seen AS (SELECT session_id, frame, t, regexp_extract(w, '(?:^["'']?|\s)([0-9]+)\s*["'']?$', 1)::INT AS id FROM written WHERE regexp_matches(w, '(?:^["'']?|\s)([0-9]+)\s*["'']?$')),
 sessions AS (SELECT session_id, max(CASE WHEN trim(board) <> '' THEN trim(board) END) AS board, max(CASE WHEN trim(camera_profile) <> '' THEN trim(camera_profile) END) AS profile,
                     max(source_fps) AS fps, min(started_at) AS started_at, max(total_frames) AS total_frames FROM capture_sessions GROUP BY session_id)"""
 
 
 def query(sql: str | None = None):
-    """Register a query; its SQL may use the tables ``p`` (poses), ``v`` (valid ones), ``m`` (motion capture) and ``sessions``."""
+    """Register a query; its SQL may use the tables ``p`` (poses), ``v`` (valid ones), ``vq`` (those with an orientation), ``m`` (motion capture), ``seen`` (detected tags) and ``sessions``."""
 
     def add(f):
         QUERIES[f.__name__] = f
@@ -86,20 +90,10 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "capture_sessions").groupBy("session_id").agg(named("board").alias("board"), named("camera_profile").alias("profile"), F.max("source_fps").alias("fps"), F.min("started_at").alias("started_at"), F.max("total_frames").alias("total_frames"))
 
 
-def r6(c, name=None):
-    c = F.col(c) if isinstance(c, str) and name is None else c
-    out = F.round(F.col(c) if isinstance(c, str) else c, 6)
-    return out.alias(name) if name else out
-
-
 def six(*names: str) -> list:
     return [F.round(F.col(n), 6).alias(n) for n in names]
 
 
-def sql6(*names: str) -> str:
-    return ", ".join(f"round({n}, 6) AS {n}" for n in names)
-
-
 # ---------------------------------------------------------------- sources and filters
 
 
@@ -221,16 +215,23 @@ def flt_angle_rules(spark, sf_dir):
 # ---------------------------------------------------------------- joins
 
 
-@query("SELECT p.session_id, p.frame, i.qw FROM p LEFT JOIN (SELECT session_id, frame, max(qw) AS qw FROM imu_perframe GROUP BY 1, 2) i USING (session_id, frame)")
+@query("""
+WITH l AS (SELECT session_id, frame, arg_max(detected_tag_count, pose_id) AS tags, max(pose_id) AS pose_id FROM pose GROUP BY session_id, frame)
+SELECT mc.session_id, mc.frame, l.pose_id, l.tags FROM mocap_normalized mc LEFT JOIN l USING (session_id, frame)""")
 def join_frame_lookup(spark, sf_dir):
-    """Each pose with the inertial row of its frame, if any; repeated frames give one."""
-    imu = read_table(spark, sf_dir, "imu_perframe").groupBy("session_id", "frame").agg(F.max("qw").alias("qw"))
+    """The pose of each frame of the motion capture; of copies the last to arrive wins. NULL where no pose has the frame."""
+    last = read_table(spark, sf_dir, "pose").groupBy("session_id", "frame").agg(F.max_by("detected_tag_count", "pose_id").alias("tags"), F.max("pose_id").alias("pose_id"))
+    return read_table(spark, sf_dir, "mocap_normalized").select("session_id", "frame").join(last, ["session_id", "frame"], "left").select("session_id", "frame", "pose_id", "tags")
+
+
+@query("SELECT p.session_id, p.frame, i.qw, i.qx FROM p LEFT JOIN imu_perframe i USING (session_id, frame)")
+def join_imu_by_frame(spark, sf_dir):
+    """Each pose with the inertial orientation of its frame, if any."""
+    imu = read_table(spark, sf_dir, "imu_perframe").select("session_id", "frame", "qw", "qx")
     return poses(spark, sf_dir).select("session_id", "frame").join(imu, ["session_id", "frame"], "left")
 
 
-@query(r"""
-WITH i AS (SELECT session_id, frame, unnest(string_split(trim(ids), ' ')) AS id FROM p WHERE regexp_full_match(ids, '[0-9]+( [0-9]+)*'))
-SELECT i.session_id, i.frame, i.id::INT AS id, center_m[1] AS cx, center_m[2] AS cy FROM i JOIN sessions s USING (session_id) JOIN tag_map t ON t.board = s.board AND t.id = i.id::INT""")
+@query("SELECT i.session_id, i.frame, i.id, center_m[1] AS cx, center_m[2] AS cy FROM seen i JOIN sessions s USING (session_id) JOIN tag_map t ON t.board = s.board AND t.id = i.id")
 def join_tag_geometry(spark, sf_dir):
     """Detected tags with their place on the session's board; tags the board does not have drop out."""
     d = detected(spark, sf_dir).select("session_id", "frame", "id").join(sessions(spark, sf_dir).select("session_id", "board"), "session_id")
@@ -298,19 +299,15 @@ def join_index_partner(spark, sf_dir):
 
 
 @query("""
-WITH c AS (SELECT session_id, board, epoch_us(started_at) / 1e6 AS a, epoch_us(started_at) / 1e6 + total_frames / fps AS b FROM sessions WHERE started_at IS NOT NULL AND fps > 0 AND total_frames IS NOT NULL AND board IS NOT NULL),
-n AS (SELECT *, lead(session_id) OVER w AS next_session, lead(a) OVER w AS na, lead(b) OVER w AS nb FROM c WINDOW w AS (PARTITION BY board ORDER BY a, session_id))
-SELECT session_id, next_session, round(least(b, nb) - greatest(a, na), 6) AS overlap_s FROM n WHERE next_session IS NOT NULL""")
+WITH c AS (SELECT session_id, board, epoch_us(started_at) / 1e6 AS a, epoch_us(started_at) / 1e6 + total_frames / fps AS b FROM sessions WHERE started_at IS NOT NULL AND fps > 0 AND total_frames IS NOT NULL AND board IS NOT NULL)
+SELECT l.session_id AS first_session, r.session_id AS second_session, round(least(l.b, r.b) - greatest(l.a, r.a), 6) AS overlap_s
+FROM c l JOIN c r ON l.board = r.board AND (l.a, l.session_id) < (r.a, r.session_id) AND least(l.b, r.b) > greatest(l.a, r.a)""")
 def join_capture_overlap(spark, sf_dir):
-    """How long a capture overlaps the next one at the same board; 0 or less: not at all. One row per capture, so windows by board stay small against the poses."""
-    from pyspark.sql import Window
-
+    """Captures at one board that overlap in time, each pair once, and for how long."""
     d = sessions(spark, sf_dir).filter(F.col("started_at").isNotNull() & (F.col("fps") > 0) & F.col("total_frames").isNotNull() & F.col("board").isNotNull())
     a = F.unix_micros(F.col("started_at").cast("timestamp")) / 1e6
     d = d.select("session_id", "board", a.alias("a"), (a + F.col("total_frames") / F.col("fps")).alias("b"))
-    w = Window.partitionBy("board").orderBy("a", "session_id")
-    d = d.select("session_id", F.lead("session_id").over(w).alias("next_session"), F.round(F.least("b", F.lead("b").over(w)) - F.greatest("a", F.lead("a").over(w)), 6).alias("overlap_s"))
-    return d.filter("next_session IS NOT NULL")
+    return asof.overlapping(d, ["board"], "a", "b", "session_id").select(F.col("first_session_id").alias("first_session"), F.col("second_session_id").alias("second_session"), *six("overlap_s"))
 
 
 @query("SELECT session_id, frame FROM v WHERE EXISTS (SELECT 1 FROM imu_perframe i WHERE i.session_id = v.session_id AND i.frame = v.frame)")
@@ -345,11 +342,6 @@ def ord_segments(spark, sf_dir):
     return tr.segment_table(valid(spark, sf_dir).select("session_id", "t", "frame"), K, ORDER, 0.65)
 
 
-def yaw_segments(spark, sf_dir) -> DataFrame:
-    d = valid(spark, sf_dir).filter("yaw IS NOT NULL").select("session_id", "t", "frame", "yaw", "x")
-    return ordered.gap_segments(d, K, ORDER, 0.65)
-
-
 @query(SEGMENTS.format("(SELECT * FROM v WHERE yaw IS NOT NULL)") + """
 , d AS (SELECT *, yaw - lag(yaw) OVER w AS dy FROM s WINDOW w AS (PARTITION BY session_id, segment ORDER BY t, frame)),
 f AS (SELECT *, (dy + 180) - 360 * floor((dy + 180) / 360) - 180 AS wd FROM d),
@@ -357,15 +349,16 @@ h AS (SELECT *, coalesce(round(((CASE WHEN wd = -180 AND dy > 0 THEN 180 ELSE wd
 SELECT session_id, frame, round(yaw + 360 * sum(turn) OVER (PARTITION BY session_id, segment ORDER BY t, frame ROWS UNBOUNDED PRECEDING), 4) AS yaw_unwrapped FROM h""")
 def ord_unwrapped(spark, sf_dir):
     """Yaw with its jumps at ±180 taken out within each segment."""
-    d = ordered.unwrapped(yaw_segments(spark, sf_dir), [*K, "segment"], ORDER, "yaw", "yaw_unwrapped")
+    d = valid(spark, sf_dir).filter("yaw IS NOT NULL").select("session_id", "t", "frame", "yaw")
+    d = ordered.unwrapped_segments(d, K, ORDER, 0.65, {"yaw": "yaw_unwrapped"})
     return d.select("session_id", "frame", F.round("yaw_unwrapped", 4).alias("yaw_unwrapped"))
 
 
 @query(SEGMENTS.format("v") + "SELECT session_id, frame, round(median(x) OVER (PARTITION BY session_id, segment ORDER BY t, frame ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) + 1e-9, 6) AS x_median FROM s")
 def ord_centred_median(spark, sf_dir):
     """Median of five rows around each, cut at segment ends."""
-    d = ordered.gap_segments(valid(spark, sf_dir).select("session_id", "t", "frame", "x"), K, ORDER, 0.65)
-    d = ordered.centred_median(d, [*K, "segment"], ORDER, "x", 2, "x_median")
+    d = ordered.gap_segments(valid(spark, sf_dir).select("session_id", "t", "frame", "x"), K, ORDER, 0.65, "i")
+    d = ordered.centred_median(d, [*K, "segment"], ORDER, "x", 2, "x_median", "i")
     return d.select("session_id", "frame", F.round(F.col("x_median") + 1e-9, 6).alias("x_median"))
 
 
@@ -380,20 +373,23 @@ def ord_exponential_mean(spark, sf_dir):
     return d.select("session_id", "frame", F.round(F.col("x_mean") + 1e-9, 6).alias("x_mean"))
 
 
+KALMAN = {**{a: (0.04, 0.8, 0.5) for a in XYZ}, **{f"{a}_u": (2.0, 30.0, 30.0) for a in RPY}}
+
+
 @query()
 def ord_kalman(spark, sf_dir):
-    """Constant-velocity smoothing of position and yaw per segment; tested against a full-state smoother."""
-    d = ordered.gap_segments(valid(spark, sf_dir).dropna(subset=RPY).select("session_id", "t", "frame", *XYZ, "yaw"), K, ORDER, 0.65)
-    d = ordered.unwrapped(d, [*K, "segment"], ORDER, "yaw", "yaw_u").drop("yaw")
-    out = smoothing.kalman_rts(d, [*K, "segment"], ORDER, {**{a: (0.04, 0.8, 0.5) for a in XYZ}, "yaw_u": (2.0, 30.0, 30.0)})
-    return out.select("session_id", "frame", *[F.round(f"{a}_smooth", 6).alias(f"{a}_smooth") for a in (*XYZ, "yaw_u")])
+    """Constant-velocity smoothing of position and orientation per segment, all six axes."""
+    d = valid(spark, sf_dir).dropna(subset=RPY).select("session_id", "t", "frame", *XYZ, *RPY)
+    d = ordered.unwrapped_segments(d, K, ORDER, 0.65, {a: f"{a}_u" for a in RPY}, "i").drop(*RPY)
+    out = smoothing.kalman_rts(d, [*K, "segment"], ORDER, KALMAN, "i")
+    return out.select("session_id", "frame", *[F.round(f"{a}_smooth", 6).alias(f"{a}_smooth") for a in KALMAN])
 
 
 @query()
 def ord_despiked(spark, sf_dir):
     """Median of five where a reading is off it, then local polynomials; tested against brute force."""
-    d = ordered.gap_segments(valid(spark, sf_dir).select("session_id", "t", "frame", "x"), K, ORDER, 0.65)
-    return smoothing.despiked(d, [*K, "segment"], ORDER, ["x"]).select("session_id", "frame", F.round("x_smooth", 6).alias("x_smooth"))
+    d = ordered.gap_segments(valid(spark, sf_dir).select("session_id", "t", "frame", "x"), K, ORDER, 0.65, "i")
+    return smoothing.despiked(d, [*K, "segment"], ORDER, ["x"], "i").select("session_id", "frame", F.round("x_smooth", 6).alias("x_smooth"))
 
 
 @query("""
@@ -568,9 +564,7 @@ def agg_error_stats(spark, sf_dir):
     return d.select("session_id", "n", *six("mean", "rmse"), "max", *six("median", "p95"))
 
 
-@query(r"""
-WITH i AS (SELECT DISTINCT session_id, frame, unnest(string_split(ids, ' '))::INT AS id FROM p WHERE regexp_full_match(ids, '[0-9]+( [0-9]+)*'))
-SELECT session_id, id, count(*) AS n_frames FROM i GROUP BY session_id, id""")
+@query("SELECT session_id, id, count(DISTINCT frame) AS n_frames FROM seen GROUP BY session_id, id")
 def agg_detections_per_id(spark, sf_dir):
     """In how many frames each tag was seen; twice in a frame counts once."""
     return detected(spark, sf_dir).select("session_id", "frame", "id").distinct().groupBy("session_id", "id").agg(F.count(F.lit(1)).alias("n_frames"))
@@ -586,8 +580,8 @@ def detected(spark, sf_dir) -> DataFrame:
     return d.select("pose.*", tag.alias("id")).filter(F.col("id").isNotNull())
 
 
-@query(r"""
-WITH i AS (SELECT DISTINCT session_id, unnest(string_split(ids, ' '))::INT AS id FROM p WHERE regexp_full_match(ids, '[0-9]+( [0-9]+)*')),
+@query("""
+WITH i AS (SELECT DISTINCT session_id, id FROM seen),
 e AS (SELECT session_id, id FROM sessions JOIN tag_map USING (board))
 SELECT e.session_id, count(*) AS n_expected, count(i.id) AS n_seen, round(count(i.id) / count(*), 6) AS coverage, string_agg(CASE WHEN i.id IS NULL THEN e.id END, ' ' ORDER BY e.id) AS missing
 FROM e LEFT JOIN i ON i.session_id = e.session_id AND i.id = e.id GROUP BY e.session_id""")
@@ -611,13 +605,17 @@ def agg_state_counts(spark, sf_dir):
     return poses(spark, sf_dir).groupBy("session_id", F.coalesce("status", F.lit("none")).alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def along_axes(d: DataFrame) -> DataFrame:
+    """(session_id, axis, value): a row per coordinate."""
+    return d.select("session_id", F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("value")) for a in XYZ])).alias("e")).select("session_id", "e.axis", "e.value")
+
+
 @query("""
 WITH b AS (SELECT session_id, quantile_cont(x, 0.01) AS x1, quantile_cont(x, 0.99) AS x2, quantile_cont(y, 0.01) AS y1, quantile_cont(y, 0.99) AS y2, quantile_cont(z, 0.01) AS z1, quantile_cont(z, 0.99) AS z2 FROM v GROUP BY session_id)
 SELECT session_id, round((x1+x2)/2, 6) AS cx, round((y1+y2)/2, 6) AS cy, round((z1+z2)/2, 6) AS cz, round(greatest(x2-x1, y2-y1, z2-z1, 0.3), 6) AS side FROM b""")
 def agg_bounding_cube(spark, sf_dir):
     """A cube over the middle 98 % of each axis."""
-    long = valid(spark, sf_dir).select("session_id", F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("value")) for a in XYZ])).alias("e")).select("session_id", "e.axis", "e.value")
-    d = agg.percentiles(long, ["session_id", "axis"], "value", {"lo": 0.01, "hi": 0.99})
+    d = agg.percentiles(along_axes(valid(spark, sf_dir)), ["session_id", "axis"], "value", {"lo": 0.01, "hi": 0.99})
     pick = lambda a, c: F.max(F.when(F.col("axis") == a, F.col(c)))
     d = d.groupBy("session_id").agg(*[pick(a, c).alias(f"{a}_{c}") for a in XYZ for c in ("lo", "hi")])
     return d.select("session_id", *[F.round((F.col(f"{a}_lo") + F.col(f"{a}_hi")) / 2, 6).alias(f"c{a}") for a in XYZ], F.round(F.greatest(*[F.col(f"{a}_hi") - F.col(f"{a}_lo") for a in XYZ], F.lit(0.3)), 6).alias("side"))
@@ -658,11 +656,10 @@ def agg_bootstrap(spark, sf_dir):
     return d.select("session_id", "n_blocks", *six("rmse", "low", "high"))
 
 
-@query("SELECT session_id, quantile_cont(x, 0.5) AS x, quantile_cont(y, 0.5) AS y FROM v GROUP BY session_id")
+@query("SELECT session_id, quantile_cont(x, 0.5) AS x, quantile_cont(y, 0.5) AS y, quantile_cont(z, 0.5) AS z FROM v GROUP BY session_id")
 def agg_median_translation(spark, sf_dir):
-    d = valid(spark, sf_dir)
-    a, b = agg.percentiles(d, K, "x", {"x": 0.5}).drop("n"), agg.percentiles(d, K, "y", {"y": 0.5}).drop("n")
-    return a.join(b, "session_id")
+    d = agg.percentiles(along_axes(valid(spark, sf_dir)), ["session_id", "axis"], "value", {"m": 0.5})
+    return d.groupBy("session_id").agg(*[F.max(F.when(F.col("axis") == a, F.col("m"))).alias(a) for a in XYZ])
 
 
 @query()
@@ -720,9 +717,7 @@ def sel_evenly_spaced(spark, sf_dir):
     return d.join(g, ["session_id", "_i"], "left_semi").select("session_id", "frame")
 
 
-@query(r"""
-WITH i AS (SELECT DISTINCT session_id, floor(t)::BIGINT AS second, unnest(string_split(ids, ' '))::INT AS id FROM p WHERE regexp_full_match(ids, '[0-9]+( [0-9]+)*'))
-SELECT session_id, second, string_agg(id, ' ' ORDER BY id) AS ids FROM i GROUP BY 1, 2""")
+@query("SELECT session_id, second, string_agg(id, ' ' ORDER BY id) AS ids FROM (SELECT DISTINCT session_id, floor(t)::BIGINT AS second, id FROM seen) GROUP BY 1, 2")
 def set_union_of_ids(spark, sf_dir):
     """All tags seen in each second, once each, in order."""
     d = detected(spark, sf_dir).select("session_id", F.floor("t").alias("second"), "id")
@@ -869,13 +864,13 @@ def ord_dense_frames(spark, sf_dir):
 
 @query()
 def ord_dense_kalman(spark, sf_dir):
-    """Smoothing over a dense grid of seconds with missing readings, per segment; tested against a full-state smoother."""
+    """Smoothing over a dense grid of seconds with missing readings, one acceleration a step, per segment."""
     d = ordered.gap_segments(valid(spark, sf_dir).select("session_id", "t", "frame", "x"), K, ORDER, 5.0)
     seconds = d.groupBy("session_id", "segment", F.floor("t").alias("second")).agg(F.avg("x").alias("x"))
     ends = d.groupBy("session_id", "segment").agg(F.floor(F.min("t")).alias("a"), F.floor(F.max("t")).alias("b"))
-    grid = ends.select("session_id", "segment", F.explode(F.sequence("a", "b")).alias("second"))
+    grid = ends.select("session_id", "segment", "a", F.explode(F.sequence("a", "b")).alias("second")).withColumn("i", F.col("second") - F.col("a")).drop("a")
     grid = grid.join(seconds, ["session_id", "segment", "second"], "left")
-    return smoothing.kalman_rts(grid, [*K, "segment"], ["second"], {"x": (0.012, 2.5, 1.0)}).select("session_id", "segment", "second", F.round("x_smooth", 6).alias("x_smooth"))
+    return smoothing.kalman_rts(grid, [*K, "segment"], ["second"], {"x": (0.012, 2.5, 1.0)}, "i", "discrete").select("session_id", "segment", "second", F.round("x_smooth", 6).alias("x_smooth"))
 
 
 @query("SELECT id, id % 6 AS col, id // 6 AS row, round((id % 6) * 0.13, 6) AS cx, round((id // 6) * 0.13, 6) AS cy FROM (SELECT unnest(range(36)) AS id)")
@@ -903,18 +898,6 @@ def geo_view_intrinsics(spark, sf_dir):
     return d.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("inliers"), 6).alias("inliers")).withColumn("focal_px", F.round(focal_px(F.lit(640.0), F.lit(90.0)), 6))
 
 
-@query("""
-WITH s AS (SELECT session_id, count(*) AS n, count(*) FILTER (WHERE status = 'jump_rejected') AS jumps, count(*) FILTER (WHERE source = 'optical_flow') AS flow FROM p GROUP BY session_id)
-SELECT session_id, CASE WHEN flow = 0 AND n >= 200 AND jumps <= 0.02 * n + 1e-9 THEN 'FORMAL_ACCURACY' ELSE 'DIAGNOSTIC_ONLY' END AS verdict FROM s""")
-def gate_formal(spark, sf_dir):
-    """Formal only without optical flow, with 200 rows or more and few jumps."""
-    g = poses(spark, sf_dir).groupBy("session_id")
-    count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
-    d = g.agg(F.count(F.lit(1)).alias("n"), count(F.col("status") == "jump_rejected").alias("jumps"), count(F.col("source") == "optical_flow").alias("flow"))
-    ok = (F.col("flow") == 0) & (F.col("n") >= 200) & (F.col("jumps") <= 0.02 * F.col("n") + 1e-9)
-    return d.select("session_id", F.when(ok, "FORMAL_ACCURACY").otherwise("DIAGNOSTIC_ONLY").alias("verdict"))
-
-
 @query()
 def geo_hand_eye(spark, sf_dir):
     """Camera-to-marker and world transforms of each session with motion capture, from at most 240 evenly spaced pairs; tested on closed forms."""
