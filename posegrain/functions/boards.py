@@ -34,3 +34,17 @@ def view_set(spark: SparkSession, around: int) -> DataFrame:
 def focal_px(size_px: Column, fov_deg: Column) -> Column:
     """Focal length of a pinhole view ``size_px`` wide."""
     return size_px / (2 * F.tan(fov_deg * (math.pi / 360)))
+
+
+def panel_layout(spark: SparkSession, first_id: int, side: int, tag_mm: float, gap_mm: float, panel_mm: float) -> DataFrame:
+    """(id, row, col, x_mm, y_mm): the centres of ``side`` x ``side`` tags printed on a square panel, from its middle, up being positive."""
+    pitch = tag_mm + gap_mm
+    margin = (panel_mm - (side * tag_mm + (side - 1) * gap_mm)) / 2
+    d = spark.range(side * side).select((F.col("id") + first_id).alias("id"), F.floor(F.col("id") / side).alias("row"), (F.col("id") % side).alias("col"))
+    off = lambda c: margin + F.col(c) * pitch + tag_mm / 2 - panel_mm / 2
+    return d.select("id", "row", "col", off("col").alias("x_mm"), (-off("row")).alias("y_mm"))
+
+
+def drawn(x: Column, y: Column, z: Column) -> tuple[Column, Column]:
+    """Where a point lies on a drawing plane that shows depth. Its slants."""
+    return (x - y) * 0.88, (x + y) * 0.22 - (z - 0.55)

@@ -1,9 +1,9 @@
 import pytest
 
 from oracle import assert_same, tables
-from posegrain.plans import pipelines, problems, reference
+from posegrain.plans import orientation, pipelines, problems, reference
 
-MODULES = (problems, reference, pipelines)
+MODULES = (problems, reference, orientation, pipelines)
 
 
 @pytest.fixture(scope="module")
