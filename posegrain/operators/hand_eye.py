@@ -5,10 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from posegrain.operators.alignment import hand_eye
-from posegrain.operators.ordered import running_sum
+from posegrain.operators.alignment import hand_eye, quaternion_of
+from posegrain.operators.ordered import evenly_spaced
 from posegrain.session import ship_package
 
 MOST = 240
@@ -24,39 +23,25 @@ def _matrices(t: np.ndarray, q: np.ndarray) -> np.ndarray:
     return m
 
 
-def _quaternion(r: np.ndarray) -> np.ndarray:
-    """(x, y, z, w), w ≥ 0, from the eigenvector of the symmetric form, which has no branches."""
-    k = np.array([
-        [r[0, 0] - r[1, 1] - r[2, 2], r[1, 0] + r[0, 1], r[2, 0] + r[0, 2], r[2, 1] - r[1, 2]],
-        [r[1, 0] + r[0, 1], r[1, 1] - r[0, 0] - r[2, 2], r[2, 1] + r[1, 2], r[0, 2] - r[2, 0]],
-        [r[2, 0] + r[0, 2], r[2, 1] + r[1, 2], r[2, 2] - r[0, 0] - r[1, 1], r[1, 0] - r[0, 1]],
-        [r[2, 1] - r[1, 2], r[0, 2] - r[2, 0], r[1, 0] - r[0, 1], r[0, 0] + r[1, 1] + r[2, 2]],
-    ])
-    v = np.linalg.eigh(k)[1][:, -1]
-    return -v if v[3] < 0 else v
-
-
 def hand_eye_by_group(pairs: DataFrame, keys: list[str], order: list[str], least: int = 20) -> DataFrame:
-    """(``keys``, n, tx … qw): the fixed transform between the two tracked bodies of each group.
+    """(``keys``, n, tx … qw, ztx … zqw): the fixed transforms between the two tracked bodies and between the two frames of each group.
 
-    ``pairs``: x, y, z, qx … qw and the same as ``m_*``. At most ``MOST`` rows per group, evenly spaced by rank, go into
+    ``pairs``: x, y, z, qx … qw and the same as ``m_*``, with pose X ≈ Z m. At most ``MOST`` rows per group, evenly spaced by rank, go into
     the solve, which bounds its group; fewer than ``least`` give no row.
     """
     ship_package(pairs.sparkSession)
-    d = running_sum(pairs, keys, order, F.lit(1).cast("long"), "_i", total="_n")
-    step = F.greatest(F.lit(1.0), F.col("_n") / float(MOST))
-    # The first row of each of MOST equal stretches of ranks.
-    d = d.filter(F.floor((F.col("_i") - 1) / step) > F.floor((F.col("_i") - 2) / step)).drop("_n")
+    d = evenly_spaced(pairs, keys, order, MOST)
     types = ", ".join(f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in keys)
-    names = ["tx", "ty", "tz", "qx", "qy", "qz", "qw"]
+    part = ["tx", "ty", "tz", "qx", "qy", "qz", "qw"]
+    names = [*part, *[f"z{c}" for c in part]]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) < least:
             return pd.DataFrame(columns=[*keys, "n", *names])
-        pdf = pdf.sort_values("_i")
+        pdf = pdf.sort_values(order)
         a = _matrices(pdf[["x", "y", "z"]].to_numpy(), pdf[["qx", "qy", "qz", "qw"]].to_numpy())
         b = _matrices(pdf[["m_x", "m_y", "m_z"]].to_numpy(), pdf[["m_qx", "m_qy", "m_qz", "m_qw"]].to_numpy())
-        x, _ = hand_eye(a, b)
-        return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), len(pdf), *x[:3, 3], *_quaternion(x[:3, :3])]], columns=[*keys, "n", *names])
+        x, z = hand_eye(a, b)
+        return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), len(pdf), *x[:3, 3], *quaternion_of(x[:3, :3]), *z[:3, 3], *quaternion_of(z[:3, :3])]], columns=[*keys, "n", *names])
 
     return d.groupBy(*keys).applyInPandas(solve, f"{types}, n long, {', '.join(f'{n} double' for n in names)}")

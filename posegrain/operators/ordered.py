@@ -180,6 +180,17 @@ def unwrapped(df: DataFrame, keys: list[str], order: list[str], angle: str, name
     return unwrapped_segments(df, keys, order, float("inf"), {angle: name}).drop("segment")
 
 
+def evenly_spaced(df: DataFrame, keys: list[str], order: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows of each source, evenly spaced by rank: those of ranks round(k (n - 1) / (most - 1)), halves to even. A sampling operator."""
+    d = running_sum(df, keys, order, F.lit(1).cast("long"), "_i", total="_n")
+    place, step = F.col("_i") - 1, (F.col("_n") - 1) / float(most - 1)
+    near = F.floor(F.try_divide(place, step))
+    hit = F.lit(False)
+    for k in (-1, 0, 1, 2):
+        hit |= F.coalesce(F.bround((near + k) * step, 0) == place, F.lit(False)) & (near + k >= 0) & (near + k < most)
+    return d.filter((F.col("_n") <= most) | F.coalesce(hit, F.lit(False))).drop("_i", "_n")
+
+
 CHUNK, HALO = 4_096, 256
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from posegrain.functions.angles import clip, smoothstep
 from posegrain.operators.aggregates import join_null_safe, percentiles
-from posegrain.operators.asof import bracket, bracket_self, partner_at
+from posegrain.operators.asof import bracket, bracket_self
 from posegrain.operators.ordered import gap_segments, islands, neighbours, scan
 
 
@@ -119,13 +119,6 @@ def resample(queries: DataFrame, samples: DataFrame, keys: list[str], query_time
     return found.drop("lo", "hi")
 
 
-def motion_signature(df: DataFrame, keys: list[str], time: str, axes: list[str], baseline_s: float = 0.2) -> DataFrame:
-    """(``keys``, t, speed): speed over a baseline to the row nearest ``baseline_s`` later, at the middle of both."""
-    d = partner_at(df, keys, time, axes, baseline_s, max(0.03, 0.25 * baseline_s)).filter(F.col("other").isNotNull())
-    dt = F.col("other.t") - F.col(time)
-    return d.select(*keys, ((F.col(time) + F.col("other.t")) / 2).alias("t"), (moved(axes, "other") / dt).alias("speed"))
-
-
 def visible(frames: DataFrame, keys: list[str], order: list[str], observed: Column, limit: float) -> DataFrame:
     """Adds ``visible``: whether a row's time is within ``limit`` of an observed row's, before or after."""
     t = order[0]

@@ -711,10 +711,7 @@ g AS (SELECT DISTINCT session_id, round_even(k * (n - 1) / 239.0, 0)::BIGINT AS
 SELECT o.session_id, o.frame FROM o JOIN g USING (session_id, i)""")
 def sel_evenly_spaced(spark, sf_dir):
     """At most 240 rows of each session, evenly spaced by rank; a sampling operator."""
-    d = ordered.running_sum(valid(spark, sf_dir).select("session_id", "t", "frame"), K, ORDER, F.lit(1).cast("long"), "_i", total="_n")
-    g = d.groupBy("session_id").agg(F.max("_n").alias("_n")).select("session_id", F.explode(F.sequence(F.lit(0), F.lit(239))).alias("k"), "_n")
-    g = g.select("session_id", (F.bround(F.col("k") * (F.col("_n") - 1) / 239.0, 0).cast("long") + 1).alias("_i")).distinct()
-    return d.join(g, ["session_id", "_i"], "left_semi").select("session_id", "frame")
+    return ordered.evenly_spaced(valid(spark, sf_dir).select("session_id", "t", "frame"), K, ORDER, 240).select("session_id", "frame")
 
 
 @query("SELECT session_id, second, string_agg(id, ' ' ORDER BY id) AS ids FROM (SELECT DISTINCT session_id, floor(t)::BIGINT AS second, id FROM seen) GROUP BY 1, 2")
@@ -751,13 +748,6 @@ def sync_time_offset(spark, sf_dir):
     return sync.find_offset(left, right, K, radius=1.0, coarse=0.01, fine=0.001).select("session_id", *six("offset_s", "score", "uncertainty_s"), "n")
 
 
-@query()
-def sync_motion_signature(spark, sf_dir):
-    """Speeds over a baseline of 0.2 s, at the middle of the pair."""
-    d = ordered.first_per_time(valid(spark, sf_dir).select("session_id", "t", "frame", *XYZ), K, "t", "frame").drop("frame")
-    return tr.motion_signature(d, K, "t", XYZ).select("session_id", *six("t", "speed"))
-
-
 def matched(spark, sf_dir) -> DataFrame:
     d = asof.bracket(valid(spark, sf_dir).select("session_id", "frame", "t", *XYZ), mocap(spark, sf_dir), K, "t", "t", XYZ)
     t = F.col("t")
