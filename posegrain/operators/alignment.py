@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from posegrain.functions import poses
 from posegrain.functions import rotations as rot
 from posegrain.operators.aggregates import join_null_safe, percentiles
-from posegrain.session import cut_lineage, ship_package
+from posegrain.session import ship_package, written
 
 
 def kabsch(means_a: np.ndarray, means_b: np.ndarray, cross: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +104,7 @@ def robust_inliers(df: DataFrame, keys: list[str], residual: str, floor: float,
         limits = join_null_safe(m, s, keys).select(*keys, "_n", (F.col("_m") + F.greatest(4 * 1.4826 * F.col("_s"), F.lit(floor))).alias("_limit"))
         d = join_null_safe(d, limits, keys, "left")
         d = d.withColumn("inlier", F.when(F.col("_n") >= least, F.coalesce(F.col(residual) <= F.col("_limit"), F.lit(False))).otherwise(F.col("inlier"))).drop("_n", "_limit")
-        d = cut_lineage(d)  # else each round would repeat all before it
+        d = written(d)  # else each round would repeat all before it
     return d
 
 
@@ -128,7 +128,7 @@ def fit_poses(pairs: DataFrame, keys: list[str], left: str, right: str, eligible
         raise ValueError(f"no model {model!r}")
     d = pairs.filter(F.col(left).isNotNull() & F.col(right).isNotNull()).withColumn("_eligible", F.coalesce(eligible, F.lit(False))).withColumn("inlier", F.col("_eligible"))
     counts = d.groupBy(*keys).agg(F.sum(F.col("inlier").cast("long")).alias("_n")).filter(F.col("_n") >= least).select(*keys)
-    d = cut_lineage(join_null_safe(d, counts, keys, "left_semi"))
+    d = written(join_null_safe(d, counts, keys, "left_semi"))
     a, b = F.col(left), F.col(right)
     fit = None
     for k in range(rounds):
@@ -139,11 +139,11 @@ def fit_poses(pairs: DataFrame, keys: list[str], left: str, right: str, eligible
         off = poses.difference(a["p"], rot.rotate(F.col("_r"), b["p"])) if model == "world" else rot.rotate(rot.inverse(a["q"]), poses.difference(b["p"], a["p"]))
         middle = _axes(moved.withColumn("_o", off), keys, {c: F.col(f"_o.{c}") for c in "xyz"}, {"m": 0.5})
         fit = join_null_safe(mean, middle, keys).select(*keys, "n", poses.pose(rot.vector(F.col("x_m"), F.col("y_m"), F.col("z_m")), F.col("_r")).alias("fit"))
-        fit = cut_lineage(fit)
+        fit = written(fit)
         d = join_null_safe(d.drop("aligned", "position_error_m", "orientation_error_deg", "fit"), fit.drop("n"), keys)
         d = d.withColumn("aligned", poses.compose(F.col("fit"), b) if model == "world" else poses.compose(b, poses.invert(F.col("fit"))))
         d = d.withColumns({"position_error_m": poses.length(poses.difference(a["p"], F.col("aligned.p"))), "orientation_error_deg": rot.angle_deg(a["q"], F.col("aligned.q"))})
-        d = cut_lineage(d)
+        d = written(d)
         errors = {"p": F.col("position_error_m"), "o": F.col("orientation_error_deg")}
         limits = _axes(d.filter("inlier"), keys, errors, {"m": 0.5})
         spread = _axes(join_null_safe(d.filter("inlier"), limits, keys), keys, {n: F.abs(c - F.col(f"{n}_m")) for n, c in errors.items()}, {"s": 0.5})
@@ -152,10 +152,10 @@ def fit_poses(pairs: DataFrame, keys: list[str], left: str, right: str, eligible
         d2 = join_null_safe(d, limits.select(*keys, top("p", floor_m).alias("_pl"), top("o", floor_deg).alias("_ol")), keys)
         d2 = d2.withColumn("_next", F.col("_eligible") & (errors["p"] <= F.col("_pl")) & (errors["o"] <= F.col("_ol")))
         groups = d2.groupBy(*keys).agg(F.sum(F.col("_next").cast("long")).alias("_n"), F.max(F.col("_next") != F.col("inlier")).alias("_new"))
-        groups = cut_lineage(groups.withColumn("_new", F.col("_new") & (F.col("_n") >= least)).select(*keys, "_new"))
+        groups = written(groups.withColumn("_new", F.col("_new") & (F.col("_n") >= least)).select(*keys, "_new"))
         if groups.filter("_new").isEmpty():
             break
-        d = cut_lineage(join_null_safe(d2, groups, keys).withColumn("inlier", F.when(F.col("_new"), F.col("_next")).otherwise(F.col("inlier"))).drop("_pl", "_ol", "_next", "_new"))
+        d = written(join_null_safe(d2, groups, keys).withColumn("inlier", F.when(F.col("_new"), F.col("_next")).otherwise(F.col("inlier"))).drop("_pl", "_ol", "_next", "_new"))
     return fit, d.drop("_eligible", "fit")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from posegrain.operators.aggregates import join_null_safe
 from posegrain.operators.ordered import CHUNK, HALO, chunked, per_group, sequential, time_block
-from posegrain.session import cut_lineage
+from posegrain.session import cut_lineage, written
 
 
 def ema(df: DataFrame, keys: list[str], order: list[str], value: str, keep: float, name: str, gap: float = 0.65) -> DataFrame:
@@ -78,7 +78,7 @@ def jump_gate(df: DataFrame, keys: list[str], order: list[str], axes: list[str],
     time = order[0]
     refs = ["_rt", *[f"_r{i}" for i in range(len(axes))]]
     by = [*keys, "_block"]
-    d = cut_lineage(df.withColumn("_block", time_block(time)))
+    d = written(df.withColumn("_block", time_block(time)))
     narrow = d.select(*by, *order, *axes)
 
     def begin(v: tuple[np.ndarray, ...]) -> tuple | None:
@@ -92,7 +92,7 @@ def jump_gate(df: DataFrame, keys: list[str], order: list[str], axes: list[str],
             return [np.full(len(t), np.nan if last is None else x) for x in (last or (np.nan,) * len(refs))]
 
         got = per_group(rows, by, order, [time, *axes, *refs], run, [f"_e{r}" for r in refs])
-        return cut_lineage(got.groupBy(*by).agg(*[F.max(f"_e{r}").alias(f"_e{r}") for r in refs], *[F.max(r).alias(r) for r in refs]))
+        return written(got.groupBy(*by).agg(*[F.max(f"_e{r}").alias(f"_e{r}") for r in refs], *[F.max(r).alias(r) for r in refs]))
 
     state = ends(narrow.withColumns({r: F.lit(None).cast("double") for r in refs}))
     while True:
@@ -100,12 +100,12 @@ def jump_gate(df: DataFrame, keys: list[str], order: list[str], axes: list[str],
         known = F.when(F.col("_e_rt").isNotNull(), F.struct(*[f"_e{r}" for r in refs]))
         due = state.withColumn("_b", F.last(known, ignorenulls=True).over(v))
         changed = due.filter(~F.struct(*refs).eqNullSafe(F.struct(*[F.col(f"_b._e{r}").alias(r) for r in refs]))).select(*by, *[F.col(f"_b._e{r}").alias(r) for r in refs])
-        changed = cut_lineage(changed)
+        changed = written(changed)
         if changed.isEmpty():
             break
         again = ends(join_null_safe(narrow, changed, by))
         kept = join_null_safe(state, changed.select(*by), by, "left_anti")
-        state = cut_lineage(kept.unionByName(again))
+        state = written(kept.unionByName(again))
 
     def accepted(t: np.ndarray, *v: np.ndarray) -> list[np.ndarray]:
         return [_gate(t, list(v[: len(axes)]), max_speed, begin(v[len(axes) :]))[0].astype(float)]

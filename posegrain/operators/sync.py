@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from posegrain.functions import rotations as rot
 from posegrain.operators.aggregates import join_null_safe
 from posegrain.operators.ordered import neighbours
-from posegrain.session import cut_lineage, ship_package
+from posegrain.session import written, ship_package
 
 BLOCK_S = 600.0
 TRIED = 1 << 15  # pairs tried at once
@@ -100,7 +100,7 @@ def offset_scores(
         around = join_null_safe(around, gaps, keys)
     else:
         around = around.withColumn("_gap", F.lit(float(max_gap)))
-    around = cut_lineage(join_null_safe(around, means, keys))
+    around = written(join_null_safe(around, means, keys))
     a = join_null_safe(left.filter("t IS NOT NULL").select(*keys, "t", *extra, *channels), around, keys).withColumn("_block", F.floor(F.col("t") / BLOCK_S))
     most = F.round(radius / F.col("_step")) * F.col("_step")
     b = join_null_safe(right.filter("t IS NOT NULL").select(*keys, F.col("t").cast("double").alias("t"), *values), around, keys)
@@ -182,15 +182,15 @@ def find_offset(
     Sources whose coarse best lies within ``edge`` of the radius are searched again, once, at twice the radius and two seconds at least.
     ``uncertainty_s``: half the span of the fine offsets that score within 0.02 of the best. ``how``: channels and rules of ``offset_scores``.
     """
-    left, right = cut_lineage(left), cut_lineage(right)
+    left, right = written(left), written(right)
     sources = left.select(*keys).distinct().withColumn("base", F.lit(0.0))
-    rough = cut_lineage(best_offset(offset_scores(left, right, keys, sources, radius, coarse, max_gap, least, **how), keys))
+    rough = written(best_offset(offset_scores(left, right, keys, sources, radius, coarse, max_gap, least, **how), keys))
     if edge is not None:
         at_edge = F.abs("offset_s") >= radius - edge - 1e-9
         again = rough.filter(at_edge).select(*keys, F.lit(0.0).alias("base"))
         again = best_offset(offset_scores(left, right, keys, again, max(2.0, 2 * radius), coarse, max_gap, least, **how), keys)
-        rough = cut_lineage(rough.filter(~at_edge).unionByName(again))
-    scores = cut_lineage(offset_scores(left, right, keys, rough.select(*keys, F.col("offset_s").alias("base")), coarse * 2, fine, max_gap, least, **how))
+        rough = written(rough.filter(~at_edge).unionByName(again))
+    scores = written(offset_scores(left, right, keys, rough.select(*keys, F.col("offset_s").alias("base")), coarse * 2, fine, max_gap, least, **how))
     best = best_offset(scores, keys).drop("step")
     close = join_null_safe(scores.select(*keys, F.col("offset_s").alias("_o"), F.col("score").alias("_s")), best, keys).filter(F.col("_s") >= F.col("score") - 0.02)
     rest = [c for c in best.columns if c not in keys]
@@ -209,7 +209,7 @@ def find_offset_to_truth(visual: DataFrame, truth: DataFrame, keys: list[str], r
 
 def pair_offset_scores(left: DataFrame, right: DataFrame, keys: list[str], radius: float = 3.0, max_gap: float = 0.1) -> DataFrame:
     """The curve of the coarse search between two rigs."""
-    a, b = (cut_lineage(signature(d, keys, "t", ["x", "y", "z"]).select(*keys, F.col("middle").alias("t"), *BOTH)) for d in (left, right))
+    a, b = (written(signature(d, keys, "t", ["x", "y", "z"]).select(*keys, F.col("middle").alias("t"), *BOTH)) for d in (left, right))
     return offset_scores(a, b, keys, a.select(*keys).distinct().withColumn("base", F.lit(0.0)), radius, 0.01, max_gap, 20, channels=BOTH)
 
 
@@ -224,8 +224,8 @@ def find_generic_offset(estimate: DataFrame, truth: DataFrame, keys: list[str],
     an offset that leaves the truth's cover does not count. (``keys``, offset_s, score, ``<channel>_score``, n)."""
     from posegrain.operators.aggregates import percentiles
 
-    left = cut_lineage(steps_between(estimate, keys, "t", ["x", "y", "z"]))
+    left = written(steps_between(estimate, keys, "t", ["x", "y", "z"]))
     step = percentiles(left.withColumn("_dt", F.col("t2") - F.col("t")), keys, "_dt", {"m": 0.5})
     around = step.select(*keys, F.lit(0.0).alias("base"), F.greatest(F.col("m"), F.lit(0.002)).alias("step"))
-    scores = offset_scores(left, cut_lineage(truth), keys, around, radius, None, None, 2, channels=BOTH, paired=True, whole=True, flat=1e-8)
+    scores = offset_scores(left, written(truth), keys, around, radius, None, None, 2, channels=BOTH, paired=True, whole=True, flat=1e-8)
     return best_offset(scores, keys).drop("step")

@@ -17,7 +17,7 @@ from posegrain.operators import trajectory as tr
 from posegrain.operators.aggregates import block_bootstrap, error_stats, join_null_safe
 from posegrain.operators.alignment import apply_rigid, fit_poses, fit_rigid
 from posegrain.operators.hand_eye import hand_eye_by_group
-from posegrain.session import cut_lineage, read_table
+from posegrain.session import written, read_table
 
 XYZ = ["x", "y", "z"]
 POSE = [*XYZ, "qx", "qy", "qz", "qw"]
@@ -71,9 +71,9 @@ def evaluate(visual: DataFrame, truth: DataFrame, keys: list[str], radius: float
     """
     if "recovered" not in visual.columns:
         visual = visual.withColumn("recovered", F.lit(False))
-    visual, truth = cut_lineage(_unique(visual, keys)), cut_lineage(_unique(truth, keys))
+    visual, truth = written(_unique(visual, keys)), written(_unique(truth, keys))
     offsets = sync.find_offset_to_truth(visual, truth, keys, radius, max_gap=max_gap, least=least)
-    matched = cut_lineage(_split(match(visual, truth, keys, cut_lineage(offsets), max_gap), keys, calibration))
+    matched = written(_split(match(visual, truth, keys, written(offsets), max_gap), keys, calibration))
     flat = matched.filter("split = 'calibration'").select(*keys, "t", "frame", *[F.col(f"m.p.{a}").alias(a) for a in XYZ], *[F.col(f"m.q.{c}").alias(f"q{c}") for c in "xyzw"], *[F.col(f"e.p.{a}").alias(f"m_{a}") for a in XYZ], *[F.col(f"e.q.{c}").alias(f"m_q{c}") for c in "xyzw"])
     fixed = hand_eye_by_group(flat, keys, ["t", "frame"])
     part = lambda z: poses.pose(rot.vector(*(F.col(f"{z}t{a}") for a in XYZ)), rot.quaternion(*(F.col(f"{z}q{c}") for c in "xyzw")))
@@ -83,14 +83,14 @@ def evaluate(visual: DataFrame, truth: DataFrame, keys: list[str], radius: float
         "position_error_m": poses.length(poses.difference(F.col("estimate.p"), F.col("truth.p"))), "orientation_error_deg": rot.angle_deg(F.col("truth.q"), F.col("estimate.q")),
         "status": F.when(F.col("recovered"), "RECOVERED_DIRECT").otherwise("MEASURED"),
     })
-    matched = cut_lineage(matched)
+    matched = written(matched)
     test = matched.filter("split = 'test'")
     d = error_stats(test, keys, "position_error_m")
     d = join_null_safe(d, _prefixed(error_stats(test, keys, "orientation_error_deg"), keys, "orientation", "rmse", "p95"), keys)
     d = join_null_safe(d, block_bootstrap(test.select(*keys, "t", "position_error_m"), keys, "t", "position_error_m").select(*keys, "low", "high"), keys)
     moves = asof.partner_at(test.select(*keys, "t", "truth", "estimate"), keys, "t", ["truth", "estimate"], rpe_s, max(0.011, 0.03 * rpe_s)).filter("other IS NOT NULL")
     moves = moves.withColumn("_err", poses.relative_error(F.col("truth"), F.col("other.truth"), F.col("estimate"), F.col("other.estimate")))
-    moves = cut_lineage(moves.select(*keys, poses.length(F.col("_err.p")).alias("m"), poses.turn_deg(F.col("_err.q")).alias("deg")))
+    moves = written(moves.select(*keys, poses.length(F.col("_err.p")).alias("m"), poses.turn_deg(F.col("_err.q")).alias("deg")))
     d = join_null_safe(d, _prefixed(error_stats(moves, keys, "m"), keys, "rpe_m", "n", "rmse"), keys, "left")
     d = join_null_safe(d, _prefixed(error_stats(moves, keys, "deg"), keys, "rpe_deg", "rmse"), keys, "left")
     d = join_null_safe(d, _prefixed(error_stats(test.filter("recovered"), keys, "position_error_m"), keys, "recovery", "n", "rmse"), keys, "left")
@@ -120,13 +120,13 @@ def align_pair(
     at most ``max_gap`` apart. The fit rests on rows direct on both sides if there are ``least``, else on all. Returns the aligned rows (``position_error_m``,
     ``orientation_error_deg``), per pair the statistics with PASS or REVIEW and the checks failed, and the curve of the search.
     """
-    left, right = cut_lineage(_unique(left, keys)), cut_lineage(_unique(right, keys))
-    curve = cut_lineage(sync.pair_offset_scores(left, right, keys, radius))
-    offsets = cut_lineage(sync.find_pair_offset(left, right, keys, radius))
+    left, right = written(_unique(left, keys)), written(_unique(right, keys))
+    curve = written(sync.pair_offset_scores(left, right, keys, radius))
+    offsets = written(sync.find_pair_offset(left, right, keys, radius))
     matched = match(left, right.withColumn("d", F.col("direct")), keys, offsets, max_gap)
     near = asof.bracket(matched.select(*keys, "t", "truth_t"), right.select(*keys, "t", "direct"), keys, "truth_t", "t", ["direct"])
     near = near.select(*keys, "t", asof.nearest(F.col("truth_t"))["direct"].alias("_right"))
-    matched = cut_lineage(join_null_safe(matched, near, [*keys, "t"]).withColumn("_both", F.coalesce(F.col("direct") & F.col("_right"), F.lit(False))).drop("_right"))
+    matched = written(join_null_safe(matched, near, [*keys, "t"]).withColumn("_both", F.coalesce(F.col("direct") & F.col("_right"), F.lit(False))).drop("_right"))
     source = matched.groupBy(*keys).agg(F.when(F.sum(F.col("_both").cast("long")) >= least, "both_direct").otherwise("all_valid").alias("fit_source"))
     matched = join_null_safe(matched, source, keys)
     fit, aligned = fit_poses(matched, keys, "e", "m", (F.col("fit_source") == "all_valid") | F.col("_both"), model)
@@ -150,27 +150,27 @@ def ground_truth_report(estimate: DataFrame, truth: DataFrame, keys: list[str],
     Returns the matched rows with both errors, and per group the statistics: position, orientation, movement over ``rpe_rows`` rows, path, drift, and with
     ``frames`` (keys, t, frame, valid) the losses. Rows outside the truth's cover are left out.
     """
-    estimate, truth = cut_lineage(_unique(estimate, keys)), cut_lineage(_unique(truth, keys))
-    offsets = cut_lineage(sync.find_generic_offset(estimate, truth, keys, radius))
-    d = cut_lineage(match(estimate, truth, keys, offsets, None))
+    estimate, truth = written(_unique(estimate, keys)), written(_unique(truth, keys))
+    offsets = written(sync.find_generic_offset(estimate, truth, keys, radius))
+    d = written(match(estimate, truth, keys, offsets, None))
     flat = d.select(*keys, *[F.col(f"m.p.{a}").alias(f"m{a}") for a in XYZ], *[F.col(f"e.p.{a}").alias(f"e{a}") for a in XYZ])
     fit = fit_rigid(flat, keys, [f"m{a}" for a in XYZ], [f"e{a}" for a in XYZ])
     fit = fit.select(*keys, poses.pose(rot.vector(*(F.col(f"t{i}") for i in (1, 2, 3))), rot.quaternion(*(F.col(f"q{c}") for c in "xyzw"))).alias("_f"))
     d = join_null_safe(d, fit, keys).withColumn("truth", poses.compose(F.col("_f"), F.col("m"))).drop("_f", "m")
     d = d.withColumns({"position_error_m": poses.length(poses.difference(F.col("e.p"), F.col("truth.p"))), "orientation_error_deg": rot.angle_deg(F.col("truth.q"), F.col("e.q"))})
-    d = cut_lineage(d)
+    d = written(d)
     report = error_stats(d, keys, "position_error_m")
     report = join_null_safe(report, _prefixed(error_stats(d, keys, "orientation_error_deg"), keys, "orientation", "rmse", "median", "p95", "max"), keys)
-    i = cut_lineage(ordered.running_sum(d.select(*keys, "t", "e", "truth"), keys, ["t"], F.lit(1).cast("long"), "i"))
+    i = written(ordered.running_sum(d.select(*keys, "t", "e", "truth"), keys, ["t"], F.lit(1).cast("long"), "i"))
     later = i.select(*keys, (F.col("i") - rpe_rows).alias("i"), F.col("e").alias("e2"), F.col("truth").alias("truth2"))
     moves = join_null_safe(i, later, [*keys, "i"]).withColumn("_err", poses.relative_error(F.col("truth"), F.col("truth2"), F.col("e"), F.col("e2")))
-    moves = cut_lineage(moves.select(*keys, poses.length(F.col("_err.p")).alias("m"), poses.turn_deg(F.col("_err.q")).alias("deg")))
+    moves = written(moves.select(*keys, poses.length(F.col("_err.p")).alias("m"), poses.turn_deg(F.col("_err.q")).alias("deg")))
     report = join_null_safe(report, _prefixed(error_stats(moves, keys, "m"), keys, "rpe_m", "rmse", "p95"), keys, "left")
     report = join_null_safe(report, _prefixed(error_stats(moves, keys, "deg"), keys, "rpe_deg", "rmse", "p95"), keys, "left")
     report = join_null_safe(report, _ends(d, keys, F.col("e.p"), F.col("truth.p")), keys)
     report = join_null_safe(report, offsets.select(*keys, "offset_s", "score"), keys)
     if frames is not None:
-        losses = cut_lineage(tr.loss_events(frames, keys, ["t", "frame"], F.col("valid")))
+        losses = written(tr.loss_events(frames, keys, ["t", "frame"], F.col("valid")))
         report = join_null_safe(report, losses.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_losses"), F.max("duration_s").alias("longest_loss_s")), keys, "left")
         report = report.withColumns({"n_losses": F.coalesce("n_losses", F.lit(0)), "longest_loss_s": F.coalesce("longest_loss_s", F.lit(0.0))})
         # The error at the matched row nearest to each recovery.
@@ -285,7 +285,7 @@ def sync_generic_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sync_offset_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scores of the pair search by offset, ±3 s in steps of 10 ms, by channel."""
     visual, truth = _inputs(spark, sf_dir)
-    d = sync.pair_offset_scores(cut_lineage(_unique(visual, ["session_id"])), cut_lineage(_unique(truth, ["session_id"])), ["session_id"], max_gap=GAP)
+    d = sync.pair_offset_scores(written(_unique(visual, ["session_id"])), written(_unique(truth, ["session_id"])), ["session_id"], max_gap=GAP)
     return d.select("session_id", "step", "n", *[F.round(c, 4).alias(c) for c in ("score", "speed_score", "turn_rate_score")])
 
 

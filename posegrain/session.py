@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -32,10 +33,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared)
 
 
+def _checkpoint(df: DataFrame, settings: dict[str, str]) -> DataFrame:
+    """A checkpoint of ``df``, planned under ``settings``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            conf.set(k, v)
+        return df.checkpoint()
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
+
+
+# What is known of a plan's rows goes with its checkpoint and grows with every one that follows, until planning takes
+# minutes; these conditions only add filters for NULLs.
+PLAIN = {"spark.sql.constraintPropagation.enabled": "false"}
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there, so a lost executor costs no recomputation."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    return _checkpoint(df, PLAIN)
 
 
 def cut_lineage_in_place(df: DataFrame) -> DataFrame:
@@ -43,13 +62,22 @@ def cut_lineage_in_place(df: DataFrame) -> DataFrame:
 
     An adaptive plan does not tell its layout, so this one step is planned without; its partitions are those the caller asked for.
     """
-    conf, key = df.sparkSession.conf, "spark.sql.adaptive.enabled"
-    before = conf.get(key)
-    try:
-        conf.set(key, "false")
-        return cut_lineage(df)
-    finally:
-        conf.set(key, before)
+    return _checkpoint(df, {**PLAIN, "spark.sql.adaptive.enabled": "false"})
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the checkpoint folder, deleted with the session: for loops.
+
+    A checkpoint keeps its plan's estimated size, which each join multiplies, until in a loop the estimates alone take minutes; a table
+    has the size of its files.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{sc._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.parquet(path.toString())
+    return spark.read.schema(df.schema).parquet(path.toString())
 
 
 def ship_package(spark: SparkSession) -> None:
