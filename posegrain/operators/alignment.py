@@ -108,11 +108,11 @@ def robust_inliers(df: DataFrame, keys: list[str], residual: str, floor: float,
     return d
 
 
-def _axes(d: DataFrame, keys: list[str], values: dict[str, Column], shares: dict[str, float]) -> DataFrame:
-    """Exact percentiles of several columns at once: ``keys`` and ``<name>_<share>``."""
-    each = F.explode(F.array(*[F.struct(F.lit(n).alias("axis"), c.alias("value")) for n, c in values.items()])).alias("e")
-    p = percentiles(d.select(*keys, each).select(*keys, "e.axis", "e.value"), [*keys, "axis"], "value", shares)
-    return p.groupBy(*keys).agg(*[F.max(F.when(F.col("axis") == n, F.col(s))).alias(f"{n}_{s}") for n in values for s in shares])
+def _axes(d: DataFrame, keys: list[str], values: dict[str, Column], share: str) -> DataFrame:
+    """Exact medians of several columns at once: ``keys`` and ``<name>_<share>``."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("_axis"), c.alias("_value")) for n, c in values.items()])).alias("_e")
+    p = percentiles(d.select(*keys, each).select(*keys, "_e._axis", "_e._value"), [*keys, "_axis"], "_value", {"_median": 0.5})
+    return p.groupBy(*keys).agg(*[F.max(F.when(F.col("_axis") == n, F.col("_median"))).alias(f"{n}_{share}") for n in values])
 
 
 def fit_poses(pairs: DataFrame, keys: list[str], left: str, right: str, eligible: Column, model: str = "world", rounds: int = 5, least: int = 10, floor_m: float = 0.002, floor_deg: float = 0.2) -> tuple[DataFrame, DataFrame]:
@@ -137,7 +137,7 @@ def fit_poses(pairs: DataFrame, keys: list[str], left: str, right: str, eligible
         mean = mean_rotation(kept.withColumn("_d", between), keys, "_d").withColumn("_r", rot.quaternion(*(F.col(f"q{c}") for c in "xyzw"))).select(*keys, "n", "_r")
         moved = join_null_safe(kept, mean, keys)
         off = poses.difference(a["p"], rot.rotate(F.col("_r"), b["p"])) if model == "world" else rot.rotate(rot.inverse(a["q"]), poses.difference(b["p"], a["p"]))
-        middle = _axes(moved.withColumn("_o", off), keys, {c: F.col(f"_o.{c}") for c in "xyz"}, {"m": 0.5})
+        middle = _axes(moved.withColumn("_o", off), keys, {c: F.col(f"_o.{c}") for c in "xyz"}, "m")
         fit = join_null_safe(mean, middle, keys).select(*keys, "n", poses.pose(rot.vector(F.col("x_m"), F.col("y_m"), F.col("z_m")), F.col("_r")).alias("fit"))
         fit = written(fit)
         d = join_null_safe(d.drop("aligned", "position_error_m", "orientation_error_deg", "fit"), fit.drop("n"), keys)
@@ -145,8 +145,8 @@ def fit_poses(pairs: DataFrame, keys: list[str], left: str, right: str, eligible
         d = d.withColumns({"position_error_m": poses.length(poses.difference(a["p"], F.col("aligned.p"))), "orientation_error_deg": rot.angle_deg(a["q"], F.col("aligned.q"))})
         d = written(d)
         errors = {"p": F.col("position_error_m"), "o": F.col("orientation_error_deg")}
-        limits = _axes(d.filter("inlier"), keys, errors, {"m": 0.5})
-        spread = _axes(join_null_safe(d.filter("inlier"), limits, keys), keys, {n: F.abs(c - F.col(f"{n}_m")) for n, c in errors.items()}, {"s": 0.5})
+        limits = _axes(d.filter("inlier"), keys, errors, "m")
+        spread = _axes(join_null_safe(d.filter("inlier"), limits, keys), keys, {n: F.abs(c - F.col(f"{n}_m")) for n, c in errors.items()}, "s")
         limits = join_null_safe(limits, spread, keys)
         top = lambda n, floor: F.greatest(F.col(f"{n}_m") + 4 * 1.4826 * F.col(f"{n}_s"), F.lit(floor))
         d2 = join_null_safe(d, limits.select(*keys, top("p", floor_m).alias("_pl"), top("o", floor_deg).alias("_ol")), keys)

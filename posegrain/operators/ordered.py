@@ -194,12 +194,13 @@ def evenly_spaced(df: DataFrame, keys: list[str], order: list[str], most: int) -
 CHUNK, HALO = 4_096, 256
 
 
-def chunked(df: DataFrame, index: str, rows: int = CHUNK, halo: int = HALO) -> DataFrame:
+def chunked(df: DataFrame, index: str, rows: int | None = None, halo: int = HALO) -> DataFrame:
     """Cuts groups into chunks of ``rows`` rows by their place ``index`` (from 0): adds ``_chunk`` and ``_own``.
 
     ``halo`` rows of the chunks beside it come along with each chunk, ``_own`` false. A function of rows at most ``halo``
     away gives for a chunk's own rows what it gives for the whole group.
     """
+    rows = rows or CHUNK
     own, at = F.floor(F.col(index) / rows), F.col(index) % rows
     to = F.array(own, F.when((at < halo) & (own > 0), own - 1), F.when(at >= rows - halo, own + 1))
     d = df.withColumn("_own_chunk", own).withColumn("_chunk", F.explode(F.filter(to, lambda c: c.isNotNull())))

@@ -126,3 +126,80 @@ def test_whole_groups_hold_back_the_last():
         seen += [table["k"][int(a)].as_py() for a in starts[:-1]]
         assert starts[-1] == table.num_rows
     assert seen == list(range(12))
+
+
+def long_source(spark, n=6000, seed=4):
+    """One source over many blocks, with gaps, resets and rejected jumps."""
+    rng = np.random.default_rng(seed)
+    t = np.cumsum(rng.choice([0.2, 0.3, 0.9, 700.0], n, p=[0.6, 0.37, 0.029, 0.001]))
+    x = np.cumsum(rng.normal(0, 0.05, n)) + rng.choice([0, 5.0], n, p=[0.98, 0.02])
+    rows = [("hot", float(a), i, None if rng.random() < 0.01 else float(b), float(w)) for i, (a, b, w) in enumerate(zip(t, x, (np.cumsum(rng.normal(0, 40, n)) + 180) % 360 - 180))]
+    return rows, spark.createDataFrame(rows, "s string, t double, i long, x double, w double").repartition(5)
+
+
+def test_split_sources_give_what_one_pass_gives(spark):
+    from posegrain.operators.smoothing import ema, jump_gate
+
+    rows, d = long_source(spark)
+    mean, want, at, ref, ok = None, {}, None, None, {}
+    for _, t, i, x, _w in rows:
+        if x is None:
+            mean, want[i], ok[i] = None, None, False
+            continue
+        mean = x if mean is None or t - at > 0.65 else 0.6 * mean + 0.4 * x
+        at, want[i] = t, mean
+        ok[i] = ref is None or not (abs(x - ref[1]) > 0.3 * (t - ref[0]) and x != ref[1])
+        ref = (t, x) if ok[i] else ref
+    for r in ema(d, ["s"], ["t", "i"], "x", 0.6, "m").collect():
+        assert (r.m is None and want[r.i] is None) or abs(r.m - want[r.i]) < 1e-9, r
+    assert {r.i: r.ok for r in jump_gate(d, ["s"], ["t", "i"], ["x"], 0.3, "ok").collect()} == ok
+
+
+def test_chunks_give_what_whole_segments_give(spark):
+    from posegrain.operators import smoothing as sm
+
+    rng = np.random.default_rng(8)
+    n = 1500
+    t = np.cumsum(rng.uniform(0.05, 0.4, n))
+    x = np.sin(t / 5) + rng.normal(0, 0.02, n)
+    d = spark.createDataFrame([("s", float(a), i, float(b)) for i, (a, b) in enumerate(zip(t, x))], "s string, t double, i long, x double").repartition(3)
+    whole, _ = sm.smooth_constant_velocity(t, x, 0.04, 0.8, 0.5)
+    got = {r.i: r.x_smooth for r in sm.kalman_rts(d, ["s"], ["t", "i"], {"x": (0.04, 0.8, 0.5)}, "i", rows=200, halo=64).collect()}
+    assert max(abs(got[k] - whole[k]) for k in range(n)) < 1e-9 and len(got) == n
+    got = {r.i: r.x_smooth for r in sm.despiked(d, ["s"], ["t", "i"], ["x"], "i", rows=100).collect()}
+    assert np.allclose([got[k] for k in range(n)], sm.despike_and_smooth(x))
+    import posegrain.operators.ordered as o
+
+    old, o.CHUNK = o.CHUNK, 128
+    try:
+        got = {r.i: r.m for r in o.centred_median(d, ["s"], ["t", "i"], "x", 2, "m", "i").collect()}
+    finally:
+        o.CHUNK = old
+    assert np.allclose([got[k] for k in range(n)], [np.median(x[max(0, k - 2) : k + 3]) for k in range(n)])
+
+
+def test_unwrapped_segments_over_blocks(spark):
+    rows, d = long_source(spark, 3000, 6)
+    got = {r.i: (r.segment, r.u, r.k) for r in ordered.unwrapped_segments(d, ["s"], ["t", "i"], 0.65, {"w": "u"}, "k").collect()}
+    segment, at, last, out, k = 0, None, None, None, 0
+    for _, t, i, _x, w in rows:
+        if at is None or t - at > 0.65:
+            segment, out, k = segment + 1, w, 0
+        else:
+            out, k = out + (w - last + 180) % 360 - 180, k + 1
+        at, last = t, w
+        assert got[i][0] == segment and abs(got[i][1] - out) < 1e-6 and got[i][2] == k
+
+
+def exchanges(d):
+    return d._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_plans_stay_small(spark, data):
+    """Shuffles and scans of the plans as compiled; blocks are checkpointed with their layout, so rows go on without a shuffle."""
+    from posegrain.plans import reference as R
+
+    for name, most in (("ord_segments", 6), ("ord_unwrapped", 6), ("ord_kalman", 6), ("join_interpolated", 6), ("ord_visual_audit", 20), ("sync_time_offset", 20)):
+        d = R.QUERIES[name](spark, data)
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert exchanges(d) <= most and plan.count("Scan parquet") <= 4, (name, exchanges(d), plan.count("Scan parquet"))
