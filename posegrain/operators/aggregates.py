@@ -63,33 +63,61 @@ def correlation(a: Column, b: Column, least: int = 2, flat: float = 1e-9) -> Col
     return F.when((F.count(x) >= least) & (sx > flat) & (sy > flat), F.try_divide(F.covar_pop(x, y), sx * sy))
 
 
-def block_bootstrap(df: DataFrame, keys: list[str], time: str, value: str, block_s: float = 1.0, draws: int = 1000, seed: int = 42, share: float = 0.95) -> DataFrame:
+def block_bootstrap(df: DataFrame, keys: list[str], time: str, value: str, block_s: float = 1.0, draws: int = 1000, seed: int = 42, share: float = 0.95, chunk: int = 1 << 16) -> DataFrame:
     """Confidence interval of the root mean square by drawing blocks of time with replacement.
 
-    Only (sum of squares, count) per block leave the rows; each group's blocks are then drawn in one task as
-    arrays of two numbers per second. Columns: ``keys``, ``n_blocks``, ``rmse``, ``low``, ``high``; fewer
+    Only (sum of squares, count) per block leave the rows. A group's blocks are drawn in chunks of ``chunk`` blocks: how many of a draw's
+    blocks fall into each chunk is drawn first (a multinomial, for a table of chunks), then each chunk draws its own and gives two sums a draw; so
+    a group of any length spreads over its chunks. Columns: ``keys``, ``n_blocks``, ``rmse``, ``low``, ``high``; fewer
     than two blocks give NULL bounds. The same seed gives the same draws.
     """
     import pandas as pd
 
-    from posegrain.session import ship_package
+    from posegrain.session import cut_lineage, ship_package
 
     ship_package(df.sparkSession)
     rows = df.filter(F.col(value).isNotNull())
     start = rows.groupBy(*keys).agg(F.min(time).alias("_t0"))
     blocks = join_null_safe(rows, start, keys).groupBy(*keys, F.floor((F.col(time) - F.col("_t0")) / block_s).alias("_b")).agg(F.sum(F.col(value) * F.col(value)).alias("_ss"), F.count(value).alias("_c"))
+    blocks = running_sum(blocks, keys, ["_b"], F.lit(1).cast("long"), "_i", block=F.floor(F.col("_b") / chunk), total="_m")
+    blocks = cut_lineage(blocks.withColumn("_k", F.floor((F.col("_i") - 1) / chunk)))
     types = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     tail = 100 * (1 - share) / 2
-
-    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
+    whole = blocks.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_blocks"), F.sqrt(F.sum("_ss") / F.sum("_c")).alias("rmse"))
+    chunks = blocks.groupBy(*keys, "_k").agg(F.count(F.lit(1)).alias("_n")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_k", "_n"))).alias("_chunks"))
+
+    def deal(batches):
+        """How many blocks of each draw come from each chunk."""
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                n = np.array([c["_n"] for c in row["_chunks"]])
+                counts = np.random.default_rng([seed, len(n)]).multinomial(n.sum(), n / n.sum(), draws) if len(n) > 1 else np.full((draws, 1), n.sum())
+                out += [[*(row[k] for k in keys), c["_k"], counts[:, i].tolist()] for i, c in enumerate(row["_chunks"])]
+            yield pd.DataFrame(out, columns=[*keys, "_k", "_counts"])
+
+    dealt = chunks.mapInPandas(deal, f"{types}, _k long, _counts array<long>")
+
+    def draw(pdf: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:
+            return pd.DataFrame(columns=[*keys, "_s", "_n"])
         pdf = pdf.sort_values("_b")
-        ss, c, m = pdf["_ss"].to_numpy(), pdf["_c"].to_numpy(), len(pdf)
-        low = high = None
-        if m >= 2:
-            rng = np.random.default_rng(seed)
-            at_once = max(1, DRAWN // m)
-            picks = np.concatenate([(ss[k].sum(1) / c[k].sum(1)) ** 0.5 for k in (rng.integers(0, m, (min(at_once, draws - i), m)) for i in range(0, draws, at_once))])
-            low, high = np.percentile(picks, [tail, 100 - tail])
-        return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), m, (ss.sum() / c.sum()) ** 0.5, low, high]], columns=[*keys, "n_blocks", "rmse", "low", "high"])
-
-    return blocks.groupBy(*keys).applyInPandas(draw, f"{types}, n_blocks long, rmse double, low double, high double")
+        ss, c, k = pdf["_ss"].to_numpy(), pdf["_c"].to_numpy(), int(pdf["_k"].iloc[0])
+        want = np.array(counts["_counts"].iloc[0])
+        rng = np.random.default_rng(seed if k == 0 else [seed, k])
+        sums, total, i = np.zeros(draws), np.zeros(draws), 0
+        while i < draws:
+            # As many draws at once as have about DRAWN blocks.
+            j = i + max(1, int(np.searchsorted(np.cumsum(want[i:]), DRAWN, "right")))
+            picks = rng.integers(0, len(ss), want[i:j].sum())
+            at = np.repeat(np.arange(j - i), want[i:j])
+            sums[i:j], total[i:j] = np.bincount(at, ss[picks], j - i), np.bincount(at, c[picks], j - i)
+            i = j
+        return pd.DataFrame({**{key: [pdf[key].iloc[0]] for key in keys}, "_s": [sums], "_n": [total]})
+
+    parts = blocks.groupBy(*keys, "_k").cogroup(dealt.groupBy(*keys, "_k")).applyInPandas(draw, f"{types}, _s array<double>, _n array<double>")
+    each = parts.select(*keys, F.posexplode(F.arrays_zip("_s", "_n")).alias("_d", "_v")).groupBy(*keys, "_d").agg(F.sqrt(F.sum("_v._s") / F.sum("_v._n")).alias("_r"))
+    bounds = each.groupBy(*keys).agg(F.percentile("_r", tail / 100).alias("low"), F.percentile("_r", 1 - tail / 100).alias("high"))
+    d = join_null_safe(whole, bounds, keys)
+    many = F.col("n_blocks") >= 2
+    return d.select(*keys, "n_blocks", "rmse", F.when(many, F.col("low")).alias("low"), F.when(many, F.col("high")).alias("high"))

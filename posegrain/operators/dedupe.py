@@ -14,3 +14,18 @@ def keep_first_copy(df: DataFrame, keys: list[str], rank: str, carry: list[str])
     values like others; a NULL ``rank`` counts as no row; rows of one rank must be equal in ``carry``.
     """
     return df.groupBy(*keys).agg(F.min(rank).alias(rank), *[F.min_by(c, rank).alias(c) for c in carry])
+
+
+def largest_detections(detections: DataFrame) -> DataFrame:
+    """Of tags seen twice in one view the larger, the first on a tie: (frame, view, id, corners_px, area_px).
+
+    ``detections`` is the nested log (``read_detections``): frame and views, each with its detections. The area is that of the four corners; a
+    detection without four is none.
+    """
+    d = detections.select("frame", F.explode("views").alias("v")).select("frame", F.col("v.view.name").alias("view"), F.posexplode("v.detections").alias("at", "d"))
+    d = d.select("frame", "view", "at", "d.id", "d.corners_px").filter(F.size("corners_px") == 4)
+    x, y = (lambda i: F.get(F.get("corners_px", F.lit(i % 4)), F.lit(0))), (lambda i: F.get(F.get("corners_px", F.lit(i % 4)), F.lit(1)))
+    area = F.abs(sum(x(i) * y(i + 1) - x(i + 1) * y(i) for i in range(4))) / 2
+    d = d.withColumn("area_px", area)
+    best = F.max_by(F.struct("corners_px", "area_px"), F.struct("area_px", -F.col("at"))).alias("b")
+    return d.groupBy("frame", "view", "id").agg(best).select("frame", "view", "id", "b.corners_px", "b.area_px")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from posegrain.functions.angles import clip, smoothstep
+from posegrain.functions.angles import clip, smoothstep, wrap
 from posegrain.operators.aggregates import join_null_safe, percentiles
 from posegrain.operators.asof import bracket, bracket_self
 from posegrain.operators.ordered import gap_segments, islands, neighbours, scan
@@ -91,18 +91,20 @@ def swap_quarantine(df: DataFrame, keys: list[str], order: list[str], axes: list
     return d.withColumn("quarantined", F.coalesce(inside, F.lit(False))).drop("_jump", "_k", "_pair", "_from", "_to", "_n")
 
 
-def resample(queries: DataFrame, samples: DataFrame, keys: list[str], query_time: str, sample_time: str, axes: list[str], enter_s: float = 0.25, gap_s: float = 0.65, predict_s: float = 0.5, max_rate: float = 0.8) -> DataFrame:
+def resample(queries: DataFrame, samples: DataFrame, keys: list[str], query_time: str, sample_time: str, axes: list[str], enter_s: float = 0.25, gap_s: float = 0.65, predict_s: float = 0.5, max_rate: float = 0.8, angles: tuple[str, ...] = (), max_turn: float = 90.0) -> DataFrame:
     """Adds ``state`` and ``<axis>_at`` for each query time.
 
     ENTERING: up to ``enter_s`` before the first sample, whose value it has. TRACKED: between samples at most
     ``gap_s`` apart, smoothstep between them. PREDICTED: up to ``predict_s`` after the last sample before,
     carried on at its rate of change, held within ``max_rate``. SEARCHING: otherwise, without a value. A
-    query at the last sample is PREDICTED.
+    query at the last sample is PREDICTED. ``angles`` (degrees) go the shorter way round, at ``max_turn`` a second at most, and come out wrapped.
     """
+    axes = [*axes, *angles]
+    step = lambda a, b, x: wrap(b - a) if x in angles else b - a
     s = neighbours(samples, keys, [sample_time, *axes], [sample_time, *axes])
     dt = F.col(sample_time) - F.col(f"prev.{sample_time}")
     for a in axes:
-        s = s.withColumn(f"_r_{a}", F.when(dt > 0, clip((F.col(a) - F.col(f"prev.{a}")) / dt, -max_rate, max_rate)).otherwise(0.0))
+        s = s.withColumn(f"_r_{a}", F.when(dt > 0, clip(step(F.col(f"prev.{a}"), F.col(a), a) / dt, *((-max_turn, max_turn) if a in angles else (-max_rate, max_rate)))).otherwise(0.0))
     rates = [f"_r_{a}" for a in axes]
     found = bracket(queries, s.select(*keys, sample_time, *axes, *rates), keys, query_time, sample_time, [*axes, *rates], side="right")
     q = F.col(query_time)
@@ -114,8 +116,9 @@ def resample(queries: DataFrame, samples: DataFrame, keys: list[str], query_time
     found = found.withColumn("state", state)
     u = smoothstep(F.when(F.col("hi.t") > F.col("lo.t"), age / (F.col("hi.t") - F.col("lo.t"))).otherwise(0.0))
     for a in axes:
-        value = F.when(F.col("state") == "ENTERING", F.col(f"lo.{a}")).when(F.col("state") == "TRACKED", F.col(f"lo.{a}") + u * (F.col(f"hi.{a}") - F.col(f"lo.{a}")))
-        found = found.withColumn(f"{a}_at", value.when(F.col("state") == "PREDICTED", F.col(f"lo.{a}") + age * F.col(f"lo._r_{a}")))
+        value = F.when(F.col("state") == "ENTERING", F.col(f"lo.{a}")).when(F.col("state") == "TRACKED", F.col(f"lo.{a}") + u * step(F.col(f"lo.{a}"), F.col(f"hi.{a}"), a))
+        value = value.when(F.col("state") == "PREDICTED", F.col(f"lo.{a}") + age * F.col(f"lo._r_{a}"))
+        found = found.withColumn(f"{a}_at", wrap(value) if a in angles else value)
     return found.drop("lo", "hi")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posegrain.functions import rotations as rot
+from posegrain.functions import views
 from posegrain.functions.angles import clip, finite, nice_step, within, wrap
 from posegrain.functions.status import canonical_status
 from posegrain.operators import aggregates as agg
@@ -166,13 +167,11 @@ def src_quality(spark, sf_dir):
 
 
 @query("""
-SELECT session_id, CASE WHEN profile IS NULL THEN 'unknown' WHEN lower(profile) LIKE '%360%' THEN 'panorama' WHEN lower(profile) LIKE 'generic%' THEN 'generic' ELSE split_part(lower(profile), '_', 1) END AS camera_class,
-       CASE WHEN fps >= 50 THEN 'fast' WHEN fps IS NULL THEN 'unknown' ELSE 'usual' END AS rate_class FROM sessions""")
+SELECT session_id, CASE WHEN lower(profile) LIKE '%.osv' THEN 'dji' WHEN lower(profile) LIKE '%.insv' OR lower(profile) LIKE '%.lrv' OR lower(profile) LIKE '%insta%' THEN 'insta360' WHEN lower(profile) LIKE '%dji%' OR lower(profile) LIKE '%osmo%' THEN 'dji' ELSE 'unknown' END AS camera_class FROM sessions""")
 def src_camera_class(spark, sf_dir):
-    """Ordered rules on profile and frame rate, the first that holds."""
-    low = F.lower("profile")
-    kind = F.when(low.isNull(), "unknown").when(low.contains("360"), "panorama").when(low.startswith("generic"), "generic").otherwise(F.split_part(low, F.lit("_"), F.lit(1)))
-    return sessions(spark, sf_dir).select("session_id", kind.alias("camera_class"), F.when(F.col("fps") >= 50, "fast").when(F.col("fps").isNull(), "unknown").otherwise("usual").alias("rate_class"))
+    """The class of each session's camera by the rules on names; the tables have no sizes of videos."""
+    none = F.array().cast("array<int>")
+    return sessions(spark, sf_dir).select("session_id", views.camera_class(F.col("profile"), F.lit(""), none, none).alias("camera_class"))
 
 
 @query("SELECT session_id, epoch_us(started_at) AS start_us, round(total_frames / fps, 6) AS duration_s FROM sessions WHERE started_at IS NOT NULL AND fps > 0")
@@ -541,18 +540,24 @@ def ord_visible(spark, sf_dir):
     return d.select("session_id", "frame", "visible")
 
 
-@query("""
-WITH u1 AS (SELECT session_id, t, arg_min(x, frame) AS x FROM v GROUP BY session_id, t),
-s AS (SELECT session_id, t, x, lead(t) OVER w AS nt, lead(x) OVER w AS nx, CASE WHEN t > lag(t) OVER w THEN greatest(-0.8, least(0.8, (x - lag(x) OVER w) / (t - lag(t) OVER w))) ELSE 0 END AS r FROM u1 WINDOW w AS (PARTITION BY session_id ORDER BY t)),
-f AS (SELECT session_id, min(t) AS ft, arg_min(x, t) AS fx FROM u1 GROUP BY session_id),
-q AS (SELECT p.session_id, p.frame, p.t, s.t AS lt, s.x AS lx, s.nt, s.nx, s.r, f.ft, f.fx FROM p ASOF LEFT JOIN s ON p.session_id = s.session_id AND p.t >= s.t LEFT JOIN f ON p.session_id = f.session_id),
-k AS (SELECT *, CASE WHEN ft IS NULL THEN 'SEARCHING' WHEN lt IS NULL THEN CASE WHEN ft - t <= 0.25 THEN 'ENTERING' ELSE 'SEARCHING' END WHEN nt - lt <= 0.65 THEN 'TRACKED' WHEN t - lt <= 0.5 THEN 'PREDICTED' ELSE 'SEARCHING' END AS state FROM q)
-SELECT session_id, frame, state, round(CASE state WHEN 'ENTERING' THEN fx WHEN 'TRACKED' THEN lx + ((t-lt)/(nt-lt))*((t-lt)/(nt-lt))*(3-2*((t-lt)/(nt-lt)))*(nx-lx) WHEN 'PREDICTED' THEN lx + (t-lt)*r END + 1e-9, 6) AS x_at FROM k""")
+def _wrap_sql(e: str) -> str:
+    return f"(({e}) + 180 - 360 * floor((({e}) + 180) / 360) - 180)"
+
+
+@query(f"""
+WITH u1 AS (SELECT session_id, t, arg_min(x, frame) AS x, arg_min(yaw, frame) AS yaw FROM v WHERE yaw IS NOT NULL GROUP BY session_id, t),
+s0 AS (SELECT *, lead(t) OVER w AS nt, lead(x) OVER w AS nx, lead(yaw) OVER w AS nyaw, t - lag(t) OVER w AS dt, x - lag(x) OVER w AS dx, yaw - lag(yaw) OVER w AS dyaw FROM u1 WINDOW w AS (PARTITION BY session_id ORDER BY t)),
+s AS (SELECT *, CASE WHEN dt > 0 THEN greatest(-0.8, least(0.8, dx / dt)) ELSE 0 END AS r, CASE WHEN dt > 0 THEN greatest(-90, least(90, {_wrap_sql('dyaw')} / dt)) ELSE 0 END AS ry FROM s0),
+f AS (SELECT session_id, min(t) AS ft, arg_min(x, t) AS fx, arg_min(yaw, t) AS fyaw FROM u1 GROUP BY session_id),
+q AS (SELECT p.session_id, p.frame, p.t, s.t AS lt, s.x AS lx, s.yaw AS lyaw, s.nt, s.nx, s.nyaw, s.r, s.ry, f.ft, f.fx, f.fyaw FROM p ASOF LEFT JOIN s ON p.session_id = s.session_id AND p.t >= s.t LEFT JOIN f ON p.session_id = f.session_id),
+k AS (SELECT *, (t-lt)/(nt-lt) AS g, CASE WHEN ft IS NULL THEN 'SEARCHING' WHEN lt IS NULL THEN CASE WHEN ft - t <= 0.25 THEN 'ENTERING' ELSE 'SEARCHING' END WHEN nt - lt <= 0.65 THEN 'TRACKED' WHEN t - lt <= 0.5 THEN 'PREDICTED' ELSE 'SEARCHING' END AS state FROM q)
+SELECT session_id, frame, state, round(CASE state WHEN 'ENTERING' THEN fx WHEN 'TRACKED' THEN lx + g*g*(3-2*g)*(nx-lx) WHEN 'PREDICTED' THEN lx + (t-lt)*r END + 1e-9, 6) AS x_at,
+       round({_wrap_sql(f"CASE state WHEN 'ENTERING' THEN fyaw WHEN 'TRACKED' THEN lyaw + g*g*(3-2*g)*{_wrap_sql('nyaw-lyaw')} WHEN 'PREDICTED' THEN lyaw + (t-lt)*ry END")} + 1e-9, 4) AS yaw_at FROM k""")
 def ord_resampled_state(spark, sf_dir):
-    """Position and state at every processed frame from the valid ones."""
-    s = ordered.first_per_time(valid(spark, sf_dir).select("session_id", "t", "frame", "x"), K, "t", "frame").drop("frame")
-    d = tr.resample(poses(spark, sf_dir).select("session_id", "frame", "t"), s, K, "t", "t", ["x"])
-    return d.select("session_id", "frame", "state", F.round(F.col("x_at") + 1e-9, 6).alias("x_at"))
+    """Position, yaw and state at every processed frame from the valid ones."""
+    s = ordered.first_per_time(valid(spark, sf_dir).filter("yaw IS NOT NULL").select("session_id", "t", "frame", "x", "yaw"), K, "t", "frame").drop("frame")
+    d = tr.resample(poses(spark, sf_dir).select("session_id", "frame", "t"), s, K, "t", "t", ["x"], angles=("yaw",))
+    return d.select("session_id", "frame", "state", F.round(F.col("x_at") + 1e-9, 6).alias("x_at"), F.round(F.col("yaw_at") + 1e-9, 4).alias("yaw_at"))
 
 
 @query("""

@@ -45,10 +45,30 @@ def read_poses(spark: SparkSession, path: str) -> DataFrame:
     return _typed(_text(spark, path), POSE)
 
 
-def read_trajectory(spark: SparkSession, path: str) -> DataFrame:
-    """Any six-degree table as (t, x, y, z, qx, qy, qz, qw): optimized columns before relative ones before camera angles.
+def require(df: DataFrame, least: int, what: str) -> DataFrame:
+    """``df``, or an error where it has fewer than ``least`` rows; at most that many are looked at."""
+    if df.limit(least).count() < least:
+        raise ValueError(f"fewer than {least} {what}")
+    return df
 
-    Rows that are not finite are left out, quaternions normalised, and of rows with one time the first frame stays.
+
+def read_valid_trajectory(spark: SparkSession, path: str, least: int = 4) -> DataFrame:
+    """The valid rows with a position of a pose table; fewer than ``least`` are refused."""
+    d = read_poses(spark, path).filter((F.col("quality_status") == "valid") & F.col("camera_x_m").isNotNull())
+    return require(d, least, "valid poses")
+
+
+def read_gated_trajectory(spark: SparkSession, path: str, min_tags: int = 4, sources: tuple[str, ...] = ("", "direct"), least: int = 20) -> DataFrame:
+    """Those of enough tags and of accepted sources, a missing source being direct; fewer than ``least`` are refused."""
+    d = read_valid_trajectory(spark, path, 0).filter((F.col("detected_tag_count") >= min_tags) & F.coalesce("measurement_source", F.lit("direct")).isin(*sources, *(["direct"] if "" in sources else [])))
+    return require(d, least, "gated poses")
+
+
+def read_trajectory(spark: SparkSession, path: str, least: int = 0) -> DataFrame:
+    """Any six-degree table as (session_id, t, x, y, z, qx, qy, qz, qw, direct): optimized columns before relative ones before camera angles.
+
+    Rows that are not finite are left out, quaternions normalised, and of rows of a session with one time the first of its file stays. Files
+    without ``session_id`` are a session each, named by their path. ``direct`` says whether the row was measured, also by default. Fewer than ``least`` rows are refused.
     """
     from posegrain.functions.rotations import from_euler, normalised, quaternion
     from posegrain.operators.ordered import first_per_time
@@ -67,9 +87,11 @@ def read_trajectory(spark: SparkSession, path: str) -> DataFrame:
         if not have >= set(cols):
             raise ValueError(f"no trajectory columns among {sorted(have)}")
         xyz, q = [num(c) for c in cols[:3]], from_euler(*(num(c) for c in cols[3:]))
-    d = raw.select(num(time).alias("t"), *[c.alias(a) for c, a in zip(xyz, "xyz")], normalised(q).alias("q"), F.monotonically_increasing_id().alias("_row"))
-    d = d.select("t", "x", "y", "z", *[F.col(f"q.{c}").alias(f"q{c}") for c in "xyzw"], "_row").dropna()
-    return first_per_time(d, [], "t", "_row").drop("_row")
+    session = F.col("session_id") if "session_id" in have else F.input_file_name()
+    source = F.coalesce(F.trim("measurement_source"), F.lit("")) if "measurement_source" in have else F.lit("")
+    d = raw.select(session.alias("session_id"), num(time).alias("t"), *[c.alias(a) for c, a in zip(xyz, "xyz")], normalised(q).alias("q"), source.isin("", "direct").alias("direct"), F.monotonically_increasing_id().alias("_row"))
+    d = d.select("session_id", "t", "x", "y", "z", *[F.col(f"q.{c}").alias(f"q{c}") for c in "xyzw"], "direct", "_row").dropna()
+    return require(first_per_time(d, ["session_id"], "t", "_row").drop("_row"), least, "poses")
 
 
 def read_detections(spark: SparkSession, path: str) -> DataFrame:
@@ -77,11 +99,23 @@ def read_detections(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DETECTION).json(path)
 
 
-def read_mocap(spark: SparkSession, path: str, millimetres: bool = False) -> DataFrame:
-    """Flat motion capture (timestamp, x … qw); positions to metres."""
+def read_mocap(spark: SparkSession, path: str, millimetres: bool = False, lever: tuple[float, float, float] | None = None, strict: bool = False) -> DataFrame:
+    """Flat motion capture (timestamp, x … qw); positions to metres. ``lever`` moves them to a point fixed to the body.
+
+    ``strict`` refuses a file in which a time occurs twice.
+    """
+    from posegrain.functions import poses
+    from posegrain.functions import rotations as rot
+
     d = _typed(_text(spark, path), {c: "double" for c in ("timestamp", "x", "y", "z", "qx", "qy", "qz", "qw")})
     scale = 0.001 if millimetres else 1.0
-    return d.select("timestamp", *[(F.col(a) * scale).alias(a) for a in "xyz"], "qx", "qy", "qz", "qw")
+    d = d.select("timestamp", *[(F.col(a) * scale).alias(a) for a in "xyz"], "qx", "qy", "qz", "qw")
+    if lever is not None:
+        q = rot.normalised(rot.quaternion(*(F.col(f"q{c}") for c in "xyzw")))
+        d = d.withColumn("_p", poses.added(rot.vector(*(F.col(a) for a in "xyz")), rot.rotate(q, rot.vector(*(F.lit(float(v)) for v in lever))))).withColumns({a: F.col(f"_p.{a}") for a in "xyz"}).drop("_p")
+    if strict and repeated_times(d).limit(1).count():
+        raise ValueError("a time occurs more than once")
+    return d
 
 
 def repeated_times(df: DataFrame, time: str = "timestamp") -> DataFrame:
@@ -92,21 +126,29 @@ def repeated_times(df: DataFrame, time: str = "timestamp") -> DataFrame:
 def read_motive(spark: SparkSession, path: str) -> DataFrame:
     """An export with metadata above its header, as a dense grid of the declared frames.
 
-    (frame, t, x, y, z, qx, qy, qz, qw, valid): positions from millimetres; frames that are missing, incomplete or without a
-    rotation are not valid and have NULLs. The rows above the header are few and read on the driver.
+    (frame, t, x, y, z, qx, qy, qz, qw, valid): positions from millimetres, unit quaternions; frames that are missing, incomplete or without a
+    rotation are not valid and have NULLs; of a frame's rows the first usable stays. A row's own time holds, else frame / rate. Without metadata
+    the frames end with the last row, and the rate follows from the last row's time. The header is looked for in the whole file.
     """
-    top = [r.value for r in spark.read.text(path).limit(50).collect()]
-    pairs = dict(zip(*[iter(top[0].split(","))] * 2))
-    frames, rate = int(float(pairs["Total Exported Frames"])), float(pairs["Export Frame Rate"])
-    if not any(line.startswith("Frame,Time (Seconds)") for line in top):
+    text = spark.read.text(path).select("value")
+    if not text.filter(F.col("value").rlike(r"^Frame,Time \(Seconds\)")).limit(1).count():
         raise ValueError("no header row with Frame and Time (Seconds)")
     cells = F.split("value", ",")
-    d = spark.read.text(path).filter(F.col("value").rlike(r"^\d+,"))
-    d = d.select(F.get(cells, F.lit(0)).cast("long").alias("frame"), *[F.try_element_at(cells, F.lit(i + 3)).try_cast("double").alias(n) for i, n in enumerate(("qx", "qy", "qz", "qw", "x", "y", "z"))]).dropna()
-    d = d.filter(sum(F.col(f"q{c}") * F.col(f"q{c}") for c in "xyzw") > 0.25)
-    grid = spark.range(frames).withColumnRenamed("id", "frame").withColumn("t", F.col("frame") / rate)
-    d = d.select("frame", *[(F.col(a) / 1000).alias(a) for a in "xyz"], "qx", "qy", "qz", "qw", F.lit(True).alias("_ok"))
-    return grid.join(d, "frame", "left").withColumn("valid", F.coalesce("_ok", F.lit(False))).drop("_ok")
+    declared = text.filter(F.col("value").contains("Total Exported Frames") | F.col("value").contains("Export Frame Rate")).limit(1).collect()
+    named = dict(zip(*[iter(declared[0].value.split(","))] * 2)) if declared else {}
+    at = lambda i: F.try_element_at(cells, F.lit(i)).try_cast("double")
+    d = text.filter(F.col("value").rlike(r"^\d+,")).select(F.get(cells, F.lit(0)).cast("long").alias("frame"), at(2).alias("_time"), *[at(i + 3).alias(n) for i, n in enumerate(("qx", "qy", "qz", "qw", "x", "y", "z"))])
+    last = d.agg(F.max("frame").alias("frame"), F.max_by("_time", "frame").alias("t")).first()
+    number = lambda name: float(named[name]) if str(named.get(name, "")).replace(".", "", 1).isdigit() else None
+    frames = int(number("Total Exported Frames") or (last.frame + 1 if last.frame is not None else 0))
+    rate = number("Export Frame Rate") or (last.frame / last.t if last.t else 1.0)
+    norm = F.sqrt(sum(F.col(f"q{c}") * F.col(f"q{c}") for c in "xyzw"))
+    times = d.groupBy("frame").agg(F.min("_time").alias("_time"))
+    good = d.dropna(subset=["qx", "qy", "qz", "qw", "x", "y", "z"]).withColumn("_n", norm).filter(F.col("_n") > 0.5)
+    values = F.struct(*[(F.col(a) / 1000).alias(a) for a in "xyz"], *[(F.col(f"q{c}") / F.col("_n")).alias(f"q{c}") for c in "xyzw"])
+    good = good.groupBy("frame").agg(F.min_by(values, F.struct("_time", "x", "y", "z")).alias("_v"))
+    grid = spark.range(frames).withColumnRenamed("id", "frame").join(times, "frame", "left").join(good, "frame", "left")
+    return grid.select("frame", F.coalesce("_time", F.col("frame") / rate).alias("t"), *[F.col(f"_v.{c}").alias(c) for c in ("x", "y", "z", "qx", "qy", "qz", "qw")], F.col("_v").isNotNull().alias("valid"))
 
 
 def read_imu(spark: SparkSession, path: str) -> DataFrame:
@@ -141,9 +183,48 @@ def read_matrix(spark: SparkSession, path: str) -> list[list[float]]:
     """A 4x4 matrix from JSON, bare or under ``matrix``; a fixed small size, so it comes to the driver."""
     import json
 
-    text = "\n".join(r.value for r in spark.read.text(path).limit(200).collect())
-    m = json.loads(text)
+    m = json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
     m = m.get("matrix", m) if isinstance(m, dict) else m
     if len(m) != 4 or any(len(r) != 4 for r in m):
         raise ValueError("not a 4x4 matrix")
     return [[float(v) for v in r] for r in m]
+
+
+def list_media(spark: SparkSession, roots: list[str], suffixes: tuple[str, ...] = ("osv", "lrf", "mp4")) -> DataFrame:
+    """(path, length, modified) of the recordings under allowed folders, in order of their paths; contents are not read."""
+    found = None
+    for root in roots:
+        d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+        found = d if found is None else found.unionByName(d)
+    return found.filter(F.lower(F.element_at(F.split("path", r"\."), -1)).isin(*suffixes)).distinct().orderBy("path")
+
+
+def read_mesh(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
+    """(path, triangle, corner, x, y, z) of binary STL files; with ``most`` every so many-th triangle, so that about that many of each stay.
+
+    Triangles are cut out of the file's bytes as columns, a fixed 50 bytes each after a head of 84.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    from posegrain.session import map_rows
+
+    kind = np.dtype([("normal", "<f4", 3), ("corners", "<f4", (3, 3)), ("rest", "<u2")])
+
+    def cut(batches):
+        for batch in batches:
+            for path_, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                n = int.from_bytes(content[80:84], "little")
+                if len(content) < 84 + 50 * n:
+                    raise ValueError(f"{path_} is cut short")
+                at = np.arange(0, n, max(1, n // most) if most else 1)
+                c = np.frombuffer(content, kind, n, 84)["corners"][at].reshape(-1, 3).astype(float)
+                yield pa.RecordBatch.from_arrays([pa.array([path_] * len(c)), pa.array(np.repeat(at, 3)), pa.array(np.tile(np.arange(3, dtype=np.int32), len(at))), *[pa.array(np.ascontiguousarray(c[:, i])) for i in range(3)]], ["path", "triangle", "corner", "x", "y", "z"])
+
+    return map_rows(spark.read.format("binaryFile").load(path).select("path", "content"), cut, "path string, triangle long, corner int, x double, y double, z double")
+
+
+def stream_poses(spark: SparkSession, folder: str, files_at_once: int = 16) -> DataFrame:
+    """Pose tables as they arrive in a folder, as a stream; numbers are read as in ``read_poses``."""
+    raw = spark.readStream.schema(", ".join(f"{c} string" for c in POSE)).option("header", "true").option("maxFilesPerTrigger", str(files_at_once)).csv(folder)
+    return _typed(raw, POSE)

@@ -69,10 +69,10 @@ def test_evaluation_finds_offset_frame_and_body(spark):
 def test_pair_in_another_world(spark):
     tl, tr = np.arange(0, 30, 0.05), np.arange(0, 30, 0.04)
     right = compose(WORLD, track(tr - 0.53))
-    right[0][100:104] += 5.0  # does not belong
+    right[0][100:104] += 0.15  # does not belong
     aligned, report, curve = P.align_pair(table(spark, tl, track(tl), direct=True), table(spark, tr, right, direct=True), ["s"], radius=0.8)
     r = report.first()
-    assert (r.verdict, r.failed, r.fit_source) == ("PASS", "", "both_direct") and abs(r.offset_s - 0.53) <= 0.003 and r.position_median < 0.003
+    assert (r.verdict, r.failed, r.fit_source) == ("PASS", "", "both_direct") and abs(r.offset_s - 0.53) <= 0.005 and r.position_median < 0.005
     assert 0 < r.n - r.n_inliers < 30 and curve.count() == 161
     _, few, _ = P.align_pair(table(spark, tl, track(tl), direct=True), table(spark, tr, right, direct=False), ["s"], radius=0.8)
     assert few.first().fit_source == "all_valid"
