@@ -1,9 +1,9 @@
 """Irregular readings onto a regular grid by compact-kernel local polynomial regression.
 
-Each reading is sent to the few grid times its kernel reaches, where only the five moments of the weighted
-line fit are summed, with the first and last time of any row. Sums combine before the one shuffle of the rows, the
-keys are (source, grid time), and no task ever holds a source: a source with a third of all rows spreads over its grid
-times. Which grid times a source covers follows from those sums.
+Readings are shuffled once, to (source, block of time); those near a block's edge go to both blocks. There each one is sent to
+the few grid times its kernel reaches, where the five moments of the weighted line fit are summed. No task ever holds
+a source: one with a third of all rows spreads over its blocks. Which grid times a source covers follows from the first and
+last time of its blocks.
 """
 
 from __future__ import annotations
@@ -15,22 +15,18 @@ from posegrain.session import cut_lineage_in_place
 
 
 def covered_steps(spans: DataFrame, step_s: float, pause_s: float | None) -> DataFrame:
-    """(source, step): each grid step from a source's first row to its last; ``spans``: source, ``_from``, ``_to`` of steps with rows.
+    """(source, step): each grid step from a source's first row to its last, once; ``spans``: source, ``_from``, ``_to`` of stretches of at most ``pause_s``, in which no pause fits.
 
     Where two successive rows lie more than ``pause_s`` apart, the steps strictly between theirs are left
-    out (None: kept). Steps are first reduced to one row per ``pause_s``-long bucket, as within one bucket no
-    pause fits, and only these are put in order.
+    out (None: kept). Only the stretches are put in order.
     """
-    width = max(pause_s or 3600.0, step_s)
-    buckets = spans.groupBy("source", F.floor(F.col("_from") / width).alias("_bucket")).agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
-    following = F.lead("_from").over(Window.partitionBy("source").orderBy("_bucket"))
+    following = F.lead("_from").over(Window.partitionBy("source").orderBy("_from"))
     first, last, after = (F.floor(F.col(c) / step_s) for c in ("_from", "_to", "_next"))
-    spans = buckets.withColumn("_next", following)
-    # One reading of the two on either side of a pause ends, the other begins a span.
+    spans = spans.withColumn("_next", following)
+    # One reading of the two on either side of a pause ends, the other begins a span; else the next stretch has the step both share.
     paused = F.col("_next").isNull() if pause_s is None else F.col("_next").isNull() | (F.col("_next") - F.col("_to") > pause_s)
-    until = F.when(paused, last).otherwise(F.greatest(last, after - 1))
-    # A step can lie in two buckets.
-    return spans.select("source", F.explode(F.sequence(first, until)).alias("step")).distinct()
+    spans = spans.withColumns({"_a": first, "_b": F.when(paused & (after.isNull() | (after > last)), last).otherwise(after - 1)}).filter(F.col("_b") >= F.col("_a"))
+    return spans.select("source", F.explode(F.sequence("_a", "_b")).alias("step"))
 
 
 def regular_grid(
@@ -55,27 +51,35 @@ def regular_grid(
     # Step numbers are longs; times beyond them, infinite ones too, are none.
     rows = rows.filter(F.col("_t").isNotNull() & ~F.isnan("_t") & (F.abs("_t") < 9e18 * step_s))
     reads = F.coalesce(F.col("_ok"), F.lit(False)) & F.col("_y").isNotNull() & ~F.isnan("_y")
-    reach = int(half_width_s // step_s)
-    ahead = F.explode(F.when(reads, F.array(*[F.lit(k) for k in range(-reach, reach + 1)])).otherwise(F.array(F.lit(0)))).alias("_k")
-    near = rows.select(source, "_t", F.when(reads, F.col("_y")).alias("_y"), reads.alias("_reads"), F.floor(F.col("_t") / step_s).alias("_own"), ahead).withColumn("_step", F.col("_own") + F.col("_k"))
-    d = F.when(F.col("_reads"), F.col("_t") - (F.col("_step") + 0.5) * step_s)
+    reach, width = int(half_width_s // step_s), pause_s or 3600.0
+    block = lambda step: F.floor(step * step_s / width)
+    own = F.floor(F.col("_t") / step_s)
+    to = F.when(reads, F.sequence(block(own - reach), block(own + reach))).otherwise(F.array(block(own)))
+    rows = rows.select(F.col(source).alias("source"), "_t", F.when(reads, F.col("_y")).alias("_y"), reads.alias("_reads"), F.explode(to).alias("_block"))
+    rows = rows.select(F.struct("source", "_block").alias("_g"), "_t", "_y", "_reads")
+    rows = cut_lineage_in_place(rows.repartition("_g"))
+
+    # A row whose own step is in the block stands for the block's cover; the time's own stretch may begin a little later than the step's.
+    mine = rows.filter(block(own) == F.col("_g._block"))
+    spans = mine.groupBy("_g", F.floor(F.col("_t") / width).alias("_part")).agg(F.min("_t").alias("_from"), F.max("_t").alias("_to")).select(F.col("_g.source").alias("source"), "_from", "_to")
+    grid = covered_steps(spans, step_s, pause_s).select(F.struct("source", block(F.col("step")).alias("_block")).alias("_g"), "step")
+
+    ahead = F.explode(F.array(*[F.lit(k) for k in range(-reach, reach + 1)])).alias("_k")
+    near = rows.filter("_reads").select("_g", "_t", "_y", own.alias("_own"), ahead).withColumn("step", F.col("_own") + F.col("_k")).filter(block(F.col("step")) == F.col("_g._block"))
+    d = F.col("_t") - (F.col("step") + 0.5) * step_s
     near = near.withColumn("_d", d).withColumn("_u", F.lit(1.0) - (F.col("_d") / half_width_s) * (F.col("_d") / half_width_s))
     near = near.withColumn("_w", F.when(F.col("_u") > 0, F.col("_u") * F.col("_u") * F.col("_u")).otherwise(0.0))
     W, D, Y = F.col("_w"), F.col("_d"), F.col("_y")
-    here, weighs = F.col("_k") == 0, F.col("_w") > 0
-    some = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
-    sums = near.groupBy(F.struct(F.col(source).alias("source"), F.col("_step").alias("step")).alias("_key")).agg(
-        F.min(F.when(here, F.col("_t"))).alias("_from"), F.max(F.when(here, F.col("_t"))).alias("_to"), F.sum((here & F.col("_reads")).cast("long")).alias("inside"), F.sum((weighs & (D < 0)).cast("long")).alias("left"), F.sum((weighs & (D >= 0)).cast("long")).alias("right"),
-        some(W).alias("w"), some(W * D).alias("wd"), some(W * D * D).alias("wdd"), some(W * Y).alias("wy"), some(W * D * Y).alias("wdy"), some(W * W).alias("ww"),
+    weighs = F.col("_w") > 0
+    sums = near.groupBy("_g", "step").agg(
+        F.sum((F.col("_k") == 0).cast("long")).alias("inside"), F.sum((weighs & (D < 0)).cast("long")).alias("left"), F.sum((weighs & (D >= 0)).cast("long")).alias("right"),
+        F.sum(W).alias("w"), F.sum(W * D).alias("wd"), F.sum(W * D * D).alias("wdd"), F.sum(W * Y).alias("wy"), F.sum(W * D * Y).alias("wdy"), F.sum(W * W).alias("ww"),
     )
-    sums = cut_lineage_in_place(sums)
-    spans = sums.filter("_from IS NOT NULL").select(F.col("_key.source").alias("source"), "_from", "_to")
-    grid = covered_steps(spans, step_s, pause_s).select(F.struct("source", "step").alias("_key"))
-    out = grid.join(sums, "_key", "left")
+    out = grid.join(sums, ["_g", "step"], "left")
     spread = F.col("w") * F.col("wdd") - F.col("wd") * F.col("wd")
     line = (F.col("wdd") * F.col("wy") - F.col("wd") * F.col("wdy")) / spread
     fit = F.when(spread > 1e-9 * F.col("w") * F.col("w") * (half_width_s**2), line).otherwise(F.col("wy") / F.col("w"))
     support = F.when(F.col("ww") > 0, F.col("w") * F.col("w") / F.col("ww")).otherwise(0.0)
     state = F.when(F.col("inside") > 0, "observed").when((support >= min_support) & (F.col("left") > 0) & (F.col("right") > 0), "filled").otherwise("missing")
     out = out.withColumn("state", state)
-    return out.select(F.col("_key.source").alias(source), F.col("_key.step").cast("long").alias(step_name), F.when(F.col("state") != "missing", fit).alias("value"), F.coalesce("inside", F.lit(0)).alias("n_inside"), support.alias("support"), "state")
+    return out.select(F.col("_g.source").alias(source), F.col("step").cast("long").alias(step_name), F.when(F.col("state") != "missing", fit).alias("value"), F.coalesce("inside", F.lit(0)).alias("n_inside"), support.alias("support"), "state")

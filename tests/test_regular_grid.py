@@ -45,4 +45,5 @@ def test_pauses_and_odd_rows(spark):
     assert g["a", 800].state == "observed" and g["a", 800].n_inside == 2 and abs(g["a", 800].value - 2) < 1e-9
     assert g["a", 804].state != "observed" and g["b", 3].state == "missing" and g[None, 1].state == "observed"
     assert regular_grid(d.limit(0), "s", "t", F.col("y"), F.col("ok")).count() == 0
-    assert covered_steps(d.filter("t IS NOT NULL AND s = 'a'"), "s", "t", 1.0, None).count() == 805
+    spans = d.filter("t IS NOT NULL AND s = 'a'").select(F.col("s").alias("source"), F.col("t").alias("_from"), F.col("t").alias("_to"))
+    assert covered_steps(spans, 1.0, None).count() == 805
