@@ -11,8 +11,8 @@ Three tests, kept apart:
   exact check against the nearest readings outside says that the series comes back within a few rows.
 
 Most sources here last minutes, so a day is mostly a whole source; its profiles are stretches of it, as whole days
-side by side would be one row. Work is done on pieces of sorted partitions (see ``pieces``); readings near a cut are
-judged again from the strips on both sides of it.
+side by side would be one row. Readings are shuffled once, to (source, field, day), with those of the hour before and
+after as context, so a source of any length spreads over its days, and what comes out does not depend on how rows are partitioned.
 """
 
 from __future__ import annotations
@@ -25,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from posegrain.operators.pieces import PIECE_ROWS, key_starts, neighbours, ordered, pieces
-from posegrain.session import cut_lineage, map_rows
+from posegrain.operators.pieces import whole_groups
+from posegrain.session import map_rows
 
 WIDTH, RANK, ROUNDS = 32, 2, 8
 DAY_S = 86_400.0
 FEW = 64  # readings below which the few that spikes could have spoilt are left out of the first scale
-STRIP, CONTEXT = 128, 16
+AROUND_S = 3_600.0  # what of the days beside it a day is judged with
+PIECE_ROWS, STRIP = 200_000, 128  # days of more readings are judged in pieces, with some on either side
 
 
 @dataclass(frozen=True)
@@ -116,16 +117,9 @@ def usual_course(x: np.ndarray, scale: float, cut: float, left_out: np.ndarray |
     return x - out
 
 
-def sparse_part(t: np.ndarray, x: np.ndarray, scale: float, cut: float, left_out: np.ndarray | None = None) -> np.ndarray:
-    """How far each reading is from the usual course of its day."""
-    day = np.floor(t / DAY_S)
-    ends = np.append(np.flatnonzero(np.append(True, day[1:] != day[:-1])), len(x))
-    parts = []
-    for a, b in zip(ends[:-1], ends[1:]):
-        # A day of a few readings has no profile of its own and is seen with those before it.
-        a = a if b - a >= 6 else max(0, b - WIDTH)
-        parts.append(np.abs(x[a:b] - usual_course(x[a:b], scale, cut, None if left_out is None else left_out[a:b])))
-    return np.concatenate([p[-(b - a) :] for p, a, b in zip(parts, ends[:-1], ends[1:])])
+def sparse_part(x: np.ndarray, scale: float, cut: float, left_out: np.ndarray | None = None) -> np.ndarray:
+    """How far each reading is from the usual course."""
+    return np.abs(x - usual_course(x, scale, cut, left_out))
 
 
 def _off_line(t: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +154,7 @@ def spikes(t: np.ndarray, x: np.ndarray, field: Field, rule: Rule) -> np.ndarray
         x = np.concatenate([x[:1], x[0] + np.cumsum(_turn(np.diff(x), True))])
     # A spike of a few rows spoils its own deviations and its neighbours'; of few readings these may be most.
     scale, bend = _scale(t, x, field.floor, 0 if n >= FEW else min(rule.rows, n // 5) + 2)
-    sparse = sparse_part(t, x, scale, rule.candidate * scale)
+    sparse = sparse_part(x, scale, rule.candidate * scale)
     limit = rule.candidate * max(scale, 1.4826 * float(np.median(sparse)))
     # Candidates that lie too dense to tell apart are looked at again with higher limits.
     while (sparse > limit).any():
@@ -176,7 +170,7 @@ def spikes(t: np.ndarray, x: np.ndarray, field: Field, rule: Rule) -> np.ndarray
             scale, bend = _scale(t[rest], x[rest], field.floor)
         found = _confirmed(t, x, around, scale, bend, rule)
         if found.any():
-            out |= found & (sparse_part(t, x, scale, rule.candidate * scale, around) > rule.candidate * scale)
+            out |= found & (sparse_part(x, scale, rule.candidate * scale, around) > rule.candidate * scale)
         limit *= 4
     return out
 
@@ -227,6 +221,15 @@ def judge(t: np.ndarray, x: np.ndarray, field: Field, rule: Rule) -> np.ndarray:
     return kind
 
 
+def judge_day(t: np.ndarray, x: np.ndarray, field: Field, rule: Rule) -> np.ndarray:
+    """``judge`` over readings of any number: pieces cut at fixed places, each seen with ``STRIP`` readings more on either side."""
+    kind = np.zeros(len(x), np.int8)
+    for a in range(0, len(x), PIECE_ROWS):
+        low, high = max(0, a - STRIP), min(len(x), a + PIECE_ROWS + STRIP)
+        kind[a : a + PIECE_ROWS] = judge(t[low:high], x[low:high], field, rule)[a - low : a - low + PIECE_ROWS]
+    return kind
+
+
 NAMES = np.array(["", "impossible", "stuck", "spike"])
 
 
@@ -236,69 +239,32 @@ def implausible_readings(df: DataFrame, source: str, order: list[str], id_col: s
     ``order``: the time in seconds, then ties' order. Rows without a time take no part; NULL and NaN
     readings are left out before "successive" is counted. NULL sources form one source. A source with
     fewer than five readings has no spikes, but its impossible values are flagged. An excursion that never comes
-    back, as at a source's last reading, is a change of level and no spike.
+    back, as at a source's last reading, is a change of level and no spike. Across midnight, runs and spikes are seen as
+    far as their readings lie within an hour of it. The usual variation is that of the day.
     """
     time = order[0]
-    id_type, source_type = df.schema[id_col].dataType.simpleString(), df.schema[source].dataType.simpleString()
-    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("double").alias("x")) for f in fields])).alias("e")
-    rows = df.filter(F.col(time).isNotNull() & ~F.isnan(time)).select(F.col(source).alias("_source"), *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)], F.col(id_col).alias("_id"), each)
-    rows = rows.select("_source", F.col("e.field_name").alias("field_name"), *[f"_o{k}" for k in range(len(order))], "_id", F.col("e.x").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    series = ordered(rows, ["_source", "field_name"], [*[f"_o{k}" for k in range(len(order))], "_id"]).select("_source", "field_name", F.col("_o0").cast("double").alias("t"), "_id", "x")
-
-    schema = f"_source {source_type}, field_name string, _id {id_type}, reason string, pid int, seq int, at_end int, t array<double>, x array<double>, ids array<{id_type}>"
-
-    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pid, seq, table in pieces(batches, PIECE_ROWS):
-            t, x, ids = table["t"].to_numpy(), table["x"].to_numpy(), table["_id"].combine_chunks()
-            starts = key_starts(table["_source"], table["field_name"])
-            kind = np.zeros(len(t), np.int8)
-            names = table["field_name"]
+    id_type = df.schema[id_col].dataType.simpleString()
+    rows = df.filter(F.col(time).isNotNull() & ~F.isnan(F.col(time).cast("double")))
+    t = F.col(time).cast("double")
+    day = lambda shift: F.floor((t + shift) / DAY_S)
+    rows = rows.select(F.col(source).alias("_source"), t.alias("_t"), *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order) if k], F.col(id_col).alias("_id"), day(0.0).alias("_own"), F.explode(F.sequence(day(-AROUND_S), day(AROUND_S))).alias("_day"), *[F.col(f).alias(f"_f{i}") for i, f in enumerate(fields)])
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"_f{i}").cast("double").alias("x")) for i, f in enumerate(fields)])).alias("e")
+    ties = [f"_o{k}" for k in range(1, len(order))]
+    rows = rows.select("_source", "_t", *ties, "_id", (F.col("_own") == F.col("_day")).alias("_own"), "_day", each)
+    rows = rows.select("_source", F.col("e.field_name").alias("field_name"), "_day", "_t", *ties, "_id", "_own", F.col("e.x").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    keys = ["_source", "field_name", "_day"]
+    # The number is stated, as few bytes are much work here and would else be put together.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    series = rows.repartition(tasks, *keys).sortWithinPartitions(*keys, "_t", *ties, "_id").select(*keys, "_t", "_id", "_own", "x")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, keys):
+            t, x, own = table["_t"].to_numpy(), table["x"].to_numpy(), table["_own"].to_numpy(zero_copy_only=False)
+            names, kind = table["field_name"], np.zeros(len(t), np.int8)
             for a, b in zip(starts[:-1], starts[1:]):
-                k = judge(t[a:b], x[a:b], fields[names[int(a)].as_py()], rule)
-                if a == 0:
-                    k[:CONTEXT] = 0
-                if b == len(t):
-                    k[max(0, len(k) - CONTEXT) :] = 0
-                kind[a:b] = k
-            hit = pa.array(np.flatnonzero(kind))
-            flagged = [table["_source"].combine_chunks().take(hit), names.combine_chunks().take(hit), ids.take(hit), pa.array(NAMES[kind[hit.to_numpy()]], pa.string())]
-            ends = [(0, int(starts[0]), int(min(starts[1], STRIP))), (1, int(max(starts[-2], starts[-1] - STRIP)), int(starts[-1]))]
-            where = pa.array([a for _, a, _ in ends])
-            none = len(hit)
-            cut = [table["_source"].combine_chunks().take(where), names.combine_chunks().take(where), pa.nulls(2, ids.type), pa.nulls(2, pa.string()), pa.array([pid] * 2, pa.int32()), pa.array([seq] * 2, pa.int32()), pa.array([e for e, _, _ in ends], pa.int32())]
-            cut += [pa.array([t[a:b] for _, a, b in ends], pa.list_(pa.float64())), pa.array([x[a:b] for _, a, b in ends], pa.list_(pa.float64())), pa.array([ids.slice(a, b - a).to_pylist() for _, a, b in ends], pa.list_(ids.type))]
-            cols = ["_source", "field_name", "_id", "reason", "pid", "seq", "at_end", "t", "x", "ids"]
-            yield pa.RecordBatch.from_arrays([*flagged, *[pa.nulls(none, c.type) for c in cut[4:]]], cols)
-            yield pa.RecordBatch.from_arrays(cut, cols)
-
-    done = cut_lineage(map_rows(series, inside, schema))
-    strips = done.filter(F.col("pid").isNotNull())
-    both = neighbours(strips, ["_source", "field_name"], ["t", "x", "ids"])
-
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A cut lies between an end strip and the next piece's head strip; a series' first head and last end stand alone."""
-        for batch in batches:
-            r = batch.to_pydict()
-            src, fld, out, why = [], [], [], []
-            for i in range(batch.num_rows):
-                head, prev = r["at_end"][i] == 0, r["prev_at_end"][i] == 1
-                joined = head and prev
-                t, x, ids = ((r["prev_" + c][i] if joined else []) + r[c][i] for c in ("t", "x", "ids"))
-                m = len(r["prev_t"][i]) if joined else 0
-                k = judge(np.array(t, float), np.array(x, float), fields[r["field_name"][i]], rule)
-                near = np.zeros(len(k), bool)
-                if head:
-                    near[max(0, m - CONTEXT) : m + CONTEXT] = True
-                elif r["is_last"][i]:
-                    near[-CONTEXT:] = True
-                for j in np.flatnonzero((k > 0) & near):
-                    src.append(r["_source"][i])
-                    fld.append(r["field_name"][i])
-                    out.append(ids[j])
-                    why.append(str(NAMES[k[j]]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, batch.schema.field("ids").type.value_type), pa.array(fld, pa.string()), pa.array(why, pa.string())], [id_col, "field_name", "reason"])
-
-    near = map_rows(both, across, f"{id_col} {id_type}, field_name string, reason string")
-    # Within a short piece a reading can lie near both its cuts.
-    near = near.groupBy(id_col, "field_name").agg(F.min("reason").alias("reason"))
-    return done.filter(F.col("pid").isNull()).select(F.col("_id").alias(id_col), "field_name", "reason").unionByName(near)
+                kind[a:b] = judge_day(t[a:b], x[a:b], fields[names[int(a)].as_py()], rule)
+            hit = np.flatnonzero((kind > 0) & own)
+            at = pa.array(hit)
+            yield pa.RecordBatch.from_arrays([table["_id"].combine_chunks().take(at), names.combine_chunks().take(at), pa.array(NAMES[kind[hit]], pa.string())], [id_col, "field_name", "reason"])
+
+    return map_rows(series, run, f"`{id_col}` {id_type}, field_name string, reason string")

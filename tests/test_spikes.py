@@ -69,16 +69,6 @@ def test_spikes_in_short_series(n):
         assert (k[i : i + rows] == 3).all() and (k == 3).sum() <= rows + (n < 8), (trial, i, rows)
 
 
-def test_days_have_profiles_of_their_own():
-    t, x = series(600, seed=5)
-    t[300:] += S.DAY_S
-    x[300:] += 2.0
-    x[[100, 450]] += 1.0
-    assert np.flatnonzero(S.judge(t, x, F, S.Rule())).tolist() == [100, 450]
-    got = S.sparse_part(t, x, 0.004, 0.016)
-    assert np.allclose(got[:300], S.sparse_part(t[:300], x[:300], 0.004, 0.016))
-
-
 @pytest.mark.parametrize("rows", [70, 150, 100_000])
 def test_pieces_give_what_whole_series_give(spark, monkeypatch, rows):
     monkeypatch.setattr(S, "PIECE_ROWS", rows)
@@ -96,3 +86,17 @@ def test_pieces_give_what_whole_series_give(spark, monkeypatch, rows):
     got = S.implausible_readings(d, "s", ["t", "frame"], "id", {"x": F})
     assert {(r.id, r.reason) for r in got.collect()} == want
     assert S.implausible_readings(d.limit(0), "s", ["t", "frame"], "id", {"x": F}).count() == 0
+
+
+def test_midnight_and_partitions_do_not_matter(spark):
+    t, x = series(700, seed=9)
+    t += S.DAY_S - 80
+    i = int(np.searchsorted(t, S.DAY_S))
+    x[[i - 20, i - 1, i, i + 40]] += [0.8, 1.0, 1.0, -0.9]
+    x[i + 60 : i + 70] = x[i + 60]
+    want = {(int(k), str(S.NAMES[v])) for k, v in enumerate(S.judge(t, x, F, S.Rule())) if v}
+    assert {(i - 1, "spike"), (i, "spike")} <= want
+    d = spark.createDataFrame([("s", float(a), int(k), int(k), float(b)) for k, (a, b) in enumerate(zip(t, x))], "s string, t double, frame long, id long, x double")
+    for parts in (1, 7):
+        got = S.implausible_readings(d.repartition(parts), "s", ["t", "frame"], "id", {"x": F})
+        assert {(r.id, r.reason) for r in got.collect()} == want
