@@ -246,7 +246,8 @@ def implausible_readings(df: DataFrame, source: str, order: list[str], id_col: s
     id_type = df.schema[id_col].dataType.simpleString()
     rows = df.filter(F.col(time).isNotNull() & ~F.isnan(F.col(time).cast("double")))
     t = F.col(time).cast("double")
-    day = lambda shift: F.floor((t + shift) / DAY_S)
+    # Days end halfway, as sources begin at 0: few rows then lie near an end of one.
+    day = lambda shift: F.floor((t + DAY_S / 2 + shift) / DAY_S)
     rows = rows.select(F.col(source).alias("_source"), t.alias("_t"), *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order) if k], F.col(id_col).alias("_id"), day(0.0).alias("_own"), F.explode(F.sequence(day(-AROUND_S), day(AROUND_S))).alias("_day"), *[F.col(f).alias(f"_f{i}") for i, f in enumerate(fields)])
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f"_f{i}").cast("double").alias("x")) for i, f in enumerate(fields)])).alias("e")
     ties = [f"_o{k}" for k in range(1, len(order))]
@@ -262,7 +263,8 @@ def implausible_readings(df: DataFrame, source: str, order: list[str], id_col: s
             t, x, own = table["_t"].to_numpy(), table["x"].to_numpy(), table["_own"].to_numpy(zero_copy_only=False)
             names, kind = table["field_name"], np.zeros(len(t), np.int8)
             for a, b in zip(starts[:-1], starts[1:]):
-                kind[a:b] = judge_day(t[a:b], x[a:b], fields[names[int(a)].as_py()], rule)
+                if own[a:b].any():
+                    kind[a:b] = judge_day(t[a:b], x[a:b], fields[names[int(a)].as_py()], rule)
             hit = np.flatnonzero((kind > 0) & own)
             at = pa.array(hit)
             yield pa.RecordBatch.from_arrays([table["_id"].combine_chunks().take(at), names.combine_chunks().take(at), pa.array(NAMES[kind[hit]], pa.string())], [id_col, "field_name", "reason"])

@@ -70,8 +70,8 @@ def visual_audit(df: DataFrame, keys: list[str], order: list[str], valid: Column
 def swap_quarantine(df: DataFrame, keys: list[str], order: list[str], axes: list[str], speed: float = 10.0, step_s: float = 0.1, longest_s: float = 10.0) -> DataFrame:
     """Adds ``quarantined``: rows between the first and second, third and fourth … impossible jump of a source.
 
-    A jump: more than ``speed`` over a step of at most ``step_s`` between valid rows. A pair more than ``longest_s`` apart
-    quarantines nothing; a jump without partner neither.
+    A jump: more than ``speed`` over a step of at most ``step_s`` between valid rows. A pair more than ``longest_s`` apart, or
+    with a single row between, quarantines nothing; a jump without partner neither.
     """
     t = order[0]
 
@@ -84,11 +84,12 @@ def swap_quarantine(df: DataFrame, keys: list[str], order: list[str], axes: list
     d = scan(df, keys, order, [t, *axes], leap, "_k", prev=True).withColumn("_k", F.col("_k") - 1)
     d = d.withColumn("_jump", F.col("prev").isNotNull() & leap(F.col("prev"), F.struct(t, *axes))).drop("prev")
     # Jump numbers 2i+1 and 2i+2 are a pair: rows with an odd number lie between them.
-    ends = d.filter("_jump").groupBy(*keys, F.floor((F.col("_k") - 1) / 2).alias("_pair")).agg(F.min(t).alias("_from"), F.max(t).alias("_to"), F.count(F.lit(1)).alias("_n"))
     d = d.withColumn("_pair", F.floor((F.col("_k") - 1) / 2))
+    at = F.when(F.col("_jump"), F.col(t))
+    ends = d.filter("_k > 0").groupBy(*keys, "_pair").agg(F.min(at).alias("_from"), F.max(at).alias("_to"), F.count(at).alias("_n"), F.sum((F.col("_k") % 2).cast("long")).alias("_rows"))
     d = join_null_safe(d, ends, [*keys, "_pair"], "left")
-    inside = (F.col("_k") % 2 == 1) & (F.col("_n") == 2) & (F.col("_to") - F.col("_from") <= longest_s)
-    return d.withColumn("quarantined", F.coalesce(inside, F.lit(False))).drop("_jump", "_k", "_pair", "_from", "_to", "_n")
+    inside = (F.col("_k") % 2 == 1) & (F.col("_n") == 2) & (F.col("_rows") >= 2) & (F.col("_to") - F.col("_from") <= longest_s)
+    return d.withColumn("quarantined", F.coalesce(inside, F.lit(False))).drop("_jump", "_k", "_pair", "_from", "_to", "_n", "_rows")
 
 
 def resample(queries: DataFrame, samples: DataFrame, keys: list[str], query_time: str, sample_time: str, axes: list[str], enter_s: float = 0.25, gap_s: float = 0.65, predict_s: float = 0.5, max_rate: float = 0.8, angles: tuple[str, ...] = (), max_turn: float = 90.0) -> DataFrame:

@@ -448,8 +448,8 @@ def ord_visual_audit(spark, sf_dir):
 WITH g AS (SELECT *, t - lag(t) OVER w AS dt, sqrt((x-lag(x) OVER w)*(x-lag(x) OVER w) + (y-lag(y) OVER w)*(y-lag(y) OVER w) + (z-lag(z) OVER w)*(z-lag(z) OVER w)) AS d FROM v WINDOW w AS (PARTITION BY session_id ORDER BY t, frame)),
 j AS (SELECT *, coalesce(dt > 0 AND dt <= 0.25 AND d > 5.0 * dt, false) AS jump FROM g),
 k AS (SELECT *, sum(jump::INT) OVER (PARTITION BY session_id ORDER BY t, frame ROWS UNBOUNDED PRECEDING) AS n FROM j),
-e AS (SELECT session_id, floor((n - 1) / 2)::BIGINT AS pair, min(t) AS a, max(t) AS b, count(*) AS c FROM k WHERE jump GROUP BY 1, 2)
-SELECT k.session_id, k.frame, coalesce(n % 2 = 1 AND c = 2 AND b - a <= 10, false) AS quarantined FROM k LEFT JOIN e ON e.session_id = k.session_id AND e.pair = floor((n - 1) / 2)::BIGINT""")
+e AS (SELECT session_id, floor((n - 1) / 2)::BIGINT AS pair, min(t) FILTER (WHERE jump) AS a, max(t) FILTER (WHERE jump) AS b, count(*) FILTER (WHERE jump) AS c, count(*) FILTER (WHERE n % 2 = 1) AS rows_ FROM k WHERE n > 0 GROUP BY 1, 2)
+SELECT k.session_id, k.frame, coalesce(n % 2 = 1 AND c = 2 AND rows_ >= 2 AND b - a <= 10, false) AS quarantined FROM k LEFT JOIN e ON e.session_id = k.session_id AND e.pair = floor((n - 1) / 2)::BIGINT""")
 def ord_swap_quarantine(spark, sf_dir):
     """Rows between two impossible jumps of a session."""
     d = tr.swap_quarantine(valid(spark, sf_dir).select("session_id", "t", "frame", *XYZ), K, ORDER, XYZ, speed=5.0, step_s=0.25)

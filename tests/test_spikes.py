@@ -90,8 +90,8 @@ def test_pieces_give_what_whole_series_give(spark, monkeypatch, rows):
 
 def test_midnight_and_partitions_do_not_matter(spark):
     t, x = series(700, seed=9)
-    t += S.DAY_S - 80
-    i = int(np.searchsorted(t, S.DAY_S))
+    t += 1.5 * S.DAY_S - 80
+    i = int(np.searchsorted(t, 1.5 * S.DAY_S))
     x[[i - 20, i - 1, i, i + 40]] += [0.8, 1.0, 1.0, -0.9]
     x[i + 60 : i + 70] = x[i + 60]
     want = {(int(k), str(S.NAMES[v])) for k, v in enumerate(S.judge(t, x, F, S.Rule())) if v}
