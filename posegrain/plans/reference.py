@@ -641,20 +641,21 @@ STATIC_SQL = " UNION ALL ".join(f"SELECT {a} AS a, {b} AS b" for a, b in STATIC)
 
 
 @query(f"""
-WITH i AS ({STATIC_SQL}), w AS (SELECT v.session_id, i.a, v.t, v.frame, v.x, v.y, v.z FROM v JOIN i ON v.t BETWEEN i.a AND i.b),
-c AS (SELECT session_id, a, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, arg_min({{'x': x, 'y': y, 'z': z}}, (t, frame)) AS f FROM w GROUP BY session_id, a HAVING count(*) >= 2),
-r AS (SELECT w.session_id, w.a, n, sqrt((x-mx)^2 + (y-my)^2 + (z-mz)^2) AS radius, sqrt((x-f.x)^2 + (y-f.y)^2 + (z-f.z)^2) AS drift FROM w JOIN c USING (session_id, a))
-SELECT session_id, a AS start_s, max(n) AS n, round(quantile_cont(radius, 0.95), 6) AS radius_p95, round(max(drift), 6) AS drift_max FROM r GROUP BY session_id, a""")
+WITH i AS ({STATIC_SQL}), w AS (SELECT vq.session_id, i.a, vq.t, vq.frame, vq.x, vq.y, vq.z, vq.qx, vq.qy, vq.qz, vq.qw FROM vq JOIN i ON vq.t BETWEEN i.a AND i.b),
+c AS (SELECT session_id, a, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, arg_min({{'x': x, 'y': y, 'z': z, 'qx': qx, 'qy': qy, 'qz': qz, 'qw': qw}}, (t, frame)) AS f FROM w GROUP BY session_id, a HAVING count(*) >= 2),
+r AS (SELECT w.session_id, w.a, n, sqrt((x-mx)^2 + (y-my)^2 + (z-mz)^2) AS radius, sqrt((x-f.x)^2 + (y-f.y)^2 + (z-f.z)^2) AS drift, {rotation_sql.turn(rotation_sql.multiply(rotation_sql.inverse(rotation_sql.q('f.')), rotation_sql.q('w.')))} AS turned FROM w JOIN c USING (session_id, a))
+SELECT session_id, a AS start_s, max(n) AS n, round(quantile_cont(radius, 0.95), 6) AS radius_p95, round(max(drift), 6) AS drift_max, round(max(turned) + 1e-9, 3) AS turn_max_deg FROM r GROUP BY session_id, a""")
 def agg_static_intervals(spark, sf_dir):
-    """Spread and drift while the rig stands still; both ends belong to an interval; fewer than two rows give none."""
-    d = valid(spark, sf_dir).select("session_id", "t", "frame", *XYZ)
+    """Spread, drift and turn while the rig stands still; both ends belong to an interval; fewer than two rows give none."""
+    d = valid(spark, sf_dir).dropna(subset=RPY).select("session_id", "t", "frame", *XYZ, rot.from_euler(*(F.col(a) for a in RPY)).alias("q"))
     which = F.filter(F.array(*[F.when(F.col("t").between(a, b), F.lit(a)) for a, b in STATIC]), lambda v: v.isNotNull())
     d = d.select("*", F.explode(which).alias("start_s"))
     keys = ["session_id", "start_s"]
-    c = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.avg(a).alias(f"m{a}") for a in XYZ], F.min_by(F.struct(*XYZ), F.struct(*ORDER)).alias("f")).filter("n >= 2")
-    d = d.join(c, keys).withColumn("radius", F.sqrt(sum((F.col(a) - F.col(f"m{a}")) * (F.col(a) - F.col(f"m{a}")) for a in XYZ))).withColumn("drift", tr.moved(XYZ, "f"))
+    c = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.avg(a).alias(f"m{a}") for a in XYZ], F.min_by(F.struct(*XYZ, "q"), F.struct(*ORDER)).alias("f")).filter("n >= 2")
+    d = d.join(c, keys).withColumn("radius", F.sqrt(sum((F.col(a) - F.col(f"m{a}")) * (F.col(a) - F.col(f"m{a}")) for a in XYZ))).withColumns({"drift": tr.moved(XYZ, "f"), "turned": rot.angle_deg(F.col("f.q"), F.col("q"))})
     p95 = agg.percentiles(d, keys, "radius", {"radius_p95": 0.95})
-    return p95.join(d.groupBy(*keys).agg(F.max("drift").alias("drift_max")), keys).select(*keys, "n", *six("radius_p95", "drift_max"))
+    ends = d.groupBy(*keys).agg(F.max("drift").alias("drift_max"), F.round(F.max("turned") + 1e-9, 3).alias("turn_max_deg"))
+    return p95.join(ends, keys).select(*keys, "n", *six("radius_p95", "drift_max"), "turn_max_deg")
 
 
 @query("SELECT session_id, count(*) AS n, round(CASE WHEN count(*) >= 20 AND stddev_pop(rmse) > 1e-9 AND stddev_pop(tags) > 1e-9 THEN covar_pop(rmse, tags) / (stddev_pop(rmse) * stddev_pop(tags)) END, 5) AS r FROM p WHERE rmse IS NOT NULL AND tags IS NOT NULL GROUP BY session_id")

@@ -228,3 +228,12 @@ def stream_poses(spark: SparkSession, folder: str, files_at_once: int = 16) -> D
     """Pose tables as they arrive in a folder, as a stream; numbers are read as in ``read_poses``."""
     raw = spark.readStream.schema(", ".join(f"{c} string" for c in POSE)).option("header", "true").option("maxFilesPerTrigger", str(files_at_once)).csv(folder)
     return _typed(raw, POSE)
+
+
+def require_exported(path: str) -> str:
+    """``path``, or an error where it names a raw recording: those are stitched and exported by their makers' tools, not guessed at."""
+    from posegrain.functions.views import DJI_SUFFIX, INSTA_SUFFIX
+
+    if path.lower().endswith((*DJI_SUFFIX, *INSTA_SUFFIX)):
+        raise ValueError(f"{path} is a raw recording; export it first")
+    return path

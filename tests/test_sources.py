@@ -161,3 +161,10 @@ def test_largest_detection_of_a_tag(spark, tmp_path):
     d = readers.read_detections(spark, put(tmp_path / "d.jsonl", json.dumps({"frame": 3, "timestamp": 0.5, "views": [{"view": {"name": "h"}, "detections": seen}]}) + "\n"))
     got = {r.id: r for r in largest_detections(d).collect()}
     assert set(got) == {1, 2} and got[1].area_px == 9.0 and got[1].corners_px[0] == [0.0, 0.0]
+
+
+def test_raw_recordings_are_refused():
+    assert readers.require_exported("a/b.mp4") == "a/b.mp4"
+    for name in ("x.OSV", "y.insv", "z.lrv"):
+        with pytest.raises(ValueError):
+            readers.require_exported(name)
