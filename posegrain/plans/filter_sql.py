@@ -59,3 +59,22 @@ sum_ AS (SELECT {keys}, count(*) AS n, avg(x) AS ax, avg(y) AS ay, avg(z) AS az,
 horn_ AS (SELECT {keys}, {cells} FROM sum_), {rs.top_eigenvector('horn_', [keys], 'h')},
 rot_ AS (SELECT {keys}, n, ax, ay, az, bx, by_, bz, {entries} FROM pow_ JOIN sum_ USING ({keys})),
 rigid_ AS (SELECT {keys}, n, r11, r12, r13, r21, r22, r23, r31, r32, r33, {moved.replace('by -', 'by_ -')} FROM rot_)"""
+
+
+def despiked(source: str, limit: float = 0.12, width: int = 9, degree: int = 2) -> str:
+    """CTE text ``flat_`` (g, n, out_): of ``source`` (g, n from 1, x) first readings farther than ``limit`` from the median of five (zeros beyond the ends) take it, then
+    each takes its value of the parabola through the ``width`` around it, or through those at the end."""
+    import numpy as np
+
+    cells = []
+    for w in range(3, width + 1, 2):
+        at = np.vander(np.arange(w) - w // 2, degree + 1, increasing=True).astype(float)
+        h = at @ np.linalg.pinv(at)
+        cells += [f"({w},{r},{j},{float(h[r, j])!r})" for r in range(w) for j in range(w)]
+    five = ", ".join(f"coalesce(lag(x, {k}) OVER w, 0)" if k > 0 else f"coalesce(lead(x, {-k}) OVER w, 0)" if k < 0 else "x" for k in range(-2, 3))
+    return f"""
+hat_ AS (SELECT * FROM (VALUES {', '.join(cells)}) AS t(w, r, j, h)),
+five_ AS (SELECT g, n, x, list_sort([{five}])[3] AS med, count(*) OVER (PARTITION BY g) AS m FROM {source} WINDOW w AS (PARTITION BY g ORDER BY n)),
+calm_ AS (SELECT g, n, m, CASE WHEN m >= 3 AND abs(x - med) > {limit} THEN med ELSE x END AS y, least({width}, CASE WHEN m % 2 = 1 THEN m ELSE m - 1 END) AS w FROM five_),
+seat_ AS (SELECT *, greatest(1, least(n - w // 2, m - w + 1)) AS a FROM calm_),
+flat_ AS (SELECT s.g, s.n, sum(h * c.y) AS out_ FROM seat_ s JOIN hat_ k ON k.w = s.w AND k.r = s.n - s.a JOIN calm_ c ON c.g = s.g AND c.n = s.a + k.j WHERE s.w > {degree} GROUP BY s.g, s.n UNION ALL SELECT g, n, y FROM calm_ WHERE w <= {degree})"""

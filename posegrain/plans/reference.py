@@ -394,11 +394,11 @@ def ord_kalman(spark, sf_dir):
     return out.select("session_id", "frame", *[F.round(F.col(f"{a}_smooth") + 1e-9, 5).alias(f"{a}_smooth") for a in KALMAN])
 
 
-@query()
+@query(SEGMENTS.format("v") + ", o AS (SELECT session_id, frame, x, {'s': session_id, 'k': segment} AS g, row_number() OVER (PARTITION BY session_id, segment ORDER BY t, frame) AS n FROM s)," + filter_sql.despiked("o") + " SELECT o.session_id, o.frame, round(out_ + 1e-9, 6) AS x_smooth FROM flat_ f JOIN o USING (g, n)")
 def ord_despiked(spark, sf_dir):
-    """Median of five where a reading is off it, then local polynomials; tested against brute force."""
+    """Median of five where a reading is off it, then local polynomials."""
     d = ordered.gap_segments(valid(spark, sf_dir).select("session_id", "t", "frame", "x"), K, ORDER, 0.65, "i")
-    return smoothing.despiked(d, [*K, "segment"], ORDER, ["x"], "i").select("session_id", "frame", F.round("x_smooth", 6).alias("x_smooth"))
+    return smoothing.despiked(d, [*K, "segment"], ORDER, ["x"], "i").select("session_id", "frame", F.round(F.col("x_smooth") + 1e-9, 6).alias("x_smooth"))
 
 
 @query("""
@@ -498,15 +498,15 @@ def ord_relative_translation(spark, sf_dir):
     return d.join(first, "session_id").select("session_id", "frame", *[F.round(F.col(a) - F.col(f"o.{a}") + 1e-9, 6).alias(f"r{a}") for a in XYZ])
 
 
-@query()
+@query("WITH f AS (SELECT session_id, arg_min({'x': x, 'y': y, 'z': z, 'qx': qx, 'qy': qy, 'qz': qz, 'qw': qw}, (t, frame)) AS o FROM vq GROUP BY session_id) SELECT vq.session_id, vq.frame, " + ", ".join(f"round({e} + 1e-9, 6) AS r{a}" for a, e in zip(XYZ, rotation_sql.rotate(rotation_sql.inverse(rotation_sql.q("o.")), rotation_sql.minus(rotation_sql.v("vq."), rotation_sql.v("o."))))) + " FROM vq JOIN f USING (session_id)")
 def ord_start_frame(spark, sf_dir):
-    """Positions in the frame of the first pose, turned by its inverse; tested against matrices."""
+    """Positions in the frame of the first pose, turned by its inverse."""
     d = valid(spark, sf_dir).dropna(subset=RPY).select("session_id", "t", "frame", *XYZ, *RPY)
     q = rot.from_euler(*(F.col(a) for a in RPY))
     first = d.groupBy("session_id").agg(F.min_by(F.struct(*XYZ, q.alias("q")), F.struct(*ORDER)).alias("o"))
     d = d.join(first, "session_id")
     turned = rot.rotate(rot.inverse(F.col("o.q")), rot.vector(*(F.col(a) - F.col(f"o.{a}") for a in XYZ)))
-    return d.select("session_id", "frame", *[F.round(turned[a], 6).alias(f"r{a}") for a in XYZ])
+    return d.select("session_id", "frame", *[F.round(turned[a] + 1e-9, 6).alias(f"r{a}") for a in XYZ])
 
 
 @query("""
