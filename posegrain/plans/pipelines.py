@@ -289,6 +289,19 @@ def sync_offset_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("session_id", "step", "n", *[F.round(c, 4).alias(c) for c in ("score", "speed_score", "turn_rate_score")])
 
 
+def gate_formal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate of formal accuracy on each session's curve of offsets, to the step of the curve, and its test rows."""
+    from posegrain.plans import reference as ref
+
+    curve = written(sync_offset_curve(spark, sf_dir).filter("score IS NOT NULL"))
+    best = curve.groupBy("session_id").agg(F.max("score").alias("score"))
+    near = curve.select("session_id", "step", F.col("score").alias("_s")).join(best, "session_id").filter(F.col("_s") >= F.col("score") - 0.02)
+    facts = near.groupBy("session_id").agg(F.max("score").alias("score"), ((F.max("step") - F.min("step")) * 0.005).alias("uncertainty_s"))
+    tests = ref.gate_split(spark, sf_dir).select("session_id", F.col("n_test").alias("n"))
+    flow = ref.poses(spark, sf_dir).groupBy("session_id").agg(F.max((F.col("source") == "optical_flow").cast("int")).alias("_flow"))
+    return formal_gate(tests.join(flow, "session_id").join(facts, "session_id", "left")).select("session_id", "n", "verdict", "reasons")
+
+
 def sync_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear and angular speed over 0.2 s, at the middle of the pair."""
     visual, _ = _inputs(spark, sf_dir)
@@ -296,7 +309,7 @@ def sync_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("session_id", F.round(F.col("middle") + 1e-9, 6).alias("t"), F.round("speed", 5).alias("speed"), F.round(F.col("turn_rate") + 1e-9, 3).alias("turn_rate"))
 
 
-QUERIES = {f.__name__: f for f in (pipe_evaluation, pipe_matched_errors, pipe_pair_audit, pipe_pair_aligned, pipe_ground_truth, sync_truth_offset, sync_generic_offset, sync_offset_curve, sync_signature)}
+QUERIES = {f.__name__: f for f in (pipe_evaluation, pipe_matched_errors, pipe_pair_audit, pipe_pair_aligned, pipe_ground_truth, sync_truth_offset, sync_generic_offset, sync_offset_curve, sync_signature, gate_formal)}
 
 
 def _signature_sql(name: str, source: str) -> str:
@@ -314,6 +327,7 @@ def _signature_sql(name: str, source: str) -> str:
 
 
 def _oracle() -> dict[str, str]:
+    from posegrain.plans import reference as ref
     from posegrain.plans import rotation_sql as rs
     from posegrain.plans.reference import BASE
 
@@ -321,7 +335,7 @@ def _oracle() -> dict[str, str]:
     vis = "vis AS (SELECT vq.session_id, vq.t, vq.x, vq.y, vq.z, vq.qx, vq.qy, vq.qz, vq.qw FROM vq WHERE session_id IN (SELECT session_id FROM mocap_normalized))"
     corr = lambda c: f"CASE WHEN count(*) >= 20 AND stddev_pop({c}) > 1e-9 AND stddev_pop(r_{c}) > 1e-9 THEN covar_pop({c}, r_{c}) / (stddev_pop({c}) * stddev_pop(r_{c})) END AS c_{c}"
     at = lambda c: f"b.{c} + CASE WHEN a.mid > b.mid THEN (q - b.mid) / (a.mid - b.mid) ELSE 0 END * (a.{c} - b.{c}) AS r_{c}"
-    return {
+    out = {
         "sync_signature": f"{BASE}, {vis}, {_signature_sql('sl', 'vis')} SELECT session_id, round(mid + 1e-9, 6) AS t, round(speed, 5) AS speed, round(turn_rate + 1e-9, 3) AS turn_rate FROM sl",
         # Before the first or after the last sample a query is outside; exactly on one it belongs to the step that ends there, at the first to the step after it.
         "sync_offset_curve": f"""{BASE}, {vis}, {mq}, {_signature_sql('sl', 'vis')}, {_signature_sql('sr', 'mq')},
@@ -333,6 +347,12 @@ k_ AS (SELECT session_id, step, count(*) AS n, {corr('speed')}, {corr('turn_rate
 l_ AS (SELECT DISTINCT o_.session_id, o_.step FROM o_)
 SELECT session_id, step::INT AS step, coalesce(n, 0) AS n, round((coalesce(c_speed, 0) + coalesce(c_turn_rate, 0)) / nullif((c_speed IS NOT NULL)::INT + (c_turn_rate IS NOT NULL)::INT, 0), 4) AS score, round(c_speed, 4) AS speed_score, round(c_turn_rate, 4) AS turn_rate_score FROM l_ LEFT JOIN k_ USING (session_id, step)""",
     }
+    out["gate_formal"] = f"""WITH c AS (SELECT * FROM ({out['sync_offset_curve']}) WHERE score IS NOT NULL), g AS ({ref.ORACLE['gate_split']}), fl AS ({BASE} SELECT session_id, max((source = 'optical_flow')::INT) AS flow FROM p GROUP BY session_id),
+b AS (SELECT session_id, max(score) AS score FROM c GROUP BY session_id), u AS (SELECT session_id, max(b.score) AS score, (max(step) - min(step)) * 0.005 AS unsure FROM c JOIN b USING (session_id) WHERE c.score >= b.score - 0.02 GROUP BY session_id),
+r AS (SELECT g.session_id, n_test AS n, list_filter([CASE WHEN flow = 1 THEN 'uses_flow' END, CASE WHEN NOT coalesce(score >= 0.8, false) THEN 'weak_correlation' END, CASE WHEN NOT coalesce(unsure <= 0.02 + 1e-9, false) THEN 'unsure_offset' END, CASE WHEN n_test < 200 THEN 'few_test_rows' END], lambda x: x IS NOT NULL) AS why
+      FROM g JOIN fl USING (session_id) LEFT JOIN u USING (session_id))
+SELECT session_id, n, CASE WHEN len(why) = 0 THEN 'FORMAL_ACCURACY' ELSE 'DIAGNOSTIC_ONLY' END AS verdict, array_to_string(why, ' ') AS reasons FROM r"""
+    return out
 
 
 ORACLE: dict[str, str] = _oracle()
