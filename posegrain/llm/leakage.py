@@ -142,9 +142,16 @@ class ItemIndex:
         # Each item's shingles as numbers of distinct ones, for exact containment.
         self.known = np.unique(np.concatenate([*shingles, np.zeros(0, _U64)]))
         self.numbers = [np.searchsorted(self.known, s) for s in shingles]
+        # And the items of each: a shingle's are holders[ends[k] : ends[k + 1]], one entry for every time an item has it.
+        every = np.concatenate([*self.numbers, np.zeros(0, np.int64)]).astype(np.int64)
+        order = np.argsort(every, kind="stable")
+        self.least_held = containment * np.minimum(query, [len(n) for n in self.numbers]) - 1e-9
+        self.holders = np.repeat(np.arange(len(items)), [len(n) for n in self.numbers])[order]
+        self.ends = np.searchsorted(every[order], np.arange(len(self.known) + 1))
         # What is shorter than a passage is too small for the estimates; exact containment alone finds it. What is
         # shorter than a shingle is looked up as a whole.
-        self.short = [i for i, w in enumerate(self.words) if SHINGLE <= len(w) < least]
+        size = np.array([len(w) for w in self.words], dtype=int)
+        self.short, self.long = np.flatnonzero((size >= SHINGLE) & (size < least)), size >= least
         self.tiny: dict[int, dict[int, list[int]]] = {}
         for i, c in enumerate(coded):
             if 0 < len(c) < SHINGLE:
@@ -153,9 +160,13 @@ class ItemIndex:
 
     def candidates(self, docs: list[np.ndarray]) -> list[tuple[int, int]]:
         """(document, item) where a passage of either shares ``AGREE`` minima or more; documents as word hashes."""
+        return [(d, i) for d, items in self.near(docs).items() for i in items.tolist()]
+
+    def near(self, docs: list[np.ndarray]) -> dict[int, np.ndarray]:
+        """``candidates`` by document."""
         shingles = [folded(shingle_hashes(d)) for d in docs]
         lengths = np.array([len(s) for s in shingles], dtype=np.int64)
-        out = []
+        out: dict[int, np.ndarray] = {}
         for c, (size, b) in enumerate(zip(SIZES, self.counts)):
             low_end = SIZES[c - 1] if c else 0
             own = np.flatnonzero((lengths > low_end) & ((lengths <= size) | (c == len(SIZES) - 1)))
@@ -182,22 +193,28 @@ class ItemIndex:
                 pair, votes = np.unique(key, return_counts=True)
                 pair = pair[votes >= AGREE]
                 both = np.unique(doc[pair // len(self.ids)] * len(self.ids) + pair % len(self.ids))
-                out += [(int(own[x // len(self.ids)]), int(x % len(self.ids))) for x in both]
-        return sorted(out)
+                at, first = np.unique(both // len(self.ids), return_index=True)
+                out |= dict(zip(own[at].tolist(), np.split(both % len(self.ids), first[1:])))
+        return out
 
-    def contained(self, doc: np.ndarray, items: list[int]) -> list[int]:
+    def contained(self, doc: np.ndarray, items: list[int] | np.ndarray) -> list[int]:
         """Those of ``items`` with a passage of which the document (word hashes) holds the shingles: exact containment.
 
         Of items shorter than a passage the share counts over all their shingles.
         """
-        if not items or not len(self.known):
+        if not len(items) or not len(self.known):
             return []
         s = np.unique(shingle_hashes(doc))
         at = np.minimum(np.searchsorted(self.known, s), len(self.known) - 1)
+        hit = at[self.known[at] == s]
+        # A passage cannot hold more of its item's shingles than the document holds of all of them.
+        n = self.ends[hit + 1] - self.ends[hit]
+        entry = np.repeat(self.ends[hit] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
+        whole = np.bincount(self.holders[entry], minlength=len(self.ids))
         held = np.zeros(len(self.known), np.int32)
-        held[at[self.known[at] == s]] = 1
+        held[hit] = 1
         out = []
-        for i in items:
+        for i in (items := np.asarray(items))[whole[items] >= self.least_held[items]].tolist():
             own = np.append(0, np.cumsum(held[self.numbers[i]]))
             n = min(self.query, len(own) - 1)
             if (own[n:] - own[:-n]).max() >= self.containment * n - 1e-9:
@@ -348,13 +365,11 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id"
             for batch in batches:
                 words = [split(text) for text in batch.column(1).to_pylist()]
                 coded = [np.array([hashes[w] for w in ws], dtype=_U64) for ws in words]
-                near: dict[int, list[int]] = defaultdict(list)
-                for d, i in index.candidates(coded):
-                    if len(index.words[i]) >= least:
-                        near[d].append(i)
+                near, none = index.near(coded), np.zeros(0, int)
                 docs, got = [], []
-                for d in range(len(words)) if index.short or index.tiny else near:
-                    held = index.contained(coded[d], near[d] + index.short)
+                for d in range(len(words)) if len(index.short) or index.tiny else near:
+                    found_ = near.get(d, none)
+                    held = index.contained(coded[d], np.concatenate([found_[index.long[found_]], index.short]))
                     places = seed_places(words[d]) if held else {}
                     held = [i for i in held if longest_passage(index.words[i], index.seeds[i], words[d], places) >= min(least - slack, len(index.words[i]))]
                     held += index.tiny_held(coded[d])
