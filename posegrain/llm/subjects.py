@@ -187,12 +187,11 @@ def masses(rows: np.ndarray, terms: np.ndarray, components: np.ndarray, weight:
     return out
 
 
-def occurrences(h: np.ndarray, doc: np.ndarray, vocabulary: Vocabulary, subject_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places where a phrase of sure terms of one subject begins: document, subject, place.
+def occurrences(doc: np.ndarray, w: np.ndarray, p: np.ndarray, subject_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From the numbers of each place's word and pair, places where a phrase of sure terms of one subject begins: document, subject, place.
 
     ``subject_of``: for each term the subject it surely stands for, or -1. A pair speaks for both its words.
     """
-    w, p = vocabulary.numbers(h, doc)
     subject_of = np.append(subject_of, -1)  # number -1: none
     s, of_pair = subject_of[w], subject_of[p]
     behind = np.append(-1, of_pair[:-1])
@@ -377,7 +376,7 @@ def subject_areas(
         """For the contexts right before each phrase: how often they are there, and how often its subject is elsewhere in the document too."""
         for batch in batches:
             h, of = words_of(batch)
-            doc, s, at = occurrences(h, of, shared_vocabulary.value, shared_subjects.value)
+            doc, s, at = occurrences(of, *shared_vocabulary.value.numbers(h, of), shared_subjects.value)
             near = before(h, of, at, 1)
             n = np.bincount(doc, minlength=batch.num_rows)
             _, at = np.unique(doc * k + s, return_inverse=True)
@@ -397,8 +396,8 @@ def subject_areas(
         c, weight = shared_components.value
         for batch in batches:
             h, of = words_of(batch)
-            _, _, at = occurrences(h, of, vocab, subject)
             w, pair = vocab.numbers(h, of)
+            _, _, at = occurrences(of, w, pair, subject)
             single, double = (np.append(weight, 0.0)[t] for t in (w, pair))
             # A pair speaks for both its words; a phrase of one subject's anchors is one entry, at its first place.
             term = np.where(double >= np.maximum(single, 1e-12), pair, w)
